@@ -25,7 +25,7 @@ from faresettle.operators import details, export, facts, parameters, quality, ro
 from faresettle.operators.setops import union_all
 from faresettle.plans import jobs, models, settlement
 from faresettle.plans.contract import MEASURES, MONEY, REPORT_COLUMNS, REPORT_SCHEMA
-from faresettle.session import scratch_path, shared_folder
+from faresettle.session import scratch_path, shared_folder, stage
 from faresettle.sources import files, payloads
 from faresettle.streaming import drops
 
@@ -62,7 +62,7 @@ def _report(
     return settlement.settlement_report(sources, window, dom_int_stand_in(spark, sf_dir), **options)
 
 
-def _scratch_table(spark: SparkSession, schema=None) -> str:
+def scratch_table(spark: SparkSession, schema=None) -> str:
     """A new managed table of report rows, kept in the shared folder."""
     database = f"faresettle_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark)}/{database}'")
@@ -94,14 +94,14 @@ def settlement_report_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def settlement_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = settlement_sources(spark, sf_dir)
     sales = settlement.sales(sources, FULL_WINDOW)
-    return _plain(settlement.shown(settlement.settle([sales], sources.para, dom_int_stand_in(spark, sf_dir))))
+    return _plain(settlement.shown(settlement.settle([sales], sources.para, dom_int_stand_in(spark, sf_dir)), distinct=False))
 
 
 @query
 def settlement_refund(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = settlement_sources(spark, sf_dir)
     refunds = settlement.refunds(sources, FULL_WINDOW)
-    return _plain(settlement.shown(settlement.settle([refunds], sources.para, dom_int_stand_in(spark, sf_dir))))
+    return _plain(settlement.shown(settlement.settle([refunds], sources.para, dom_int_stand_in(spark, sf_dir)), distinct=False))
 
 
 @query
@@ -182,15 +182,15 @@ def join_payment_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def join_vat_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = settlement_sources(spark, sf_dir)
-    vat = details.vat_by_parent(sources.payt_vatc.withColumnRenamed("payt_sqnu", "parent"), "parent")
-    return _doubles(details.add_details(sources.payt.select("sqnu"), vat, "sqnu"), *details.VAT_BUCKETS)
+    vat = details.vat_by_parent(sources.payt_vatc, "payt_sqnu")
+    return _doubles(details.add_details(sources.payt.select("sqnu"), vat, "sqnu", "payt_sqnu"), *details.VAT_BUCKETS)
 
 
 @query
 def join_yr_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = settlement_sources(spark, sf_dir)
-    tax = details.yr_tax_by_parent(sources.payt_txca.withColumnRenamed("payt_sqnu", "parent"), "parent")
-    return _doubles(details.add_details(sources.payt.select("sqnu"), tax, "sqnu"), "yr_tmfa", "yr_tmff")
+    tax = details.yr_tax_by_parent(sources.payt_txca, "payt_sqnu")
+    return _doubles(details.add_details(sources.payt.select("sqnu"), tax, "sqnu", "payt_sqnu"), "yr_tmfa", "yr_tmff")
 
 
 @query
@@ -287,30 +287,26 @@ def export_users_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_append_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loaded twice, so appended twice."""
     root = scratch_path(spark, "load")
-    table = _scratch_table(spark, REPORT_SCHEMA)
+    table = scratch_table(spark, REPORT_SCHEMA)
     export.write_parquet_window(_report(spark, sf_dir), root, jobs.FINAL_PREFIX, FULL_WINDOW)
     jobs.load_parquet(spark, FULL_WINDOW, root, table)
-    jobs.load_parquet(spark, FULL_WINDOW, root, table)
     return _plain(spark.table(table))
 
 
 @query
 def load_append_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loaded twice, so appended twice."""
     root = scratch_path(spark, "load")
-    table = _scratch_table(spark, REPORT_SCHEMA)
+    table = scratch_table(spark, REPORT_SCHEMA)
     export.export_csv(_report(spark, sf_dir), FULL_WINDOW.path(root, jobs.RECENT_PREFIX, "csv"), sep=";")
     jobs.weekly_recent(spark, FULL_WINDOW, root, table, replace=False)
-    jobs.weekly_recent(spark, FULL_WINDOW, root, table, replace=False)
     return _plain(spark.table(table))
 
 
 @query
 def stream_recent_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded by two calls; the second finds nothing new."""
-    table = _scratch_table(spark)
+    table = scratch_table(spark)
     drops.create_drop_table(spark, table)
     path = _csv_drop(spark, _report(spark, sf_dir))
     checkpoint = scratch_path(spark, "progress")
@@ -321,7 +317,7 @@ def stream_recent_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def delete_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _scratch_table(spark, REPORT_SCHEMA)
+    table = scratch_table(spark, REPORT_SCHEMA)
     tables.append(_report(spark, sf_dir), table)
     tables.delete_range(spark, [table], MONTH_WINDOW)
     return _plain(spark.table(table))
@@ -330,7 +326,7 @@ def delete_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def window_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table whose window holds stale amounts, replaced by the right ones."""
-    table = _scratch_table(spark, REPORT_SCHEMA)
+    table = scratch_table(spark, REPORT_SCHEMA)
     report = _report(spark, sf_dir)
     stale = F.when(MONTH_WINDOW.contains_text(F.col("TrxDate")), F.col("Fare") + 1).otherwise(F.col("Fare"))
     tables.append(report.withColumn("Fare", stale), table)
@@ -349,17 +345,18 @@ def _per_day(spark: SparkSession, final: str, recent: str) -> DataFrame:
 
 @query
 def promote_final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    final, recent = _scratch_table(spark, REPORT_SCHEMA), _scratch_table(spark, REPORT_SCHEMA)
-    report = _report(spark, sf_dir)
-    tables.append(tables.outside_window(report, MONTH_WINDOW), final)
-    tables.append(report, recent)
-    tables.promote_final(_report(spark, sf_dir, MONTH_WINDOW), final, recent, MONTH_WINDOW)
+    """Stale final rows and preliminary rows, both put right for the month."""
+    final, recent = scratch_table(spark, REPORT_SCHEMA), scratch_table(spark, REPORT_SCHEMA)
+    month = stage(_report(spark, sf_dir, MONTH_WINDOW), "month")
+    tables.append(month.withColumn("Net_COA", F.col("Net_COA") + 1), final)
+    tables.append(_report(spark, sf_dir), recent)
+    tables.promote_final(month, final, recent, MONTH_WINDOW, written=True)
     return _per_day(spark, final, recent)
 
 
 @query
 def monthly_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    final, recent = _scratch_table(spark, REPORT_SCHEMA), _scratch_table(spark, REPORT_SCHEMA)
+    final, recent = scratch_table(spark, REPORT_SCHEMA), scratch_table(spark, REPORT_SCHEMA)
     sources, rule = settlement_sources(spark, sf_dir), dom_int_stand_in(spark, sf_dir)
     tables.append(_report(spark, sf_dir), recent)
     jobs.monthly_settlement(sources, MONTH_WINDOW, rule, scratch_path(spark, "month"), final, recent)
@@ -393,7 +390,7 @@ def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.materialize(models.first_model(_ids(spark, sf_dir)), _scratch_table(spark), "table")
+    return models.materialize(models.first_model(_ids(spark, sf_dir)), scratch_table(spark), "table")
 
 
 def _second(spark: SparkSession, sf_dir: str) -> DataFrame:

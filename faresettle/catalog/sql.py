@@ -131,6 +131,9 @@ def check_sql() -> dict[str, str]:
         for name in ("TotalCom", "DiscFareNetVAT", "YRNetVAT", "Net",
                      "TotalCom_COA", "DiscFareNetVAT_COA", "YRNetVAT_COA", "Net_COA"))
     per_day = 'COUNT(*) AS "rows", SUM("Net_COA") AS net'
+    promoted = _report_query(
+        f"""SELECT 'final' AS "table", "TrxDate", {per_day} FROM report WHERE {in_month} GROUP BY ALL
+        UNION ALL SELECT 'recent', "TrxDate", {per_day} FROM report WHERE NOT {in_month} GROUP BY ALL""")
     return {
         "settlement_report": whole,
         "settlement_report_month": _report_query("SELECT * FROM report", window=MONTH),
@@ -179,17 +182,13 @@ def check_sql() -> dict[str, str]:
         "src_csv_semicolon": whole,
         "write_parquet_window": whole,
         "export_users_csv": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment, c_acctbal FROM customer",
-        "load_append_parquet": _report_query("SELECT * FROM report UNION ALL SELECT * FROM report"),
-        "load_append_csv": _report_query("SELECT * FROM report UNION ALL SELECT * FROM report"),
+        "load_append_parquet": whole,
+        "load_append_csv": whole,
         "stream_recent_drops": whole,
         "delete_range": _report_query(f"SELECT * FROM report WHERE NOT {in_month}"),
         "window_replace": whole,
-        "promote_final": _report_query(
-            f"""SELECT 'final' AS "table", "TrxDate", {per_day} FROM report GROUP BY ALL
-            UNION ALL SELECT 'recent', "TrxDate", {per_day} FROM report WHERE NOT {in_month} GROUP BY ALL"""),
-        "monthly_settlement": _report_query(
-            f"""SELECT 'final' AS "table", "TrxDate", {per_day} FROM report WHERE {in_month} GROUP BY ALL
-            UNION ALL SELECT 'recent', "TrxDate", {per_day} FROM report WHERE NOT {in_month} GROUP BY ALL"""),
+        "promote_final": promoted,
+        "monthly_settlement": promoted,
         "src_literal_rows": """SELECT vat_type, COUNT(*) AS lines FROM lineitem
             JOIN (VALUES ('A', 'FA'), ('N', 'TA'), ('R', 'ZZ')) AS t(flag, vat_type) ON l_returnflag = flag GROUP BY vat_type""",
         "src_json_people": f"""WITH {_ROSTER} SELECT c_custkey, CASE WHEN usable THEN CAST(1 AS DOUBLE) END AS number,

@@ -7,6 +7,8 @@ in one task.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Codes of the detail lines that the report counts.
@@ -15,69 +17,76 @@ TAX_VAT = "TA"
 YR_MARK = "ITYR"
 YR_TAX = "YR"
 
-DETAIL_SUMS = ("vatcf", "vatff", "vatcyr", "vatfyr", "yr_tmfa", "yr_tmff")
-
 _IS_FARE_VAT = f"vat_type = '{FARE_VAT}'"
 _IS_YR_VAT = f"vat_type = '{TAX_VAT}' AND instr(vat_type_deta, '{YR_MARK}') > 0"
 VAT_BUCKETS = {
-    "vatcf": f"CASE WHEN {_IS_FARE_VAT} THEN vatc ELSE 0 END",
-    "vatff": f"CASE WHEN {_IS_FARE_VAT} THEN vatf ELSE 0 END",
-    "vatcyr": f"CASE WHEN {_IS_YR_VAT} THEN vatc ELSE 0 END",
-    "vatfyr": f"CASE WHEN {_IS_YR_VAT} THEN vatf ELSE 0 END",
+    "vatcf": (_IS_FARE_VAT, "vatc"),
+    "vatff": (_IS_FARE_VAT, "vatf"),
+    "vatcyr": (_IS_YR_VAT, "vatc"),
+    "vatfyr": (_IS_YR_VAT, "vatf"),
 }
 
 
-def vat_by_parent(vat: DataFrame, parent: str) -> DataFrame:
-    """Fare VAT and YR VAT per parent, in both currencies."""
-    return vat.groupBy(parent).agg(*[F.expr(f"sum({bucket}) AS {name}") for name, bucket in VAT_BUCKETS.items()])
+@dataclass(frozen=True)
+class Details:
+    """The two detail tables of a header table, and their column naming it."""
 
+    vat: DataFrame
+    tax: DataFrame
+    parent: str
 
-def yr_tax_by_parent(tax: DataFrame, parent: str) -> DataFrame:
-    """YR tax per parent, in both currencies."""
-    return (
-        tax.filter(F.col("tmft") == YR_TAX)
-        .groupBy(parent)
-        .agg(*null_safe_sums({"yr_tmfa": "tmfa", "yr_tmff": "tmff"}))
-    )
+    def lines(self) -> Details:
+        """The lines that can count. Others would add zero, or join to nothing,
+        so they need not leave the scan."""
+        named = f"{self.parent} IS NOT NULL"
+        vat = self.vat.filter(f"{named} AND vat_type IN ('{FARE_VAT}', '{TAX_VAT}') AND ({_IS_FARE_VAT} OR {_IS_YR_VAT})")
+        return replace(self, vat=vat, tax=self.tax.filter(f"{named} AND tmft = '{YR_TAX}'"))
 
+    def of_parents(self, parents: DataFrame, count: int, max_broadcast: int) -> Details:
+        """The lines of ``parents`` only, dropped while scanning.
 
-def counted_lines(vat: DataFrame, tax: DataFrame, parent: str) -> DataFrame:
-    """The lines of both detail tables that add to the report, in one shape.
+        ``count`` is the known number of ``parents``. Up to ``max_broadcast`` of
+        them travel to the scans. Beyond that the lines stay as they are, since a
+        shuffled semi-join would move every line before any of it is summed.
+        """
+        if count > max_broadcast:
+            return self
+        keys = F.broadcast(parents.toDF(self.parent))
+        return replace(
+            self,
+            vat=self.vat.join(keys, self.parent, "left_semi"),
+            tax=self.tax.join(keys, self.parent, "left_semi"),
+        )
 
-    Lines of other codes would add zero, and lines without a parent would join
-    to nothing, so neither leaves the scan.
-    """
-    vat_lines = vat.filter(f"{parent} IS NOT NULL AND vat_type IN ('{FARE_VAT}', '{TAX_VAT}')").selectExpr(
-        f"{parent} AS parent", *[f"{bucket} AS {name}" for name, bucket in VAT_BUCKETS.items()]
-    )
-    tax_lines = tax.filter(f"{parent} IS NOT NULL AND tmft = '{YR_TAX}'").selectExpr(
-        f"{parent} AS parent", "tmfa AS yr_tmfa", "tmff AS yr_tmff"
-    )
-    return vat_lines.unionByName(tax_lines, allowMissingColumns=True)
+    def add_to(self, headers: DataFrame, key: str) -> DataFrame:
+        """Left joins: headers without details stay, with null sums.
 
+        Both sums are partitioned by the parent, so the second join reuses the
+        partitioning of the first.
+        """
+        with_vat = add_details(headers, vat_by_parent(self.vat, self.parent), key, self.parent)
+        return add_details(with_vat, yr_tax_by_parent(self.tax, self.parent), key, self.parent)
 
-def details_by_parent(lines: DataFrame) -> DataFrame:
-    """All six detail sums in one pass: one shuffle and one join instead of two."""
-    return lines.groupBy("parent").agg(*null_safe_sums({name: name for name in DETAIL_SUMS}))
 
+def vat_by_parent(vat: DataFrame, parent: str) -> DataFrame:
+    """Fare VAT and YR VAT per parent, in both currencies."""
+    return vat.groupBy(parent).agg(
+        *[F.expr(f"sum(CASE WHEN {test} THEN {amount} ELSE 0 END) AS {name}") for name, (test, amount) in VAT_BUCKETS.items()]
+    )
 
-def keep_parents(lines: DataFrame, parents: DataFrame, parent_count: int, max_broadcast: int) -> DataFrame:
-    """Drop lines of parents outside the window while scanning.
 
-    ``parent_count`` is the known size of ``parents``. Up to ``max_broadcast``
-    keys travel to the scan. Beyond that the lines stay as they are, since a
-    shuffled semi-join would move every line before any of it is summed.
-    """
-    if parent_count > max_broadcast:
-        return lines
-    return lines.join(F.broadcast(parents), "parent", "left_semi")
+def yr_tax_by_parent(tax: DataFrame, parent: str) -> DataFrame:
+    """YR tax per parent, in both currencies."""
+    return (
+        tax.filter(f"tmft = '{YR_TAX}'")
+        .groupBy(parent)
+        .agg(*null_safe_sums({"yr_tmfa": "tmfa", "yr_tmff": "tmff"}))
+    )
 
 
-def add_details(headers: DataFrame, details: DataFrame, key: str) -> DataFrame:
-    """Left join: headers without details stay, with null sums."""
-    return headers.join(details.withColumnRenamed("parent", key), key, "left")
+def add_details(headers: DataFrame, details: DataFrame, key: str, parent: str) -> DataFrame:
+    return headers.join(details.withColumnRenamed(parent, key), key, "left")
 
 
 def null_safe_sums(columns: dict[str, str]) -> list[Column]:
     return [F.expr(f"sum(coalesce({column}, 0)) AS {name}") for name, column in columns.items()]
-

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from faresettle.functions.windows import DateWindow
-from faresettle.operators.details import add_details, null_safe_sums
+from faresettle.operators.details import Details, null_safe_sums
 from faresettle.plans.contract import AMOUNTS, BASE_MEASURES
 
 def amount_columns(branch: str) -> dict[str, str]:
@@ -45,14 +45,14 @@ def issues_by_ticket(emis: DataFrame, window: DateWindow) -> DataFrame:
     )
 
 
-def sale_fact(payments: DataFrame, details: DataFrame, issues: DataFrame) -> DataFrame:
+def sale_fact(payments: DataFrame, details: Details, issues: DataFrame) -> DataFrame:
     """Join payments to issues by ticket.
 
     Both sides are first summed to the columns the report groups by, so a ticket
     with very many payments and issues yields no more rows than report groups.
     """
     payments = (
-        add_details(payments, details, "sqnu")
+        details.add_to(payments, "sqnu")
         .groupBy("tdnr", "peri", "fptp", "cuop")
         .agg(*null_safe_sums(amount_columns("sale")))
     )
@@ -69,8 +69,8 @@ def sale_fact(payments: DataFrame, details: DataFrame, issues: DataFrame) -> Dat
     )
 
 
-def refund_fact(refunds: DataFrame, details: DataFrame) -> DataFrame:
-    return add_details(refunds, details, "sqnu").selectExpr(
+def refund_fact(refunds: DataFrame, details: Details) -> DataFrame:
+    return details.add_to(refunds, "sqnu").selectExpr(
         "'Refund' AS Type",
         "srci AS Source",
         "peri AS RptPeriod",

@@ -19,11 +19,12 @@ def attach_parameters(rows: DataFrame, para: DataFrame, slots: int = SLOTS) -> D
     """
     pairs = (
         para.groupBy("isoc", "cutp")
-        .agg(F.count(F.lit(1)).alias("para_copies"))
-        .withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+        .agg(F.expr("count(1) AS para_copies"))
+        .selectExpr("*", f"explode(sequence(0, {slots - 1})) AS _slot")
     )
-    slot = F.pmod(F.xxhash64(*rows.columns), F.lit(slots)).cast("int")
-    return rows.withColumn("_slot", slot).join(pairs, "_slot", "left").drop("_slot")
+    row_hash = f"xxhash64({', '.join(rows.columns)})"
+    slotted = rows.selectExpr("*", f"CAST(pmod({row_hash}, {slots}) AS INT) AS _slot")
+    return slotted.join(pairs, "_slot", "left").drop("_slot")
 
 
 def join_parameter_row(rows: DataFrame, para: DataFrame) -> DataFrame:

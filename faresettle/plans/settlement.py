@@ -6,10 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from faresettle.functions.values import iso_text
+from faresettle.functions.values import ISO_DATE
 from faresettle.functions.windows import DateWindow
 from faresettle.operators.classify import DomIntRule
-from faresettle.operators.details import counted_lines, details_by_parent, keep_parents
+from faresettle.operators.details import Details
 from faresettle.operators.facts import (
     issues_by_ticket,
     payments_in_window,
@@ -19,7 +19,7 @@ from faresettle.operators.facts import (
 )
 from faresettle.operators.parameters import attach_parameters
 from faresettle.operators.setops import union_all
-from faresettle.plans.contract import AMOUNTS, IDENTITIES, MONEY_SUM, REPORT_COLUMNS
+from faresettle.plans.contract import AMOUNTS, IDENTITIES, KEYS, MONEY_SUM, REPORT_COLUMNS
 from faresettle.session import stage
 
 MAX_BROADCAST_PARENTS = 2_000_000
@@ -39,45 +39,42 @@ class SettlementSources:
 
 def sales(sources: SettlementSources, window: DateWindow, stage_headers: bool = False) -> DataFrame:
     payments = payments_in_window(sources.payt, sources.emis, window)
-    lines = counted_lines(sources.payt_vatc, sources.payt_txca, "payt_sqnu")
+    details = Details(sources.payt_vatc, sources.payt_txca, "payt_sqnu").lines()
     if stage_headers:
-        payments, lines = _stage_and_reduce(payments, lines, "payments")
-    return sale_fact(payments, details_by_parent(lines), issues_by_ticket(sources.emis, window))
+        payments, details = _stage_and_reduce(payments, details, "payments")
+    return sale_fact(payments, details, issues_by_ticket(sources.emis, window))
 
 
 def refunds(sources: SettlementSources, window: DateWindow, stage_headers: bool = False) -> DataFrame:
     headers = refunds_in_window(sources.rmbt, window)
-    lines = counted_lines(sources.rmbt_vatc, sources.rmbt_txca, "rmbt_id")
+    details = Details(sources.rmbt_vatc, sources.rmbt_txca, "rmbt_id").lines()
     if stage_headers:
-        headers, lines = _stage_and_reduce(headers, lines, "refunds")
-    return refund_fact(headers, details_by_parent(lines))
+        headers, details = _stage_and_reduce(headers, details, "refunds")
+    return refund_fact(headers, details)
 
 
-def _stage_and_reduce(headers: DataFrame, lines: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+def _stage_and_reduce(headers: DataFrame, details: Details, label: str) -> tuple[DataFrame, Details]:
     staged = stage(headers, label)
-    parents = staged.select(F.col("sqnu").alias("parent"))
-    return staged, keep_parents(lines, parents, parents.count(), MAX_BROADCAST_PARENTS)
+    parents = staged.select("sqnu")
+    return staged, details.of_parents(parents, parents.count(), MAX_BROADCAST_PARENTS)
 
 
 def settle(facts: list[DataFrame], para: DataFrame, dom_int: DomIntRule) -> DataFrame:
-    """Sum facts of one or both types to report groups, with every measure.
+    """Sum facts of one or both types to report groups: keys and base sums.
 
-    The result keeps ``isoc`` and the day, which the report groups by but does
-    not show.
+    The result has ``isoc`` and the day itself, which the report groups by but
+    does not show.
     """
     rows = union_all([dom_int.prepare(fact) for fact in facts])
     rows = attach_parameters(rows, para).withColumn("DomInt", dom_int.label(F.col("ticket"), F.col("isoc")))
-    weight = "copies * coalesce(para_copies, 1)"
     keys = ("Type", "Source", "RptPeriod", "trx_day", "DomInt", "FOP", "CCY", "isoc", "cutp")
-    sums = rows.groupBy(*keys).agg(
-        *[F.expr(f"sum(coalesce({name}, 0) * {weight}) AS {name}") for name in AMOUNTS]
-    )
-    signed = sums.selectExpr(*keys, *[f"if(Type = 'Refund', -{name}, {name}) AS {name}" for name in AMOUNTS])
-    measures = {**{name: name for name in AMOUNTS}, **{name: signed_sum(terms) for name, terms in IDENTITIES.items()}}
-    money = MONEY_SUM.simpleString()
-    return signed.selectExpr(
-        *keys, "cutp AS COA", *[f"CAST({total} AS {money}) AS {name}" for name, total in measures.items()]
-    )
+    return rows.groupBy(*keys).agg(*[F.expr(f"{_weighted_sum(name)} AS {name}") for name in AMOUNTS])
+
+
+def _weighted_sum(amount: str) -> str:
+    """Sum of an amount that counts once per equal issue and parameter row."""
+    copies = "copies * coalesce(para_copies, 1)"
+    return f"sum(CASE WHEN {copies} = 1 THEN {amount} ELSE {amount} * {copies} END)"
 
 
 def signed_sum(terms: dict[str, int]) -> str:
@@ -102,13 +99,25 @@ def settlement_report(
     tables are reduced to the window while they are scanned.
     """
     facts = [sales(sources, window, stage_headers), refunds(sources, window, stage_headers)]
-    report = shown(settle(facts, sources.para, dom_int), date_as_text)
-    return report.distinct() if distinct else report
+    return shown(settle(facts, sources.para, dom_int), distinct, date_as_text)
 
 
-def shown(settled: DataFrame, date_as_text: bool = True) -> DataFrame:
-    day = F.col("trx_day")
-    return settled.withColumn("TrxDate", iso_text(day) if date_as_text else day).select(*REPORT_COLUMNS)
+def shown(groups: DataFrame, distinct: bool, date_as_text: bool = True) -> DataFrame:
+    """Report rows of settled groups: refunds negated, measures derived.
+
+    Derived measures follow from the rest of the row, so duplicates are removed
+    before they widen it.
+    """
+    money = MONEY_SUM.simpleString()
+    rows = groups.selectExpr(
+        *[key for key in KEYS if key != "TrxDate"],
+        f"{f"date_format(trx_day, '{ISO_DATE}')" if date_as_text else 'trx_day'} AS TrxDate",
+        "cutp AS COA",
+        *[f"CAST(coalesce(if(Type = 'Refund', -{name}, {name}), 0) AS {money}) AS {name}" for name in AMOUNTS],
+    )
+    rows = rows.distinct() if distinct else rows
+    derived = {name: f"CAST({signed_sum(terms)} AS {money}) AS {name}" for name, terms in IDENTITIES.items()}
+    return rows.selectExpr(*[derived.get(name, name) for name in REPORT_COLUMNS])
 
 
 def collapsed_groups(sources: SettlementSources, window: DateWindow, dom_int: DomIntRule) -> DataFrame:

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Capturing a call site for every column costs more than building the plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # The JVM does not compile methods above 8000 bytes, and aggregates of many
+    # decimals generate such; Spark then runs them in smaller pieces.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # The issue table is date-filtered before it builds the filter, so its raw
     # size says little; the filter itself stays within maxNumBits.
