@@ -10,8 +10,16 @@ from faresettle.functions.windows import DateWindow
 from faresettle.plans.contract import REPORT_SCHEMA
 
 DATE_COLUMNS = ("TrxDate",)
-# Names must match the header; quotes inside values are doubled.
-CSV_OPTIONS = {"sep": ";", "header": True, "mode": "FAILFAST", "enforceSchema": False, "escape": '"'}
+# Names must match the header; quotes inside values are doubled. A field without
+# text is null and a quoted empty one is empty, which needs a null mark no text has.
+CSV_OPTIONS = {
+    "sep": ";",
+    "header": True,
+    "mode": "FAILFAST",
+    "enforceSchema": False,
+    "escape": '"',
+    "nullValue": "\u0000",
+}
 
 
 def read_parquet_window(

@@ -22,18 +22,19 @@ def create_drop_table(spark: SparkSession, table: str, schema: StructType = REPO
     create_table(spark, table, with_id, (LOAD_ID, PARTITION_COLUMN))
 
 
+def load_batch(batch: DataFrame, batch_id: int, table: str, schema: StructType) -> None:
+    """Write one micro-batch as the only content of its ``load_id``."""
+    rows = typed(batch, schema).withColumn(LOAD_ID, F.lit(batch_id).cast("bigint"))
+    overwrite_partitions(rows, table)
+
+
 def load_new_drops(
     spark: SparkSession, files: str, table: str, checkpoint: str, schema: StructType = REPORT_SCHEMA
 ) -> None:
     """Load the files matching ``files`` that no earlier call has loaded, then stop."""
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        rows = typed(batch, schema).withColumn(LOAD_ID, F.lit(batch_id).cast("bigint"))
-        overwrite_partitions(rows, table)
-
     drops = spark.readStream.options(**CSV_OPTIONS).schema(text_schema(schema)).csv(files)
     query = (
-        drops.writeStream.foreachBatch(load)
+        drops.writeStream.foreachBatch(lambda batch, batch_id: load_batch(batch, batch_id, table, schema))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
