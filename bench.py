@@ -16,15 +16,15 @@ from dataclasses import fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faresettle.catalog import bindings, queries
+from faresettle.catalog import bindings
+from faresettle.catalog.queries import FULL_WINDOW, MONTH_WINDOW as MONTH
 from faresettle.functions.windows import DateWindow
 from faresettle.operators import details, tables
 from faresettle.operators.classify import TicketCountryRule
 from faresettle.plans import models, settlement
 from faresettle.plans.contract import REPORT_SCHEMA
-from faresettle.session import local_session, stage
+from faresettle.session import Staging, local_session
 
-MONTH = DateWindow.of("1998-08-01", "1998-08-31")
 YEAR = DateWindow.of("1998-01-01", "1998-12-31")
 
 
@@ -32,32 +32,37 @@ def run_all(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def landed(sources: settlement.SettlementSources) -> settlement.SettlementSources:
+def landed(sources: settlement.SettlementSources, lake: Staging) -> settlement.SettlementSources:
     """The source tables as they would lie in a lake: own files, decimal amounts."""
     return replace(sources, **{
-        field.name: stage(getattr(sources, field.name).repartition(8), field.name) for field in fields(sources)
+        field.name: lake.write(getattr(sources, field.name).repartition(8), field.name) for field in fields(sources)
     })
 
 
-def headline(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], None]]:
-    sources = landed(bindings.settlement_sources(spark, sf_dir))
-    rule = TicketCountryRule(stage(bindings.dom_int_stand_in(spark, sf_dir).tickets, "tickets"))
+def headline(spark: SparkSession, sf_dir: str, lake: Staging) -> dict[str, Callable[[], None]]:
+    sources = landed(bindings.settlement_sources(spark, sf_dir), lake)
+    rule = TicketCountryRule(lake.write(bindings.dom_int_stand_in(spark, sf_dir).tickets, "tickets"))
     sales = bindings.driver_table(spark, sf_dir, "orders").selectExpr(
         "CAST(o_orderdate AS DATE) AS date", "CAST(o_totalprice AS DECIMAL(18,2)) AS amt"
     )
 
-    def report(window: DateWindow, **options: bool) -> DataFrame:
-        return settlement.settlement_report(sources, window, rule, **options)
+    def report(window: DateWindow, staging: Staging | None = None) -> DataFrame:
+        return settlement.settlement_report(sources, window, rule, staging=staging)
 
-    table = queries.scratch_table(spark, REPORT_SCHEMA)
-    tables.append(report(queries.FULL_WINDOW), table)
-    month = stage(report(MONTH), "month")
+    def staged_report(window: DateWindow) -> None:
+        with Staging(spark) as staging:
+            run_all(report(window, staging))
+
+    table = f"{lake.database}.sales"
+    tables.create_table(spark, table, REPORT_SCHEMA)
+    tables.append(report(FULL_WINDOW), table)
+    month = lake.write(report(MONTH), "month")
     return {
         "settlement_report_month": lambda: run_all(report(MONTH)),
         "settlement_report_year": lambda: run_all(report(YEAR)),
-        "settlement_report_all_years": lambda: run_all(report(queries.FULL_WINDOW)),
-        "settlement_report_month_staged": lambda: run_all(report(MONTH, stage_headers=True)),
-        "settlement_report_year_staged": lambda: run_all(report(YEAR, stage_headers=True)),
+        "settlement_report_all_years": lambda: run_all(report(FULL_WINDOW)),
+        "settlement_report_month_staged": lambda: staged_report(MONTH),
+        "settlement_report_year_staged": lambda: staged_report(YEAR),
         "vat_by_parent": lambda: run_all(details.vat_by_parent(sources.payt_vatc, "payt_sqnu")),
         "yr_tax_by_parent": lambda: run_all(details.yr_tax_by_parent(sources.payt_txca, "payt_sqnu")),
         "recent_sale": lambda: run_all(models.recent_sale(sales)),
@@ -79,7 +84,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(int(os.environ.get("BENCH_CPUS", "8")))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
-    seconds = {name: median_seconds(run, runs) for name, run in headline(spark, sf_dir).items()}
+    with Staging(spark) as lake:
+        seconds = {name: median_seconds(run, runs) for name, run in headline(spark, sf_dir, lake).items()}
     print(json.dumps({
         "metric": "sum of median query seconds",
         "value": round(sum(seconds.values()), 3),

@@ -25,7 +25,7 @@ from faresettle.operators import details, export, facts, parameters, quality, ro
 from faresettle.operators.setops import union_all
 from faresettle.plans import jobs, models, settlement
 from faresettle.plans.contract import MEASURES, MONEY, REPORT_COLUMNS, REPORT_SCHEMA
-from faresettle.session import scratch_path, shared_folder, stage
+from faresettle.session import Staging, scratch_path
 from faresettle.sources import files, payloads
 from faresettle.streaming import drops
 
@@ -56,7 +56,7 @@ def _plain(report: DataFrame) -> DataFrame:
 
 
 def _report(
-    spark: SparkSession, sf_dir: str, window: DateWindow = FULL_WINDOW, two_rows: bool = False, **options: bool
+    spark: SparkSession, sf_dir: str, window: DateWindow = FULL_WINDOW, two_rows: bool = False, **options
 ) -> DataFrame:
     sources = settlement_sources(spark, sf_dir, two_rows)
     return settlement.settlement_report(sources, window, dom_int_stand_in(spark, sf_dir), **options)
@@ -64,9 +64,7 @@ def _report(
 
 def scratch_table(spark: SparkSession, schema=None) -> str:
     """A new managed table of report rows, kept in the shared folder."""
-    database = f"faresettle_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark)}/{database}'")
-    table = f"{database}.sales"
+    table = f"{Staging(spark).database}.sales"
     if schema is not None:
         tables.create_table(spark, table, schema)
     return table
@@ -87,7 +85,7 @@ def settlement_report_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def settlement_report_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_report(spark, sf_dir, MONTH_WINDOW, stage_headers=True))
+    return _plain(_report(spark, sf_dir, MONTH_WINDOW, staging=Staging(spark)))
 
 
 @query
@@ -278,7 +276,7 @@ def export_users_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = driver_table(spark, sf_dir, "customer").select("*")
     path = scratch_path(spark, "users")
     export.export_csv(users, path)
-    copied = spark.read.options(header=True, escape='"').schema(files.text_schema(users.schema)).csv(path)
+    copied = files.read_csv_text(spark, path, users.schema, sep=",")
     return _doubles(copied.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal"), "c_acctbal")
 
 
@@ -347,10 +345,10 @@ def _per_day(spark: SparkSession, final: str, recent: str) -> DataFrame:
 def promote_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stale final rows and preliminary rows, both put right for the month."""
     final, recent = scratch_table(spark, REPORT_SCHEMA), scratch_table(spark, REPORT_SCHEMA)
-    month = stage(_report(spark, sf_dir, MONTH_WINDOW), "month")
+    month = Staging(spark).write(_report(spark, sf_dir, MONTH_WINDOW), "month")
     tables.append(month.withColumn("Net_COA", F.col("Net_COA") + 1), final)
     tables.append(_report(spark, sf_dir), recent)
-    tables.promote_final(month, final, recent, MONTH_WINDOW, written=True)
+    tables.promote_final(month, final, recent, MONTH_WINDOW)
     return _per_day(spark, final, recent)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from faresettle.functions.windows import DateWindow
-from faresettle.session import stage
+from faresettle.session import Staging
 
 PARTITION_COLUMN = "TrxDate"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -99,16 +99,20 @@ def outside_window(df: DataFrame, window: DateWindow) -> DataFrame:
     return df.filter(~F.coalesce(window.contains_text(F.col(PARTITION_COLUMN)), F.lit(False)))
 
 
-def window_replace(df: DataFrame, table: str, window: DateWindow, written: bool = False) -> None:
+def window_replace(df: DataFrame, table: str, window: DateWindow) -> None:
     """Make the table's window equal to ``df``, rerunnable.
 
     The batch is staged and checked before the table is touched, so a failing
-    extract changes nothing; ``written`` says that ``df`` reads files already.
-    Days are then replaced one by one, and days that the new batch lacks are
-    dropped last. After a crash a rerun converges.
+    extract changes nothing. Days are then replaced one by one, and days that the
+    new batch lacks are dropped last. After a crash a rerun converges.
     """
-    spark = df.sparkSession
-    batch = df if written else stage(df, "window")
+    with Staging(df.sparkSession) as staging:
+        replace_from_files(staging.write(df, "batch"), table, window)
+
+
+def replace_from_files(batch: DataFrame, table: str, window: DateWindow) -> None:
+    """``window_replace`` for a batch that only reads files already written."""
+    spark = batch.sparkSession
     inside = F.coalesce(window.contains_text(F.col(PARTITION_COLUMN)), F.lit(False))
     if not batch.filter(~inside).isEmpty():
         raise ValueError(f"the batch has rows outside the window {window.iso}")
@@ -118,7 +122,7 @@ def window_replace(df: DataFrame, table: str, window: DateWindow, written: bool
     drop_partitions(spark, table, leftover)
 
 
-def promote_final(df: DataFrame, final: str, recent: str, window: DateWindow, written: bool = False) -> None:
+def promote_final(df: DataFrame, final: str, recent: str, window: DateWindow) -> None:
     """Load the window's final rows and retire its preliminary ones."""
-    window_replace(df, final, window, written)
+    window_replace(df, final, window)
     delete_range(df.sparkSession, [recent], window)

@@ -7,9 +7,10 @@ from pyspark.sql import SparkSession
 from faresettle.functions.windows import DateWindow
 from faresettle.operators.classify import DomIntRule
 from faresettle.operators.export import write_parquet_window
-from faresettle.operators.tables import append, promote_final, window_replace
+from faresettle.operators.tables import append, delete_range, replace_from_files, window_replace
 from faresettle.plans.contract import REPORT_SCHEMA
 from faresettle.plans.settlement import SettlementSources, settlement_report
+from faresettle.session import Staging
 from faresettle.sources.files import read_parquet_window, read_recent_csv
 
 # The prefixes of window-named files.
@@ -25,10 +26,11 @@ def monthly_settlement(
     The tables change only after the report has been written in full.
     """
     spark = sources.payt.sparkSession
-    report = settlement_report(sources, window, dom_int, stage_headers=True)
-    path = write_parquet_window(report, root, FINAL_PREFIX, window)
-    written = read_parquet_window(spark, root, FINAL_PREFIX, window, REPORT_SCHEMA)
-    promote_final(written, final, recent, window, written=True)
+    with Staging(spark) as staging:
+        report = settlement_report(sources, window, dom_int, staging=staging)
+        path = write_parquet_window(report, root, FINAL_PREFIX, window)
+    replace_from_files(read_parquet_window(spark, root, FINAL_PREFIX, window, REPORT_SCHEMA), final, window)
+    delete_range(spark, [recent], window)
     return path
 
 

@@ -20,7 +20,7 @@ from faresettle.operators.facts import (
 from faresettle.operators.parameters import attach_parameters
 from faresettle.operators.setops import union_all
 from faresettle.plans.contract import AMOUNTS, IDENTITIES, KEYS, MONEY_SUM, REPORT_COLUMNS
-from faresettle.session import stage
+from faresettle.session import Staging
 
 MAX_BROADCAST_PARENTS = 2_000_000
 
@@ -37,24 +37,24 @@ class SettlementSources:
     rmbt_txca: DataFrame
 
 
-def sales(sources: SettlementSources, window: DateWindow, stage_headers: bool = False) -> DataFrame:
+def sales(sources: SettlementSources, window: DateWindow, staging: Staging | None = None) -> DataFrame:
     payments = payments_in_window(sources.payt, sources.emis, window)
     details = Details(sources.payt_vatc, sources.payt_txca, "payt_sqnu").lines()
-    if stage_headers:
-        payments, details = _stage_and_reduce(payments, details, "payments")
+    if staging:
+        payments, details = _stage_and_reduce(payments, details, staging, "payments")
     return sale_fact(payments, details, issues_by_ticket(sources.emis, window))
 
 
-def refunds(sources: SettlementSources, window: DateWindow, stage_headers: bool = False) -> DataFrame:
+def refunds(sources: SettlementSources, window: DateWindow, staging: Staging | None = None) -> DataFrame:
     headers = refunds_in_window(sources.rmbt, window)
     details = Details(sources.rmbt_vatc, sources.rmbt_txca, "rmbt_id").lines()
-    if stage_headers:
-        headers, details = _stage_and_reduce(headers, details, "refunds")
+    if staging:
+        headers, details = _stage_and_reduce(headers, details, staging, "refunds")
     return refund_fact(headers, details)
 
 
-def _stage_and_reduce(headers: DataFrame, details: Details, label: str) -> tuple[DataFrame, Details]:
-    staged = stage(headers, label)
+def _stage_and_reduce(headers: DataFrame, details: Details, staging: Staging, name: str) -> tuple[DataFrame, Details]:
+    staged = staging.write(headers, name)
     parents = staged.select("sqnu")
     return staged, details.of_parents(parents, parents.count(), MAX_BROADCAST_PARENTS)
 
@@ -88,17 +88,17 @@ def settlement_report(
     *,
     distinct: bool = True,
     date_as_text: bool = True,
-    stage_headers: bool = False,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """The report of one window.
 
     With ``distinct``, groups that look the same collapse into one row, as under
     a SQL UNION; ``collapsed_groups`` shows what that loses.
-    ``stage_headers`` writes the window's payments and refunds to the shared
-    folder first, so that their number is known and, if small enough, the detail
-    tables are reduced to the window while they are scanned.
+    With ``staging``, the window's payments and refunds are written there first,
+    so that their number is known and, if small enough, the detail tables are
+    reduced to the window while they are scanned.
     """
-    facts = [sales(sources, window, stage_headers), refunds(sources, window, stage_headers)]
+    facts = [sales(sources, window, staging), refunds(sources, window, staging)]
     return shown(settle(facts, sources.para, dom_int), distinct, date_as_text)
 
 

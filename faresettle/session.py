@@ -64,10 +64,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/faresettle-{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that what follows
-    neither recomputes it nor depends on the executors that produced it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+class Staging:
+    """Intermediate tables in the shared folder, dropped together.
+
+    What reads a staged table neither recomputes it nor depends on the executors
+    that produced it.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.database = f"faresettle_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {self.database} LOCATION '{shared_folder(spark)}/{self.database}'")
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        table = f"{self.database}.{name}"
+        df.write.saveAsTable(table)
+        return self.spark.table(table)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.drop()

@@ -33,9 +33,9 @@ def text_schema(schema: StructType) -> StructType:
     return StructType([StructField(f.name, StringType()) for f in schema])
 
 
-def read_csv_text(spark: SparkSession, path: str, schema: StructType = REPORT_SCHEMA) -> DataFrame:
-    """The drop with every column as text, for the checks below."""
-    return spark.read.options(**CSV_OPTIONS).schema(text_schema(schema)).csv(path)
+def read_csv_text(spark: SparkSession, path: str, schema: StructType = REPORT_SCHEMA, sep: str = ";") -> DataFrame:
+    """The file with every column as text, for the checks below."""
+    return spark.read.options(**{**CSV_OPTIONS, "sep": sep}).schema(text_schema(schema)).csv(path)
 
 
 def typed(text: DataFrame, schema: StructType = REPORT_SCHEMA, date_columns: tuple[str, ...] = DATE_COLUMNS) -> DataFrame:

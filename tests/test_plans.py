@@ -8,7 +8,7 @@ from faresettle.catalog import bindings, queries
 from faresettle.operators.details import Details, vat_by_parent
 from faresettle.operators.classify import TicketCountryRule
 from faresettle.plans.settlement import SettlementSources, settlement_report
-from faresettle.session import stage
+from faresettle.session import Staging
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -23,9 +23,10 @@ def explained(df, capsys, mode="formatted"):
 def lake(spark):
     """The source tables as files of their own."""
     sources = bindings.settlement_sources(spark, SF_DIR)
-    staged = {name: stage(df, name) for name, df in sources.__dict__.items()}
-    tickets = stage(bindings.dom_int_stand_in(spark, SF_DIR).tickets, "tickets")
-    return SettlementSources(**staged), TicketCountryRule(tickets)
+    with Staging(spark) as staging:
+        staged = {name: staging.write(df, name) for name, df in sources.__dict__.items()}
+        tickets = staging.write(bindings.dom_int_stand_in(spark, SF_DIR).tickets, "tickets")
+        yield SettlementSources(**staged), TicketCountryRule(tickets)
 
 
 @pytest.fixture()
@@ -68,8 +69,9 @@ def test_details_are_summed_before_their_shuffle(lake, without_broadcast, capsys
     assert plan.count("Exchange hashpartitioning") == 3
 
 
-def test_staged_report_filters_details_while_scanning(lake, capsys):
-    plan = explained(settlement_report(lake[0], queries.MONTH_WINDOW, lake[1], stage_headers=True), capsys, "simple")
+def test_staged_report_filters_details_while_scanning(spark, lake, capsys):
+    with Staging(spark) as staging:
+        plan = explained(settlement_report(lake[0], queries.MONTH_WINDOW, lake[1], staging=staging), capsys, "simple")
     assert plan.count("BroadcastHashJoin [payt_sqnu") == 2
     assert plan.count("BroadcastHashJoin [rmbt_id") == 2
     assert "LeftSemi" in plan

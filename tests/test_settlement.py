@@ -12,6 +12,7 @@ from faresettle.functions.windows import DateWindow
 from faresettle.operators import quality
 from faresettle.operators.classify import ExpressionRule, TicketCountryRule
 from faresettle.plans.contract import BASE_MEASURES, REPORT_COLUMNS
+from faresettle.session import Staging
 from faresettle.plans.settlement import (
     SettlementSources,
     collapsed_groups,
@@ -114,11 +115,11 @@ def collected(report):
     return Counter(tuple(row) for row in report.collect())
 
 
-def check(spark, tables, **options):
+def check(spark, tables, staging=(None, None)):
     sources = frames(spark, tables)
     expected = brute_force(tables)
-    assert collected(settlement_report(sources, WINDOW, RULE, distinct=False, **options)) == Counter(expected)
-    assert collected(settlement_report(sources, WINDOW, RULE, **options)) == Counter(set(expected))
+    assert collected(settlement_report(sources, WINDOW, RULE, distinct=False, staging=staging[0])) == Counter(expected)
+    assert collected(settlement_report(sources, WINDOW, RULE, staging=staging[1])) == Counter(set(expected))
     return expected
 
 
@@ -237,12 +238,14 @@ def test_random_tables_match_nested_loops(spark, seed):
 
 
 def test_staged_headers_give_the_same_report(spark):
-    check(spark, random_tables(7), stage_headers=True)
+    with Staging(spark) as one, Staging(spark) as two:
+        check(spark, random_tables(7), [one, two])
 
 
 def test_details_beyond_the_broadcast_bound_are_not_reduced(spark, monkeypatch):
     monkeypatch.setattr("faresettle.plans.settlement.MAX_BROADCAST_PARENTS", 2)
-    check(spark, random_tables(8), stage_headers=True)
+    with Staging(spark) as one, Staging(spark) as two:
+        check(spark, random_tables(8), [one, two])
 
 
 def test_large_parameter_table_without_broadcast(spark):
