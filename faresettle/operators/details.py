@@ -46,8 +46,9 @@ class Details:
         """The lines of ``parents`` only, dropped while scanning.
 
         ``count`` is the known number of ``parents``. Up to ``max_broadcast`` of
-        them travel to the scans. Beyond that the lines stay as they are, since a
-        shuffled semi-join would move every line before any of it is summed.
+        them travel to the scans. Beyond that the lines stay as they are, but for
+        Spark's own runtime filter: a shuffled semi-join would move every line
+        before any of it is summed.
         """
         if count > max_broadcast:
             return self

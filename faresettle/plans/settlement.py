@@ -41,7 +41,7 @@ def sales(sources: SettlementSources, window: DateWindow, staging: Staging | Non
     payments = payments_in_window(sources.payt, sources.emis, window)
     details = Details(sources.payt_vatc, sources.payt_txca, "payt_sqnu").lines()
     if staging:
-        payments, details = _stage_and_reduce(payments, details, staging, "payments")
+        payments, details = _stage_and_reduce(payments, details, window, staging, "payments")
     return sale_fact(payments, details, issues_by_ticket(sources.emis, window))
 
 
@@ -49,12 +49,21 @@ def refunds(sources: SettlementSources, window: DateWindow, staging: Staging | N
     headers = refunds_in_window(sources.rmbt, window)
     details = Details(sources.rmbt_vatc, sources.rmbt_txca, "rmbt_id").lines()
     if staging:
-        headers, details = _stage_and_reduce(headers, details, staging, "refunds")
+        headers, details = _stage_and_reduce(headers, details, window, staging, "refunds")
     return refund_fact(headers, details)
 
 
-def _stage_and_reduce(headers: DataFrame, details: Details, staging: Staging, name: str) -> tuple[DataFrame, Details]:
-    staged = staging.write(headers, name)
+def _stage_and_reduce(
+    headers: DataFrame, details: Details, window: DateWindow, staging: Staging, name: str
+) -> tuple[DataFrame, Details]:
+    """Staged headers, and their details as far as the headers' number allows.
+
+    The headers are read back by their window key: a predicate on the staged side
+    is what lets Spark build a runtime filter from it where keys are too many to
+    broadcast.
+    """
+    staged = staging.write(headers.withColumn("window_key", F.lit(window.key)), name)
+    staged = staged.filter(F.col("window_key") == window.key).drop("window_key")
     parents = staged.select("sqnu")
     return staged, details.of_parents(parents, parents.count(), MAX_BROADCAST_PARENTS)
 
@@ -95,8 +104,7 @@ def settlement_report(
     With ``distinct``, groups that look the same collapse into one row, as under
     a SQL UNION; ``collapsed_groups`` shows what that loses.
     With ``staging``, the window's payments and refunds are written there first,
-    so that their number is known and, if small enough, the detail tables are
-    reduced to the window while they are scanned.
+    so that the detail tables can be reduced to the window while they are scanned.
     """
     facts = [sales(sources, window, staging), refunds(sources, window, staging)]
     return shown(settle(facts, sources.para, dom_int), distinct, date_as_text)

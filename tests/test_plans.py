@@ -77,13 +77,29 @@ def test_staged_report_filters_details_while_scanning(spark, lake, capsys):
     assert "LeftSemi" in plan
 
 
-def test_runtime_filter_prunes_the_payment_scan(spark, lake, without_broadcast, capsys):
-    """At scale the in-window tickets filter the payment scan before its shuffle."""
+@pytest.fixture()
+def every_scan_is_large(spark):
     key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
     before = spark.conf.get(key)
     spark.conf.set(key, "0")
-    try:
-        plan = explained(settlement_report(lake[0], queries.MONTH_WINDOW, lake[1]), capsys, "simple")
-    finally:
-        spark.conf.set(key, before)
-    assert "might_contain" in plan
+    yield
+    spark.conf.set(key, before)
+
+
+def filtered_columns(plan):
+    return set(re.findall(r"might_contain\(Subquery [^,]*, \[[^]]*\], xxhash64\((\w+)#", plan))
+
+
+def test_runtime_filter_prunes_the_payment_scan(lake, without_broadcast, every_scan_is_large, capsys):
+    """At scale the in-window tickets filter the payment scan before its shuffle."""
+    plan = explained(settlement_report(lake[0], queries.MONTH_WINDOW, lake[1]), capsys, "simple")
+    assert "tdnr" in filtered_columns(plan)
+
+
+def test_runtime_filter_prunes_details_beyond_the_broadcast_bound(
+    spark, lake, without_broadcast, every_scan_is_large, capsys, monkeypatch
+):
+    monkeypatch.setattr("faresettle.plans.settlement.MAX_BROADCAST_PARENTS", 0)
+    with Staging(spark) as staging:
+        plan = explained(settlement_report(lake[0], queries.MONTH_WINDOW, lake[1], staging=staging), capsys, "simple")
+    assert {"payt_sqnu", "rmbt_id"} <= filtered_columns(plan)
