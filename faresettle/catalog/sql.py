@@ -7,6 +7,7 @@ facts first, one grouping after, amounts as DECIMAL(18,2) until the last step.
 from __future__ import annotations
 
 from faresettle.operators.roster import GREETING
+from faresettle.plans.contract import MEASURES
 from faresettle.sources.payloads import DEFAULT_NUMBER, DEFAULT_PEOPLE
 
 FULL = ("1995-01-01", "2001-12-31")
@@ -55,23 +56,24 @@ _BASE = {"Fare": "price", "StdCom": "std", "SupplCom": "suppl", "VatCom": "vat",
 
 
 def _measures(suffix: str, fare_vat: str, factor: int) -> list[str]:
-    total = {name: f"sign * {factor} * SUM(COALESCE({column}, 0))" for name, column in _BASE.items()}
+    total = {name: f"SUM(CAST(sign * {factor} AS DECIMAL(2,0)) * COALESCE({column}, 0))" for name, column in _BASE.items()}
     total["TotalCom"] = f"{total['StdCom']} + {total['SupplCom']}"
     total["DiscFareNetVAT"] = f"{total['Fare']} - {total['SupplCom']} - {total['Vatf']}"
     total["YRNetVAT"] = f"{total['YR']} - {total['VatYR']}"
     total["Net"] = (f"{total['Fare']} + {total['Tax']} - {total['StdCom']}"
                     f" - {total['SupplCom']} - {total['VatCom']}")
     names = {name: f"{name}{suffix}" for name in total} | {"Vatf": fare_vat}
-    return [f'CAST({expression} AS DOUBLE) AS "{names[name]}"' for name, expression in total.items()]
+    return [f'CAST({expression} AS DECIMAL(28,2)) AS "{names[name]}"' for name, expression in total.items()]
 
 
 def report(window: tuple[str, str] = FULL, two_rows: bool = False, distinct: bool = True, kind: str | None = None) -> str:
-    """Text of a WITH list whose last entry is ``report``."""
+    """Text of a WITH list: ``report`` with decimal amounts, ``shown`` with double ones."""
     start, end = window
     shared = ("CASE WHEN country = isoc THEN 'D' ELSE 'I' END AS label, fop, ccy, isoc, cutp, "
               "price, std, suppl, vat, tax, yr, fare_vat, yr_vat")
     rest = "LEFT JOIN vat_sums USING (key) LEFT JOIN yr_sums USING (key) LEFT JOIN nations USING (key) LEFT JOIN para ON TRUE"
     measures = ",\n    ".join(_measures("", "Vatf", 1) + _measures("_COA", "VatFare_COA", 2))
+    doubles = ", ".join(f'CAST("{name}" AS DOUBLE) AS "{name}"' for name in MEASURES)
     only = f"WHERE kind = '{kind}'" if kind else ""
     return f"""{_BINDINGS},
 {_TWO_PARAMETERS if two_rows else _ONE_PARAMETER},
@@ -86,7 +88,9 @@ report AS (
     strftime(day, '%Y-%m-%d') AS "TrxDate", label AS "DomInt", fop AS "FOP", ccy AS "CCY", cutp AS "COA",
     {measures}
   FROM (SELECT * FROM facts WHERE day BETWEEN DATE '{start}' AND DATE '{end}') {only}
-  GROUP BY kind, sign, source, period, day, label, fop, ccy, isoc, cutp)"""
+  GROUP BY kind, sign, source, period, day, label, fop, ccy, isoc, cutp),
+shown AS (
+  SELECT "Type", "Source", "RptPeriod", "TrxDate", "DomInt", "FOP", "CCY", "COA", {doubles} FROM report)"""
 
 
 def _report_query(select: str, **options) -> str:
@@ -118,37 +122,46 @@ everyone AS (
   SELECT c_custkey, craft, name FROM people
   UNION ALL SELECT c_custkey, defaults.craft, defaults.name FROM roster, defaults WHERE NOT usable)"""
 
-_MONEY_COLUMNS = ('"Fare", "Net", "Net_COA"')
+_IDENTITIES = {
+    "TotalCom": '"StdCom" + "SupplCom"',
+    "DiscFareNetVAT": '"Fare" - "SupplCom" - "Vatf"',
+    "YRNetVAT": '"YR" - "VatYR"',
+    "Net": '"Fare" + "Tax" - "StdCom" - "SupplCom" - "VatCom"',
+    "TotalCom_COA": '"StdCom_COA" + "SupplCom_COA"',
+    "DiscFareNetVAT_COA": '"Fare_COA" - "SupplCom_COA" - "VatFare_COA"',
+    "YRNetVAT_COA": '"YR_COA" - "VatYR_COA"',
+    "Net_COA": '"Fare_COA" + "Tax_COA" - "StdCom_COA" - "SupplCom_COA" - "VatCom_COA"',
+}
 
 
 def check_sql() -> dict[str, str]:
-    whole = _report_query("SELECT * FROM report")
+    whole = _report_query("SELECT * FROM shown")
     start, end = MONTH
     in_month = f"\"TrxDate\" BETWEEN '{start}' AND '{end}'"
     identities = " UNION ALL ".join(
-        f"SELECT '{name}' AS identity, COUNT(*) AS checked, CAST(0 AS BIGINT) AS broken,"
-        f" SUM(\"{name}\") AS total FROM report"
-        for name in ("TotalCom", "DiscFareNetVAT", "YRNetVAT", "Net",
-                     "TotalCom_COA", "DiscFareNetVAT_COA", "YRNetVAT_COA", "Net_COA"))
-    per_day = 'COUNT(*) AS "rows", SUM("Net_COA") AS net'
+        f"SELECT '{name}' AS identity, COUNT(*) AS checked, COUNT(*) FILTER (\"{name}\" <> {follows}) AS broken,"
+        f" CAST(SUM({follows}) AS DOUBLE) AS total FROM report"
+        for name, follows in _IDENTITIES.items())
+    per_day = 'COUNT(*) AS "rows", CAST(SUM("Net_COA") AS DOUBLE) AS net'
     promoted = _report_query(
         f"""SELECT 'final' AS "table", "TrxDate", {per_day} FROM report WHERE {in_month} GROUP BY ALL
         UNION ALL SELECT 'recent', "TrxDate", {per_day} FROM report WHERE NOT {in_month} GROUP BY ALL""")
     return {
         "settlement_report": whole,
-        "settlement_report_month": _report_query("SELECT * FROM report", window=MONTH),
-        "settlement_report_staged": _report_query("SELECT * FROM report", window=MONTH),
-        "settlement_sale": _report_query("SELECT * FROM report", kind="Sale", distinct=False),
-        "settlement_refund": _report_query("SELECT * FROM report", kind="Refund", distinct=False),
+        "settlement_report_month": _report_query("SELECT * FROM shown", window=MONTH),
+        "settlement_report_staged": _report_query("SELECT * FROM shown", window=MONTH),
+        "settlement_sale": _report_query("SELECT * FROM shown", kind="Sale", distinct=False),
+        "settlement_refund": _report_query("SELECT * FROM shown", kind="Refund", distinct=False),
         "settlement_by_domint": _report_query(
-            'SELECT "Type", "DomInt", SUM("Fare") AS fare, SUM("Net") AS net, COUNT(*) AS "rows" FROM report GROUP BY ALL'),
-        "settlement_hidden_key": _report_query("SELECT * FROM report", two_rows=True, distinct=False),
+            'SELECT "Type", "DomInt", CAST(SUM("Fare") AS DOUBLE) AS fare, CAST(SUM("Net") AS DOUBLE) AS net, COUNT(*) AS "rows"'
+            " FROM report GROUP BY ALL"),
+        "settlement_hidden_key": _report_query("SELECT * FROM shown", two_rows=True, distinct=False),
         "settlement_collapsed": _report_query(
             'SELECT "Type", "TrxDate", "Source", "DomInt", "FOP", "CCY", "Fare", COUNT(*) AS "groups"'
-            " FROM report GROUP BY ALL HAVING COUNT(*) > 1", two_rows=True, distinct=False),
+            " FROM shown GROUP BY ALL HAVING COUNT(*) > 1", two_rows=True, distinct=False),
         "settlement_identities": _report_query(identities),
-        "union_distinct": _report_query("SELECT * FROM report", two_rows=True),
-        "report_net_total": _report_query('SELECT SUM("DiscFareNetVAT_COA") AS net FROM report'),
+        "union_distinct": _report_query("SELECT * FROM shown", two_rows=True),
+        "report_net_total": _report_query('SELECT CAST(SUM("DiscFareNetVAT_COA") AS DOUBLE) AS net FROM report'),
         "vat_by_parent": f"""WITH {_BINDINGS} SELECT key AS payt_sqnu, CAST(fare_vat AS DOUBLE) AS vatcf,
             CAST(2 * fare_vat AS DOUBLE) AS vatff, CAST(yr_vat AS DOUBLE) AS vatcyr, CAST(2 * yr_vat AS DOUBLE) AS vatfyr FROM vat_sums""",
         "yr_tax_by_parent": f"""WITH {_BINDINGS} SELECT key AS payt_sqnu, CAST(yr AS DOUBLE) AS yr_tmfa,
@@ -185,7 +198,7 @@ def check_sql() -> dict[str, str]:
         "load_append_parquet": whole,
         "load_append_csv": whole,
         "stream_recent_drops": whole,
-        "delete_range": _report_query(f"SELECT * FROM report WHERE NOT {in_month}"),
+        "delete_range": _report_query(f"SELECT * FROM shown WHERE NOT {in_month}"),
         "window_replace": whole,
         "promote_final": promoted,
         "monthly_settlement": promoted,

@@ -13,11 +13,11 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from faresettle.functions.values import is_iso_day
 from faresettle.functions.windows import DateWindow
 from faresettle.session import Staging
 
 PARTITION_COLUMN = "TrxDate"
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def create_table(
@@ -64,12 +64,12 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 
 def partitions_in(spark: SparkSession, table: str, window: DateWindow) -> list[dict[str, str]]:
-    """Partition specs whose ``TrxDate`` lies in the window; never the null one."""
-    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    specs = [dict(part.split("=", 1) for part in row.partition.split("/")) for row in rows]
-    specs = [{name: unquote(value) for name, value in spec.items()} for spec in specs]
-    start, end = window.iso
-    return [s for s in specs if s[PARTITION_COLUMN] != _NULL_PARTITION and start <= s[PARTITION_COLUMN] <= end]
+    """Partition specs whose ``TrxDate`` lies in the window; never the null one,
+    whose name sorts after every date."""
+    day = F.regexp_extract("partition", f"(?:^|/){PARTITION_COLUMN}=([^/]*)", 1)
+    names = spark.sql(f"SHOW PARTITIONS {table}").filter(window.contains_text(day)).collect()
+    specs = [dict(part.split("=", 1) for part in row.partition.split("/")) for row in names]
+    return [{name: unquote(value) for name, value in spec.items()} for spec in specs]
 
 
 def drop_partitions(spark: SparkSession, table: str, specs: list[dict[str, str]]) -> None:
@@ -113,7 +113,8 @@ def window_replace(df: DataFrame, table: str, window: DateWindow) -> None:
 def replace_from_files(batch: DataFrame, table: str, window: DateWindow) -> None:
     """``window_replace`` for a batch that only reads files already written."""
     spark = batch.sparkSession
-    inside = F.coalesce(window.contains_text(F.col(PARTITION_COLUMN)), F.lit(False))
+    day = F.col(PARTITION_COLUMN)
+    inside = F.coalesce(is_iso_day(day) & window.contains_text(day), F.lit(False))
     if not batch.filter(~inside).isEmpty():
         raise ValueError(f"the batch has rows outside the window {window.iso}")
     overwrite_partitions(batch, table)

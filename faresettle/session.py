@@ -44,6 +44,13 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, **extra: str) ->
     return spark
 
 
+def tune(spark: SparkSession) -> None:
+    """Apply the settings above to a running session, as far as it allows."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

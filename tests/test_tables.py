@@ -89,7 +89,7 @@ def test_batch_may_read_the_table_it_replaces(spark, loaded):
     assert content(spark, loaded) == OUTSIDE + Counter({(d, 9): 1 for d in ("2025-08-01", "2025-08-15", "2025-08-31")})
 
 
-@pytest.mark.parametrize("day", ["2025-09-01", None])
+@pytest.mark.parametrize("day", ["2025-09-01", "2025-08-1x", None])
 def test_batch_outside_the_window_changes_nothing(spark, loaded, day):
     before = content(spark, loaded)
     with pytest.raises(ValueError, match="outside the window"):
