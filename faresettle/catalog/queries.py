@@ -7,17 +7,19 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from faresettle.catalog import bindings
 from faresettle.catalog.bindings import dom_int_stand_in, driver_table, settlement_sources
-from faresettle.catalog.sql import FULL, MONTH
+from faresettle.catalog.sql import DAY_IN_NEXT_WEEK, FULL, MONTH
 from faresettle.functions.values import iso_text
 from faresettle.functions.windows import (
     DateWindow,
     override_columns,
     previous_month_columns,
+    wed_tue_week,
     wed_tue_week_columns,
     window_key_column,
 )
@@ -62,8 +64,9 @@ def _report(
     return settlement.settlement_report(sources, window, dom_int_stand_in(spark, sf_dir), **options)
 
 
-def scratch_table(spark: SparkSession, schema=None) -> str:
-    """A new managed table of report rows, kept in the shared folder."""
+def scratch_table(spark: SparkSession, schema: StructType | None = None) -> str:
+    """A new managed table of report rows in the shared folder. It stays there,
+    since a query hands back a frame that still has to read it."""
     table = f"{Staging(spark).database}.sales"
     if schema is not None:
         tables.create_table(spark, table, schema)
@@ -260,6 +263,14 @@ def write_parquet_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(spark.read.schema(REPORT_SCHEMA).parquet(path))
 
 
+@query
+def weekly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    week = wed_tue_week(date.fromisoformat(DAY_IN_NEXT_WEEK))
+    sources, rule = settlement_sources(spark, sf_dir), dom_int_stand_in(spark, sf_dir)
+    report = spark.read.parquet(jobs.weekly_report(sources, week, rule, scratch_path(spark, "week")))
+    return _plain(report.withColumn("TrxDate", iso_text(F.col("TrxDate"))))
+
+
 def _csv_drop(spark: SparkSession, report: DataFrame) -> str:
     path = FULL_WINDOW.path(scratch_path(spark, "drop"), jobs.RECENT_PREFIX, "csv")
     export.export_csv(report, path, sep=";")
@@ -334,7 +345,9 @@ def window_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _per_day(spark: SparkSession, final: str, recent: str) -> DataFrame:
     frames = [
-        spark.table(table).groupBy("TrxDate").agg(F.expr("count(1) AS `rows`"), F.expr("CAST(sum(Net_COA) AS DOUBLE) AS net"))
+        spark.table(table)
+        .groupBy("TrxDate")
+        .agg(F.expr("count(1) AS `rows`"), F.expr("CAST(sum(Net_COA) AS DOUBLE) AS net"))
         .selectExpr(f"'{name}' AS `table`", "TrxDate", "`rows`", "net")
         for name, table in (("final", final), ("recent", recent))
     ]
@@ -434,7 +447,8 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = f"to_json(named_struct('number', 1, 'people', {people}))"
     return driver_table(spark, sf_dir, "customer").selectExpr(
         "c_custkey",
-        f"CASE WHEN c_acctbal < 0 THEN NULL WHEN c_mktsegment = 'FURNITURE' THEN left({payload}, 20) ELSE {payload} END AS payload",
+        f"CASE WHEN c_acctbal < 0 THEN NULL WHEN c_mktsegment = 'FURNITURE' THEN left({payload}, 20)"
+        f" ELSE {payload} END AS payload",
     )
 
 

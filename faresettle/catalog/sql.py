@@ -12,6 +12,8 @@ from faresettle.sources.payloads import DEFAULT_NUMBER, DEFAULT_PEOPLE
 
 FULL = ("1995-01-01", "2001-12-31")
 MONTH = ("1998-08-01", "1998-08-31")
+WEEK = ("1998-08-19", "1998-08-25")
+DAY_IN_NEXT_WEEK = "1998-08-27"
 
 _HEADER_AMOUNTS = """
     CAST(o_totalprice AS DECIMAL(18,2)) AS price,
@@ -150,6 +152,7 @@ def check_sql() -> dict[str, str]:
         "settlement_report": whole,
         "settlement_report_month": _report_query("SELECT * FROM shown", window=MONTH),
         "settlement_report_staged": _report_query("SELECT * FROM shown", window=MONTH),
+        "weekly_report": _report_query("SELECT * FROM shown", window=WEEK),
         "settlement_sale": _report_query("SELECT * FROM shown", kind="Sale", distinct=False),
         "settlement_refund": _report_query("SELECT * FROM shown", kind="Refund", distinct=False),
         "settlement_by_domint": _report_query(

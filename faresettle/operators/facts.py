@@ -8,6 +8,7 @@ from faresettle.functions.windows import DateWindow
 from faresettle.operators.details import Details, null_safe_sums
 from faresettle.plans.contract import AMOUNTS, BASE_MEASURES
 
+
 def amount_columns(branch: str) -> dict[str, str]:
     """Report amount -> source column, for ``branch`` ``sale`` or ``refund``."""
     pairs = [(m, getattr(m, branch)) for m in BASE_MEASURES]

@@ -16,6 +16,7 @@ from faresettle.sources.files import read_parquet_window, read_recent_csv
 # The prefixes of window-named files.
 FINAL_PREFIX = "sales/sales_refund"
 RECENT_PREFIX = "sales/sales_recent"
+TRIAL_PREFIX = "sales/sales_refund_test"
 
 
 def monthly_settlement(
@@ -34,6 +35,12 @@ def monthly_settlement(
     return path
 
 
+def weekly_report(sources: SettlementSources, window: DateWindow, dom_int: DomIntRule, root: str) -> str:
+    """Write the window's report with dates as dates, under a key of its own."""
+    report = settlement_report(sources, window, dom_int, date_as_text=False)
+    return write_parquet_window(report, root, TRIAL_PREFIX, window)
+
+
 def weekly_recent(spark: SparkSession, window: DateWindow, root: str, recent: str, replace: bool = True) -> None:
     """Load the window's drop. Plain append repeats its rows when run again."""
     drop = read_recent_csv(spark, window.path(root, RECENT_PREFIX, "csv"))

@@ -117,9 +117,10 @@ def shown(groups: DataFrame, distinct: bool, date_as_text: bool = True) -> DataF
     before they widen it.
     """
     money = MONEY_SUM.simpleString()
+    day = f"date_format(trx_day, '{ISO_DATE}')" if date_as_text else "trx_day"
     rows = groups.selectExpr(
         *[key for key in KEYS if key != "TrxDate"],
-        f"{f"date_format(trx_day, '{ISO_DATE}')" if date_as_text else 'trx_day'} AS TrxDate",
+        f"{day} AS TrxDate",
         "cutp AS COA",
         *[f"CAST(coalesce(if(Type = 'Refund', -{name}, {name}), 0) AS {money}) AS {name}" for name in AMOUNTS],
     )

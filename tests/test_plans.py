@@ -5,8 +5,9 @@ import re
 import pytest
 
 from faresettle.catalog import bindings, queries
-from faresettle.operators.details import Details, vat_by_parent
 from faresettle.operators.classify import TicketCountryRule
+from faresettle.operators.details import Details, vat_by_parent
+from faresettle.operators.tables import aligned
 from faresettle.plans.settlement import SettlementSources, settlement_report
 from faresettle.session import Staging
 
@@ -103,3 +104,10 @@ def test_runtime_filter_prunes_details_beyond_the_broadcast_bound(
     with Staging(spark) as staging:
         plan = explained(settlement_report(lake[0], queries.MONTH_WINDOW, lake[1], staging=staging), capsys, "simple")
     assert {"payt_sqnu", "rmbt_id"} <= filtered_columns(plan)
+
+
+def test_loads_gather_rows_by_day(spark, table, capsys):
+    """One day's rows meet in few tasks, and Spark may split a large day."""
+    rows = spark.table(table)
+    plan = explained(aligned(rows, table), capsys, "simple")
+    assert re.search(r"Exchange hashpartitioning\(TrxDate#.*REBALANCE_PARTITIONS_BY_COL", plan)
