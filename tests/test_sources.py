@@ -1,5 +1,6 @@
 import json
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,5 +120,20 @@ def test_roster_files_and_empty_folder(spark):
     assert [r.number for r in payloads.read_roster_files(spark, empty).collect()] == [12]
 
 
-def test_shared_folder_is_the_clusters(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+class Session:
+    """A session as far as ``shared_folder`` asks."""
+
+    def __init__(self, **settings):
+        self.conf = settings
+        self.sparkContext = SimpleNamespace(applicationId="application-1")
+
+
+def test_shared_folder_is_the_clusters():
+    assert shared_folder(Session(**{"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"
+
+
+def test_shared_folder_falls_back_on_a_local_master_only():
+    local = Session(**{"spark.master": "local[4]"})
+    assert shared_folder(local) == shared_folder(local)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session(**{"spark.master": "yarn"}))
