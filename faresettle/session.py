@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
     # Capturing a call site for every column costs more than building the plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # The JVM does not compile methods above 8000 bytes, and aggregates of many
@@ -37,6 +36,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, **extra: str) ->
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
