@@ -1,0 +1,22 @@
+import pytest
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture()
+def documents(spark):
+    """Documents of given (id, text) pairs, with columns whose names operators use inside."""
+
+    def make(rows):
+        df = spark.createDataFrame([(i, t, None, "s", None if t is None else len(t)) for i, t in rows], DOCUMENTS)
+        return df.selectExpr("*", "'x' AS bits", "'x' AS row", "'x' AS shard", "'x' AS score", "'x' AS word", "'x' AS chunk", "'x' AS fingerprint", "'x' AS held")
+
+    return make
+
+
+@pytest.fixture()
+def sf(spark):
+    def read(name, scale="0.001"):
+        return spark.read.parquet(f"/root/testdata/sf{scale}/{name}.parquet")
+
+    return read

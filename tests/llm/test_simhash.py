@@ -1,0 +1,134 @@
+import random
+
+import numpy as np
+import xxhash
+
+from faresettle.llm import simhash
+
+SPLIT = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def slow_fingerprint(text, words=3):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for c in SPLIT[1:]:
+        lower = lower.replace(c, " ")
+    tokens = [w for w in lower.split(" ") if w]
+    if not tokens:
+        return 0
+    parts = [" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), seed=42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def classes(values, budget=3):
+    """Smallest index reachable, by comparing all pairs."""
+    label = list(range(len(values)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, x in enumerate(values):
+        for j in range(i):
+            if (x ^ values[j]).bit_count() <= budget:
+                a, b = sorted((find(i), find(j)))
+                label[b] = a
+    return [find(i) for i in range(len(values))]
+
+
+def test_fingerprints_by_the_letter():
+    texts = ["", " \t\n\x0b\x0c\r", "One", "one two", "A b C d", "É é x y z", "a a a a a", "\x1cx \x85y z w"]
+    for text in texts:
+        assert simhash.fingerprint(text.encode()) % 2**64 == slow_fingerprint(text)
+
+
+def test_long_text_in_parts():
+    text = " ".join(f"w{i % 977}" for i in range(70_000))
+    assert simhash.fingerprint(text.encode()) % 2**64 == slow_fingerprint(text)
+
+
+def near_values(seed=1, families=40, copies=30):
+    rng = random.Random(seed)
+    values = []
+    for _ in range(families):
+        value = rng.getrandbits(64)
+        for _ in range(copies):
+            for _ in range(rng.randrange(3)):
+                value ^= 1 << rng.randrange(64)
+            values.append(value)
+    return values
+
+
+def check_pairs(spark, values, **options):
+    signed = np.array(values, np.uint64).view(np.int64).tolist()
+    bits = spark.createDataFrame([(x,) for x in signed], "bits long")
+    from faresettle.llm.components import connected_components
+
+    found = {r["node"]: r["root"] for r in connected_components(simhash.near_links(bits, **options)).collect()}
+    expected = classes(values, options.get("most_bits", 3))
+    groups = {}
+    for x, c in zip(signed, expected):
+        groups.setdefault(c, set()).add(found.get(x, x))
+    assert all(len(g) == 1 for g in groups.values())
+    assert len({next(iter(g)) for g in groups.values()}) == len(groups)
+
+
+def test_trie_join_links_what_all_pairs_link(spark):
+    check_pairs(spark, near_values())
+
+
+def test_split_tries_give_the_same(spark):
+    check_pairs(spark, near_values(2, families=4, copies=120), trie_root=5)
+
+
+def test_other_budgets(spark):
+    for budget in (0, 1, 5):
+        check_pairs(spark, near_values(3, families=10, copies=20), most_bits=budget)
+
+
+def test_small_frontier(monkeypatch):
+    monkeypatch.setattr(simhash, "FRONTIER", 8)
+    values = np.array(sorted(set(near_values(4, families=2, copies=60))), np.uint64)
+    start = tuple(np.array([x]) for x in (0, len(values), 0, len(values), 0))
+    found = {(i, j) for left, right in simhash.trie_pairs(values, start, 0, 3) for i, j in zip(left.tolist(), right.tolist())}
+    near = {(i, j) for j in range(len(values)) for i in range(j) if (int(values[i]) ^ int(values[j])).bit_count() <= 3}
+    assert found == near
+
+
+def test_rows_of_every_kind(documents):
+    rows = [(3, "a b c d"), (1, "A  b\tc d"), (None, "a b c d"), (7, None), (8, ""), (9, " \n"), (3, "a b c d"), (5, "quite different words here")]
+    out = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["component_id"], r["fingerprint"]) for r in simhash.near_duplicates(documents(rows)).collect())
+    same = f"{slow_fingerprint('a b c d'):016x}"
+    zero = "0" * 16
+    assert out == [
+        (-1, 1, same), (1, 1, same), (3, 1, same), (3, 1, same), (5, 5, f"{slow_fingerprint('quite different words here'):016x}"),
+        (7, 7, zero), (8, 7, zero), (9, 7, zero),
+    ]
+
+
+def test_nothing_but_nulls(documents):
+    out = simhash.near_duplicates(documents([(None, None), (None, "x")])).collect()
+    assert [r["component_id"] for r in out] == [None, None]
+    assert simhash.near_duplicates(documents([])).count() == 0
+
+
+def test_table_against_all_pairs(sf):
+    docs = sf("documents")
+    out = {r["doc_id"]: r for r in simhash.near_duplicates(docs).collect()}
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    prints = [slow_fingerprint(t) for _, t in rows]
+    expected = classes(prints)
+    for (doc_id, _), bits, first in zip(rows, prints, expected):
+        assert (out[doc_id]["fingerprint"], out[doc_id]["component_id"]) == (f"{bits:016x}", rows[first][0])
+
+
+def test_one_of_each_group_stays(documents):
+    rows = [(3, "a b c d"), (1, "A  b\tc d"), (None, "a b c d"), (7, None), (8, ""), (2, "p q r s"), (2, "p q r s"), (2, "u v w x"), (None, "lone text of null"), (None, "lone text of null")]
+    kept = simhash.keep_one(documents(rows))
+    assert kept.columns == documents(rows).columns
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in kept.collect() if r["doc_id"] != 7) == [
+        (-1, "lone text of null"), (1, "A  b\tc d"), (2, "p q r s"), (2, "u v w x"),
+    ]
+    assert kept.where("doc_id = 7").count() == 1
+    assert simhash.keep_one(documents([])).count() == 0
