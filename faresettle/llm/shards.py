@@ -37,9 +37,8 @@ def propagate(edges: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
     """`row`, `shard` for the rows of `edges` (`a`, `b`, each pair once): linked rows in the same shard, as far as the quotas let them.
 
     Rows start in turns. In each round every second row, by a hash, may move to the shard that most of its
-    neighbours are in, if more than in its own; where a shard has less room than rows want to enter, those
-    that gain most go first. Room is what its quota leaves, and what moves out in the round counts only in
-    the next, so no shard ever exceeds its quota. Ends early when no row wants to move.
+    neighbours are in, if more than in its own. As many go from one shard to another as come back, and then as many as
+    the target's quota leaves room for; those that gain most go first. So no shard ever exceeds its quota. Ends early when no row wants to move.
     """
     both = checkpointed(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     nodes = both.select(F.col("a").alias("row")).distinct()
@@ -69,7 +68,7 @@ def propagate(edges: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
             .where("gain > 0")
         )
         wishes = checkpointed(wishes)
-        wanted = {r["target"]: r["n"] for r in wishes.groupBy("target").agg(F.count("*").alias("n")).collect()}
+        wanted = {(r["source"], r["target"]): r["n"] for r in wishes.groupBy("source", "target").agg(F.count("*").alias("n")).collect()}
         # Each half of the rows has its turn before the search ends.
         still = 0 if wanted else still + 1
         if still == 4:
@@ -77,25 +76,33 @@ def propagate(edges: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
         if not wanted:
             continue
         held = {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-        room = {s: quotas[s] - held.get(s, 0) for s in range(len(quotas))}
-        if all(wanted[s] <= room[s] for s in wanted):
-            moves = wishes.select("row", "target")
-        else:
-            moves = _first(wishes, room, wanted)
+        allowed = _allowed(wanted, {s: quotas[s] - held.get(s, 0) for s in range(len(quotas))})
+        moves = wishes.select("row", "target") if allowed == wanted else _first(wishes, allowed, sum(wanted.values()))
         labels = checkpointed(
             labels.join(moves, "row", "left").select("row", F.coalesce("target", "shard").alias("shard"))
         )
     return labels
 
 
-def _first(wishes: DataFrame, room: dict[int, int], wanted: dict[int, int]) -> DataFrame:
-    """The wishes that find room: those of most gain first, then by a hash; ranked by blocks of equal gain."""
-    most = F.create_map(*(F.lit(x) for s, n in room.items() for x in (s, n)))
-    gains = wishes.groupBy("target", "gain").agg(F.count("*").alias("n"))
-    above = Window.partitionBy("target").orderBy(F.desc("gain")).rowsBetween(Window.unboundedPreceding, -1)
-    gains = gains.select("target", "gain", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("above"))
-    placed = ranked(wishes, ["target", "gain"], ["row"], sum(wanted.values()), "rank").join(gains, ["target", "gain"])
-    return placed.where(F.col("above") + F.col("rank") < most[F.col("target")]).select("row", "target")
+def _allowed(wanted: dict[tuple[int, int], int], room: dict[int, int]) -> dict[tuple[int, int], int]:
+    """How many rows may move from a shard to another: as many as move the other way, and then what the room lets in."""
+    allowed = {(a, b): min(n, wanted.get((b, a), 0)) for (a, b), n in wanted.items()}
+    for a, b in sorted(wanted):
+        more = min(wanted[a, b] - allowed[a, b], room[b])
+        allowed[a, b] += more
+        room[b] -= more
+    return allowed
+
+
+def _first(wishes: DataFrame, allowed: dict[tuple[int, int], int], count: int) -> DataFrame:
+    """The wishes that are allowed: those of most gain first, then by a hash; ranked by blocks of equal gain."""
+    way = ["source", "target"]
+    most = F.create_map(*(F.lit(x) for (a, b), n in allowed.items() for x in (f"{a}>{b}", n)))
+    gains = wishes.groupBy(*way, "gain").agg(F.count("*").alias("n"))
+    above = Window.partitionBy(*way).orderBy(F.desc("gain")).rowsBetween(Window.unboundedPreceding, -1)
+    gains = gains.select(*way, "gain", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("above"))
+    placed = ranked(wishes, [*way, "gain"], ["row"], count, "rank").join(gains, [*way, "gain"])
+    return placed.where(F.col("above") + F.col("rank") < most[F.concat_ws(">", *way)]).select("row", "target")
 
 
 def _even(quotas: list[int], count: int) -> list[int]:

@@ -31,6 +31,8 @@ DICTIONARY_PAGES = 400
 DICTIONARY_PAGE_BYTES = 65_536
 ARCHIVE_BYTES = 16 * 1024 * 1024
 LEVEL = 3
+# Tasks that archives are dealt to for reading, one archive each up to here.
+MOST_READERS = 50_000
 
 
 class ArchiveError(ValueError):
@@ -267,7 +269,8 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                     raise ArchiveError(f"{len(rows)} records in {path}, {records} written")
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), types)], names)
 
-    spread = manifest.select("path", "records").repartition(F.col("path"))
+    # The manifest is a few short rows to Spark, but each stands for an archive.
+    spread = manifest.select("path", "records").repartition(max(1, min(manifest.count(), MOST_READERS)), "path")
     return spread.mapInArrow(run, RECORD_SCHEMA)
 
 

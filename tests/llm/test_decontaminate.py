@@ -117,9 +117,9 @@ def test_table_against_all_pairs(sf):
     parts = [(r["item_id"], *map(d.shingles, d.question_and_answer(r["text"]))) for r in items.collect()]
     expected = set()
     for r in docs.collect():
-        held = d.shingles(d.words_of(r["text"]))
-        for item, question, answer in parts:
-            if all(not s or len(s & held) >= d.OVERLAP * len(s) for s in (question, answer) if not s or len(next(iter(s))) == d.SHINGLE_WORDS):
-                if len(question & held) and (not answer or len(next(iter(answer))) < d.SHINGLE_WORDS or answer & held):
-                    expected.add((r["doc_id"], item))
+        words = d.words_of(r["text"])
+        held = {size: d.shingles(words, size) for size in range(1, d.SHINGLE_WORDS + 1)}
+        for item, *wanted in parts:
+            if all(len(s & held[len(next(iter(s)))]) >= d.OVERLAP * len(s) for s in wanted if s):
+                expected.add((r["doc_id"], item))
     assert found == expected
