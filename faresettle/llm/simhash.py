@@ -21,7 +21,7 @@ SEED = 42
 TRIE_ROOT = 50_000
 SPLIT_BITS = 6
 # Node pairs that one step of a traversal holds in memory.
-FRONTIER = 1 << 20
+FRONTIER = 1 << 17
 # Two nodes with this many pairs of fingerprints or fewer are compared at once.
 SMALL = 16
 
