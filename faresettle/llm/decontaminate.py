@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -16,13 +19,15 @@ from pyspark.sql import DataFrame, functions as F
 K1, B = 1.2, 0.75
 # A passage is a candidate for an item from this share of the score that the item's own text gets.
 THRESHOLD = 0.5
-BLOCK_ITEMS = 16
+BLOCK_ITEMS = 4
 SHINGLE_WORDS = 5
 OVERLAP = 0.8
 # Words of benchmark items that one index holds; a larger benchmark is searched in several passes.
 INDEX_WORDS = 1_000_000
 # Words of text that are looked at together.
 CHUNK_WORDS = 400_000
+# Terms of windows whose block bounds are added up together.
+BOUND_TERMS = 1 << 16
 WORD = re.compile(r"\w+")
 
 
@@ -48,7 +53,7 @@ def shingles(words: list[str], size: int = SHINGLE_WORDS) -> set[tuple[str, ...]
     return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()
 
 
-@dataclass(frozen=True)
+@dataclass
 class Index:
     """Postings of items by term, in item order, with the largest impact of each term in each block of items.
 
@@ -96,20 +101,28 @@ class Index:
         begin = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
         return Index(np.array(ids, np.int64), questions, answers, terms, begin, items, impacts, most, 2 * longest)
 
+    @cached_property
+    def postings(self) -> list[tuple[list[int], list[float], list[float], float]]:
+        """Of each term: items, impacts, the largest impact by block and of all."""
+        ends = zip(self.begin[:-1].tolist(), self.begin[1:].tolist(), self.block_most.tolist())
+        return [(self.items[a:b].tolist(), self.impacts[a:b].tolist(), most, max(most)) for a, b, most in ends]
+
     def retrieve(self, query: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """All items that score `threshold` or more for a set of terms, by block-max WAND.
 
         Cursors stand on the terms' postings. The pivot is the first item at which the largest impacts of the
-        cursors up to it reach the threshold; it is scored only if the largest impacts in its block do, else
-        the cursors go on to the next block or the next cursor's item.
+        cursors up to it reach the threshold. Where the largest impacts in its block don't, the cursors go on to the next
+        block in which those of all terms do; else the pivot is scored once all cursors before it stand on it.
         """
         slack = threshold - 1e-9
-        lists = [self.items[self.begin[t] : self.begin[t + 1]].tolist() for t in query]
-        weights = [self.impacts[self.begin[t] : self.begin[t + 1]].tolist() for t in query]
-        blocks = [self.block_most[t] for t in query]
-        most = [float(b.max()) for b in blocks]
-        at = [0] * len(lists)
-        live, found, end = list(range(len(lists))), [], len(self.ids)
+        # A little lower, as these bounds are added up in single precision.
+        open_blocks = np.flatnonzero(self.block_most[query].sum(0) >= threshold - 1e-4).tolist()
+        if not open_blocks:
+            return []
+        held = [self.postings[t] for t in query]
+        lists, weights, blocks, most = ([p[k] for p in held] for k in range(4))
+        at = [bisect_left(x, open_blocks[0] * BLOCK_ITEMS) for x in lists]
+        live, found = [k for k in range(len(lists)) if at[k] < len(lists[k])], []
         while live:
             live.sort(key=lambda k: lists[k][at[k]])
             bound, pivot = 0.0, -1
@@ -124,8 +137,14 @@ class Index:
             while pivot + 1 < len(live) and lists[live[pivot + 1]][at[live[pivot + 1]]] == item:
                 pivot += 1
             ahead, block = live[: pivot + 1], item // BLOCK_ITEMS
-            if sum(float(blocks[k][block]) for k in ahead) < slack:
-                after = lists[live[pivot + 1]][at[live[pivot + 1]]] if pivot + 1 < len(live) else end
+            place = bisect_left(open_blocks, block)
+            if place == len(open_blocks):
+                break
+            if open_blocks[place] != block:
+                target = open_blocks[place] * BLOCK_ITEMS
+            elif sum(blocks[k][block] for k in ahead) < slack:
+                # Up to the next cursor's item only these cursors count, and in this block they don't reach.
+                after = lists[live[pivot + 1]][at[live[pivot + 1]]] if pivot + 1 < len(live) else len(self.ids)
                 target = min((block + 1) * BLOCK_ITEMS, after)
             elif lists[ahead[0]][at[ahead[0]]] == item:
                 value = sum(weights[k][at[k]] for k in ahead)
@@ -134,9 +153,10 @@ class Index:
                 target = item + 1
             else:
                 target = item
-            for k in ahead:
-                while at[k] < len(lists[k]) and lists[k][at[k]] < target:
-                    at[k] += 1
+            # Cursors that lag behind the target go there, those after the pivot too if a block is passed over.
+            for k in live if open_blocks[place] != block else ahead:
+                if lists[k][at[k]] < target:
+                    at[k] = bisect_left(lists[k], target, at[k])
             live = [k for k in live if at[k] < len(lists[k])]
         return found
 
@@ -147,34 +167,36 @@ class Index:
         is searched only if the block bounds of its terms reach the threshold in some block.
         """
         half = self.window // 2
-        terms = np.fromiter((self.terms.get(w, -1) for w in words), np.int64, len(words))
+        terms = np.fromiter(map(self.terms.get, words, repeat(-1)), np.int64, len(words))
         sizes = np.diff(first_of_text)
-        halves = -(-sizes // half)
-        first_half = np.concatenate(([0], np.cumsum(halves)))
+        # Every text's last half lies in the window before, unless it is the only one.
+        windows = np.where(sizes > 0, np.maximum(1, -(-sizes // half) - 1), 0)
+        first_window = np.concatenate(([0], np.cumsum(windows)))
         text = np.repeat(np.arange(len(sizes)), sizes)
-        place = np.arange(len(words)) - first_of_text[text]
-        known = terms >= 0
-        keys = np.unique((first_half[text[known]] + place[known] // half) * len(self.terms) + terms[known])
-        of_half, term = keys // max(1, len(self.terms)), keys % max(1, len(self.terms))
-        if not len(keys):
+        known = np.flatnonzero(terms >= 0)
+        if not len(known):
             return
-        begins = np.flatnonzero(np.r_[True, of_half[1:] != of_half[:-1]])
-        bounds = np.zeros((int(first_half[-1]), self.block_most.shape[1]), np.float32)
-        for low in range(0, len(begins), 65536):
-            part = begins[low : low + 65536]
-            stop = begins[low + 65536] if low + 65536 < len(begins) else len(keys)
-            bounds[of_half[part]] = np.add.reduceat(self.block_most[term[part[0] : stop]], part - part[0], axis=0)
-        starts = np.full(len(bounds) + 1, len(keys))
-        starts[of_half[begins]] = begins
-        starts = np.minimum.accumulate(starts[::-1])[::-1]
-        last = np.zeros(len(bounds), bool)
-        last[first_half[1:][halves > 0] - 1] = True
-        following = np.vstack([bounds[1:], np.zeros((1, bounds.shape[1]), np.float32)]) * ~last[:, None]
-        for window in np.flatnonzero((bounds + following).max(1) >= threshold - 1e-4).tolist():
-            own = term[starts[window] : starts[window + 1 if last[window] else window + 2]]
-            of = int(np.searchsorted(first_half, window, "right")) - 1
-            for item, value in self.retrieve(np.unique(own), threshold):
-                yield of, int(first_of_text[of] + (window - first_half[of]) * half), item, value
+        of = text[known]
+        in_half = (known - first_of_text[of]) // half
+        keys = []
+        for back in (0, 1):
+            there = (in_half >= back) & (in_half - back < windows[of])
+            keys.append((first_window[of[there]] + in_half[there] - back) * len(self.terms) + terms[known[there]])
+        keys = np.unique(np.concatenate(keys))
+        window, term = keys // len(self.terms), keys % len(self.terms)
+        begins = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
+        ends = np.append(begins[1:], len(keys))
+        low = 0
+        while low < len(begins):
+            high = max(low + 1, int(np.searchsorted(ends, begins[low] + BOUND_TERMS, "right")))
+            part = slice(begins[low], ends[high - 1])
+            bounds = np.add.reduceat(self.block_most[term[part]], begins[low:high] - begins[low], axis=0).max(1)
+            for k in (low + np.flatnonzero(bounds >= threshold - 1e-4)).tolist():
+                number = int(window[begins[k]])
+                owner = int(np.searchsorted(first_window, number, "right")) - 1
+                for item, value in self.retrieve(term[begins[k] : ends[k]], threshold):
+                    yield owner, int(first_of_text[owner] + (number - first_window[owner]) * half), item, value
+            low = high
 
     def verify(self, words: list[str], item: int) -> tuple[float, float]:
         """The shares of the item's question and answer shingles that the words hold; an empty answer is held."""
