@@ -37,15 +37,15 @@ def propagate(edges: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
     """`row`, `shard` for the rows of `edges` (`a`, `b`, each pair once): linked rows in the same shard, as far as the quotas let them.
 
     Rows start in turns. In each round every second row, by a hash, may move to the shard that most of its
-    neighbours are in, if more than in its own. As many go from one shard to another as come back, and then as many as
+    neighbours are in (a draw among equals), if more than in its own. Rows change places around rings of shards, and then as many move as
     the target's quota leaves room for; those that gain most go first. So no shard ever exceeds its quota. Ends early when no row wants to move.
     """
     both = checkpointed(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     nodes = both.select(F.col("a").alias("row")).distinct()
     count = nodes.count()
-    labels = ranked(nodes, [], ["row"], count, "rank").select("row", _shard_of("rank", _even(quotas, count)).alias("shard"))
+    held = _even(quotas, count)
+    labels = ranked(nodes, [], ["row"], count, "rank").select("row", _shard_of("rank", held).alias("shard"))
     labels = checkpointed(labels)
-    still = 0
     for turn in range(rounds):
         votes = (
             both.join(labels.select(F.col("row").alias("b"), "shard"), "b")
@@ -53,30 +53,32 @@ def propagate(edges: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
             .agg(F.count("*").alias("votes"))
         )
         best = votes.groupBy(F.col("a").alias("row")).agg(
-            F.max(F.struct("votes", (-F.col("shard")).alias("neg"))).alias("best"),
+            F.max(F.struct("votes", F.xxhash64("a", "shard", F.lit(turn)).alias("draw"), "shard")).alias("best"),
             F.map_from_entries(F.collect_list(F.struct("shard", "votes"))).alias("all"),  # an entry per shard at most
         )
         wishes = (
             labels.join(best, "row")
-            .where(F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(2)) == 0)
             .select(
                 "row",
                 F.col("shard").alias("source"),
-                (-F.col("best.neg")).alias("target"),
+                F.col("best.shard").alias("target"),
                 (F.col("best.votes") - F.coalesce(F.expr("all[shard]"), F.lit(0))).alias("gain"),
+                (F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(2)) == 0).alias("may"),
             )
             .where("gain > 0")
         )
         wishes = checkpointed(wishes)
-        wanted = {(r["source"], r["target"]): r["n"] for r in wishes.groupBy("source", "target").agg(F.count("*").alias("n")).collect()}
-        # Each half of the rows has its turn before the search ends.
-        still = 0 if wanted else still + 1
-        if still == 4:
+        counted = wishes.groupBy("source", "target").agg(F.count(F.when(F.col("may"), 1)).alias("n")).collect()
+        if not counted:
             break
-        if not wanted:
+        wishes = wishes.where("may")
+        wanted = {(r["source"], r["target"]): r["n"] for r in counted if r["n"]}
+        allowed = _allowed(wanted, [quota - n for quota, n in zip(quotas, held)])
+        if not any(allowed.values()):
             continue
-        held = {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-        allowed = _allowed(wanted, {s: quotas[s] - held.get(s, 0) for s in range(len(quotas))})
+        for (source, target), n in allowed.items():
+            held[source] -= n
+            held[target] += n
         moves = wishes.select("row", "target") if allowed == wanted else _first(wishes, allowed, sum(wanted.values()))
         labels = checkpointed(
             labels.join(moves, "row", "left").select("row", F.coalesce("target", "shard").alias("shard"))
@@ -84,16 +86,43 @@ def propagate(edges: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
     return labels
 
 
-def _allowed(wanted: dict[tuple[int, int], int], room: dict[int, int]) -> dict[tuple[int, int], int]:
-    """How many rows may move from a shard to another: as many as move the other way, and then what the room lets in."""
-    allowed = {(a, b): min(n, wanted.get((b, a), 0)) for (a, b), n in wanted.items()}
-    for a, b in sorted(wanted):
-        more = min(wanted[a, b] - allowed[a, b], room[b])
-        allowed[a, b] += more
-        room[b] -= more
+def _allowed(wanted: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
+    """How many rows may move from a shard to another: those that change places around a ring, and then what the room lets in."""
+    allowed, left = dict.fromkeys(wanted, 0), dict(wanted)
+    while ring := _ring(left):
+        n = min(left[way] for way in ring)
+        for way in ring:
+            left[way] -= n
+            allowed[way] += n
+    for way in sorted(left):
+        n = min(left[way], room[way[1]])
+        room[way[1]] -= n
+        allowed[way] += n
     return allowed
 
 
+def _ring(ways: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
+    """A shortest ring of ways that are wanted, or nothing."""
+    onward: dict[int, list[int]] = {}
+    for (a, b), n in sorted(ways.items()):
+        if n:
+            onward.setdefault(a, []).append(b)
+    best: list[int] = []
+    for start in sorted(onward):
+        trails, seen = [[start]], {start}
+        while trails and not (best and len(trails[0]) >= len(best)):
+            trail = trails.pop(0)
+            for b in onward.get(trail[-1], ()):
+                if b == start:
+                    best = [*trail, start]
+                    trails = []
+                    break
+                if b not in seen:
+                    seen.add(b)
+                    trails.append([*trail, b])
+    return list(zip(best, best[1:]))
+
+
 def _first(wishes: DataFrame, allowed: dict[tuple[int, int], int], count: int) -> DataFrame:
     """The wishes that are allowed: those of most gain first, then by a hash; ranked by blocks of equal gain."""
     way = ["source", "target"]

