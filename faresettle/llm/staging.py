@@ -16,7 +16,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{label}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
