@@ -17,7 +17,7 @@ from dataclasses import fields, replace
 from pyspark.sql import DataFrame, SparkSession
 
 from faresettle.catalog import bindings
-from faresettle.catalog.queries import FULL_WINDOW, MONTH_WINDOW as MONTH
+from faresettle.catalog.queries import MONTH_WINDOW as MONTH
 from faresettle.functions.windows import DateWindow
 from faresettle.operators import details, tables
 from faresettle.operators.classify import TicketCountryRule
@@ -53,14 +53,15 @@ def headline(spark: SparkSession, sf_dir: str, lake: Staging) -> dict[str, Calla
         with Staging(spark) as staging:
             run_all(report(window, staging))
 
+    all_days = bindings.all_days(spark, sf_dir)
     table = f"{lake.database}.sales"
     tables.create_table(spark, table, REPORT_SCHEMA)
-    tables.append(report(FULL_WINDOW), table)
+    tables.append(report(all_days), table)
     month = lake.write(report(MONTH), "month")
     return {
         "settlement_report_month": lambda: run_all(report(MONTH)),
         "settlement_report_year": lambda: run_all(report(YEAR)),
-        "settlement_report_all_years": lambda: run_all(report(FULL_WINDOW)),
+        "settlement_report_all_years": lambda: run_all(report(all_days)),
         "settlement_report_month_staged": lambda: staged_report(MONTH),
         "settlement_report_year_staged": lambda: staged_report(YEAR),
         "vat_by_parent": lambda: run_all(details.vat_by_parent(sources.payt_vatc, "payt_sqnu")),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from faresettle.functions.windows import DateWindow
 from faresettle.operators.classify import TicketCountryRule
 from faresettle.plans.contract import MONEY
 from faresettle.plans.settlement import SettlementSources
@@ -48,9 +49,10 @@ def payt(orders: DataFrame) -> DataFrame:
     )
 
 
-def emis(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Issues of the orders of customers in credit; other payments have none."""
-    return orders.join(customer.filter("c_acctbal >= 0"), F.col("o_custkey") == F.col("c_custkey")).select(
+def emis(orders: DataFrame, customer: DataFrame, credit_only: bool = False) -> DataFrame:
+    """Issues of all orders; with ``credit_only``, payments of customers in debit have none."""
+    issuing = customer.filter("c_acctbal >= 0") if credit_only else customer
+    return orders.join(issuing, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("tdnr"),
         F.col("c_mktsegment").alias("srci"),
         F.col("o_orderdate").cast("date").alias("dais"),
@@ -102,13 +104,20 @@ def tickets(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
-def settlement_sources(spark: SparkSession, sf_dir: str, two_rows: bool = False) -> SettlementSources:
+def all_days(spark: SparkSession, sf_dir: str) -> DateWindow:
+    """The window from the first order's day to the last one's."""
+    day = F.col("o_orderdate").cast("date")
+    bounds = driver_table(spark, sf_dir, "orders").agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    return DateWindow.of(bounds["first"], bounds["last"])
+
+
+def settlement_sources(spark: SparkSession, sf_dir: str, two_rows: bool = False, credit_only: bool = False) -> SettlementSources:
     orders, customer, lineitem, nation = (
         driver_table(spark, sf_dir, name) for name in ("orders", "customer", "lineitem", "nation")
     )
     return SettlementSources(
         payt=payt(orders),
-        emis=emis(orders, customer),
+        emis=emis(orders, customer, credit_only),
         para=para(nation, two_rows),
         payt_vatc=vatc(lineitem, "payt_sqnu"),
         payt_txca=txca(lineitem, "payt_sqnu"),

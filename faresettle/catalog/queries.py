@@ -12,9 +12,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from faresettle.catalog.bindings import dom_int_stand_in, driver_table, settlement_sources
-from faresettle.catalog.sql import DAY_IN_NEXT_WEEK, FULL, MONTH
-from faresettle.functions.values import iso_text
+from faresettle.catalog.bindings import all_days, dom_int_stand_in, driver_table, settlement_sources
+from faresettle.catalog.sql import DAY_IN_NEXT_WEEK, MONTH
+from faresettle.functions.values import iso_date, iso_text
 from faresettle.functions.windows import (
     DateWindow,
     override_columns,
@@ -33,7 +33,6 @@ from faresettle.streaming import drops
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-FULL_WINDOW = DateWindow.of(*FULL)
 MONTH_WINDOW = DateWindow.of(*MONTH)
 
 _REGISTRY: dict[str, Query] = {}
@@ -58,9 +57,11 @@ def _plain(report: DataFrame) -> DataFrame:
 
 
 def _report(
-    spark: SparkSession, sf_dir: str, window: DateWindow = FULL_WINDOW, two_rows: bool = False, **options
+    spark: SparkSession, sf_dir: str, window: DateWindow | None = None, two_rows: bool = False, credit_only: bool = False, **options
 ) -> DataFrame:
-    sources = settlement_sources(spark, sf_dir, two_rows)
+    """The report of a window, by default of all days that have orders."""
+    sources = settlement_sources(spark, sf_dir, two_rows, credit_only)
+    window = window or all_days(spark, sf_dir)
     return settlement.settlement_report(sources, window, dom_int_stand_in(spark, sf_dir), **options)
 
 
@@ -81,6 +82,12 @@ def settlement_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settlement.in_report_order(_plain(_report(spark, sf_dir)))
 
 
+@query
+def settlement_report_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments of customers in debit have no issue and vanish."""
+    return _plain(_report(spark, sf_dir, credit_only=True))
+
+
 @query
 def settlement_report_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_report(spark, sf_dir, MONTH_WINDOW))
@@ -94,14 +101,14 @@ def settlement_report_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def settlement_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = settlement_sources(spark, sf_dir)
-    sales = settlement.sales(sources, FULL_WINDOW)
+    sales = settlement.sales(sources, all_days(spark, sf_dir))
     return _plain(settlement.shown(settlement.settle([sales], sources.para, dom_int_stand_in(spark, sf_dir)), distinct=False))
 
 
 @query
 def settlement_refund(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = settlement_sources(spark, sf_dir)
-    refunds = settlement.refunds(sources, FULL_WINDOW)
+    refunds = settlement.refunds(sources, all_days(spark, sf_dir))
     return _plain(settlement.shown(settlement.settle([refunds], sources.para, dom_int_stand_in(spark, sf_dir)), distinct=False))
 
 
@@ -121,14 +128,15 @@ def settlement_hidden_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def settlement_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     collapsed = settlement.collapsed_groups(
-        settlement_sources(spark, sf_dir, two_rows=True), FULL_WINDOW, dom_int_stand_in(spark, sf_dir)
+        settlement_sources(spark, sf_dir, two_rows=True), all_days(spark, sf_dir), dom_int_stand_in(spark, sf_dir)
     )
     return _doubles(collapsed.select("Type", "TrxDate", "Source", "DomInt", "FOP", "CCY", "Fare", "groups"), "Fare")
 
 
 @query
 def settlement_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _doubles(quality.identity_summary(_report(spark, sf_dir)), "total")
+    """Of a report read back from text, as another program could have written it."""
+    return _doubles(quality.identity_summary(files.read_recent_csv(spark, _csv_drop(spark, _report(spark, sf_dir), sf_dir))), "total")
 
 
 @query
@@ -141,6 +149,14 @@ def report_net_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(settlement.net_total(_report(spark, sf_dir)), "net")
 
 
+@query
+def report_file_net_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the report that the weekly job has written, one file for all days."""
+    sources, rule = settlement_sources(spark, sf_dir), dom_int_stand_in(spark, sf_dir)
+    path = jobs.weekly_report(sources, all_days(spark, sf_dir), rule, scratch_path(spark, "net"))
+    return _doubles(settlement.net_total(spark.read.parquet(path)), "net")
+
+
 # Its parts
 
 
@@ -166,6 +182,14 @@ def filter_date_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _emis_as_text(emis.filter(MONTH_WINDOW.contains(F.col("dais"))))
 
 
+@query
+def filter_date_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window's bounds and the days as text, made dates before they are compared."""
+    emis = _emis_as_text(settlement_sources(spark, sf_dir).emis)
+    start, end = (iso_date(F.lit(bound)) for bound in MONTH)
+    return emis.filter(iso_date(F.col("dais")).between(start, end))
+
+
 @query
 def join_parameter_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = settlement_sources(spark, sf_dir, two_rows=True)
@@ -175,8 +199,8 @@ def join_parameter_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def join_payment_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sources = settlement_sources(spark, sf_dir)
-    joined = facts.join_payment_issue(sources.payt, sources.emis, FULL_WINDOW)
+    sources = settlement_sources(spark, sf_dir, credit_only=True)
+    joined = facts.join_payment_issue(sources.payt, sources.emis, all_days(spark, sf_dir))
     return _doubles(joined.select("tdnr", "fptp", "srci", iso_text(F.col("dais")).alias("dais"), "fpam"), "fpam")
 
 
@@ -248,18 +272,20 @@ def window_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def src_parquet_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "parquet")
-    export.write_parquet_window(_report(spark, sf_dir), root, jobs.FINAL_PREFIX, FULL_WINDOW)
-    return _plain(files.read_parquet_window(spark, root, jobs.FINAL_PREFIX, FULL_WINDOW, REPORT_SCHEMA))
+    """A foreign file: columns in another order, and one more."""
+    root, window = scratch_path(spark, "parquet"), all_days(spark, sf_dir)
+    foreign = _report(spark, sf_dir).select(F.lit("x").alias("Extra"), *reversed(REPORT_COLUMNS))
+    export.write_parquet_window(foreign, root, jobs.FINAL_PREFIX, window)
+    return _plain(files.read_parquet_window(spark, root, jobs.FINAL_PREFIX, window, REPORT_SCHEMA))
 
 
 @query
 def write_parquet_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written twice under one key: the second write replaces the first."""
-    root = scratch_path(spark, "replaced")
+    root, window = scratch_path(spark, "replaced"), all_days(spark, sf_dir)
     report = _report(spark, sf_dir)
-    export.write_parquet_window(report.filter("Type = 'Sale'"), root, jobs.FINAL_PREFIX, FULL_WINDOW)
-    path = export.write_parquet_window(report, root, jobs.FINAL_PREFIX, FULL_WINDOW)
+    export.write_parquet_window(report.filter("Type = 'Sale'"), root, jobs.FINAL_PREFIX, window)
+    path = export.write_parquet_window(report, root, jobs.FINAL_PREFIX, window)
     return _plain(spark.read.schema(REPORT_SCHEMA).parquet(path))
 
 
@@ -271,15 +297,30 @@ def weekly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(report.withColumn("TrxDate", iso_text(F.col("TrxDate"))))
 
 
-def _csv_drop(spark: SparkSession, report: DataFrame) -> str:
-    path = FULL_WINDOW.path(scratch_path(spark, "drop"), jobs.RECENT_PREFIX, "csv")
+def _csv_drop(spark: SparkSession, report: DataFrame, sf_dir: str, root: str | None = None) -> str:
+    path = all_days(spark, sf_dir).path(root or scratch_path(spark, "drop"), jobs.RECENT_PREFIX, "csv")
     export.export_csv(report, path, sep=";")
     return path
 
 
+def _spoiled(report: DataFrame) -> DataFrame:
+    """The report as text, with a comma for the decimal point in the fares of the month's sales."""
+    text = report.select([F.col(c).cast("string").alias(c) for c in REPORT_COLUMNS])
+    bad = (F.col("Type") == "Sale") & MONTH_WINDOW.contains_text(F.col("TrxDate"))
+    return text.withColumn("Fare", F.when(bad, F.translate("Fare", ".", ",")).otherwise(F.col("Fare")))
+
+
+def _loaded_and_set_aside(loaded: DataFrame, bad: DataFrame) -> DataFrame:
+    counts = [
+        rows.groupBy("Type").agg(F.expr("count(1) AS `rows`")).selectExpr(f"'{outcome}' AS outcome", "Type", "`rows`")
+        for outcome, rows in (("loaded", loaded), ("bad", bad))
+    ]
+    return union_all(counts)
+
+
 @query
 def src_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(files.read_recent_csv(spark, _csv_drop(spark, _report(spark, sf_dir))))
+    return _plain(files.read_recent_csv(spark, _csv_drop(spark, _report(spark, sf_dir), sf_dir)))
 
 
 @query
@@ -288,7 +329,7 @@ def export_users_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "users")
     export.export_csv(users, path)
     copied = files.read_csv_text(spark, path, users.schema, sep=",")
-    return _doubles(copied.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal"), "c_acctbal")
+    return _doubles(copied, "c_acctbal")
 
 
 # Tables
@@ -296,10 +337,12 @@ def export_users_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_append_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "load")
+    """A foreign file: columns in another order, and one more."""
+    root, window = scratch_path(spark, "load"), all_days(spark, sf_dir)
     table = scratch_table(spark, REPORT_SCHEMA)
-    export.write_parquet_window(_report(spark, sf_dir), root, jobs.FINAL_PREFIX, FULL_WINDOW)
-    jobs.load_parquet(spark, FULL_WINDOW, root, table)
+    foreign = _report(spark, sf_dir).select(*reversed(REPORT_COLUMNS), F.lit(1).alias("Extra"))
+    export.write_parquet_window(foreign, root, jobs.FINAL_PREFIX, window)
+    jobs.load_parquet(spark, window, root, table)
     return _plain(spark.table(table))
 
 
@@ -307,17 +350,27 @@ def load_append_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_append_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "load")
     table = scratch_table(spark, REPORT_SCHEMA)
-    export.export_csv(_report(spark, sf_dir), FULL_WINDOW.path(root, jobs.RECENT_PREFIX, "csv"), sep=";")
-    jobs.weekly_recent(spark, FULL_WINDOW, root, table, replace=False)
+    _csv_drop(spark, _report(spark, sf_dir), sf_dir, root)
+    jobs.weekly_recent(spark, all_days(spark, sf_dir), root, table, replace=False)
     return _plain(spark.table(table))
 
 
+@query
+def load_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drop with bad rows: the good ones load, the bad ones are set aside."""
+    root, window = scratch_path(spark, "load"), all_days(spark, sf_dir)
+    table = scratch_table(spark, REPORT_SCHEMA)
+    _csv_drop(spark, _spoiled(_report(spark, sf_dir)), sf_dir, root)
+    jobs.weekly_recent(spark, window, root, table, quarantine=f"{root}/bad")
+    return _loaded_and_set_aside(spark.table(table), files.read_csv_text(spark, window.path(f"{root}/bad", jobs.RECENT_PREFIX, "csv")))
+
+
 @query
 def stream_recent_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded by two calls; the second finds nothing new."""
     table = scratch_table(spark)
     drops.create_drop_table(spark, table)
-    path = _csv_drop(spark, _report(spark, sf_dir))
+    path = _csv_drop(spark, _report(spark, sf_dir), sf_dir)
     checkpoint = scratch_path(spark, "progress")
     drops.load_new_drops(spark, path, table, checkpoint)
     drops.load_new_drops(spark, path, table, checkpoint)
@@ -343,6 +396,17 @@ def window_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(spark.table(table))
 
 
+@query
+def window_replace_external(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An external table; the new batch lacks the days of the month's second half, which go with their files."""
+    path = scratch_path(spark, "external")
+    table = scratch_table(spark)
+    _report(spark, sf_dir).write.partitionBy("TrxDate").option("path", path).saveAsTable(table)
+    first_half = _report(spark, sf_dir, DateWindow.of(MONTH[0], MONTH[0][:8] + "15"))
+    tables.window_replace(first_half, table, MONTH_WINDOW)
+    return _plain(spark.read.schema(REPORT_SCHEMA).parquet(path))
+
+
 def _per_day(spark: SparkSession, final: str, recent: str) -> DataFrame:
     frames = [
         spark.table(table)
@@ -414,6 +478,13 @@ def model_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _first(spark, sf_dir)
 
 
+@query
+def model_first_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The starter model over ids some of which are null, which it leaves out."""
+    ids = _ids(spark, sf_dir).select(F.nullif(F.col("id") % 5, F.lit(0)).alias("id"))
+    return models.materialize(models.first_model(ids, drop_null_ids=True), scratch_table(spark), "table")
+
+
 @query
 def model_second(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _second(spark, sf_dir)
@@ -438,13 +509,15 @@ def dq_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Rosters
 
 
-def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payload per customer. Customers in debit have none, furniture payloads
-    are cut short, and large accounts list a guest that the number leaves out."""
+def _payloads(spark: SparkSession, sf_dir: str, usable: bool = False) -> DataFrame:
+    """One payload per customer; large accounts list a guest that the number leaves out. Unless ``usable``,
+    customers in debit have none and furniture payloads are cut short."""
     person = "named_struct('craft', c_mktsegment, 'name', c_name)"
     guest = "named_struct('craft', concat('NATION_', c_nationkey), 'name', 'Guest')"
     people = f"if(c_acctbal > 5000, array({person}, {guest}), array({person}))"
     payload = f"to_json(named_struct('number', 1, 'people', {people}))"
+    if usable:
+        return driver_table(spark, sf_dir, "customer").selectExpr("c_custkey", f"{payload} AS payload")
     return driver_table(spark, sf_dir, "customer").selectExpr(
         "c_custkey",
         f"CASE WHEN c_acctbal < 0 THEN NULL WHEN c_mktsegment = 'FURNITURE' THEN left({payload}, 20)"
@@ -460,7 +533,23 @@ def _roster_facts(rosters: DataFrame) -> DataFrame:
 
 @query
 def src_json_people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _roster_facts(payloads.read_rosters(_payloads(spark, sf_dir), fallback=False))
+    return _roster_facts(payloads.read_rosters(_payloads(spark, sf_dir, usable=True), fallback=False))
+
+
+@query
+def src_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed documents, one for the customers of each nation; and a folder where nothing has landed."""
+    people = "sort_array(collect_list(named_struct('craft', c_mktsegment, 'name', c_name)))"
+    customers = driver_table(spark, sf_dir, "customer")
+    documents = customers.groupBy("c_nationkey").agg(F.expr(f"to_json(named_struct('number', count(1), 'people', {people})) AS value"))
+    landed, nothing = scratch_path(spark, "landed"), scratch_path(spark, "nothing")
+    documents.write.partitionBy("c_nationkey").text(landed)
+    customers.select("c_name").limit(0).write.text(nothing)
+    frames = [
+        payloads.read_roster_files(spark, path).selectExpr(f"'{folder}' AS folder", "CAST(number AS DOUBLE) AS number", "explode(people) AS person")
+        for folder, path in (("landed", f"{landed}/*"), ("nothing", nothing))
+    ]
+    return union_all(frames).selectExpr("folder", "number", "person.craft", "person.name")
 
 
 @query
@@ -470,7 +559,7 @@ def src_json_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def roster_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roster.explode_people(payloads.read_rosters(_payloads(spark, sf_dir), fallback=False), "c_custkey")
+    return roster.explode_people(payloads.read_rosters(_payloads(spark, sf_dir, usable=True), fallback=False), "c_custkey")
 
 
 @query

@@ -10,7 +10,6 @@ from faresettle.operators.roster import GREETING
 from faresettle.plans.contract import MEASURES
 from faresettle.sources.payloads import DEFAULT_NUMBER, DEFAULT_PEOPLE
 
-FULL = ("1995-01-01", "2001-12-31")
 MONTH = ("1998-08-01", "1998-08-31")
 WEEK = ("1998-08-19", "1998-08-25")
 DAY_IN_NEXT_WEEK = "1998-08-27"
@@ -22,6 +21,8 @@ _HEADER_AMOUNTS = """
     CAST(NULLIF(o_orderkey % 13, 0) AS DECIMAL(18,2)) AS suppl,
     CAST(o_orderkey % 7 AS DECIMAL(18,2)) AS vat"""
 
+_CREDIT = "WHERE c_acctbal >= 0"
+
 _BINDINGS = f"""
 payt AS (
   SELECT o_orderkey AS key, strftime(o_orderdate, '%Y%m') AS period, o_orderpriority AS fop,
@@ -29,7 +30,7 @@ payt AS (
   FROM orders WHERE o_orderstatus <> 'F'),
 emis AS (
   SELECT o_orderkey AS key, c_mktsegment AS source, CAST(o_orderdate AS DATE) AS day
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal >= 0),
+  FROM orders JOIN customer ON o_custkey = c_custkey {{credit}}),
 rmbt AS (
   SELECT o_orderkey AS key, strftime(o_orderdate, '%Y%m') AS period, o_orderpriority AS fop, 'KRW' AS ccy,
     c_mktsegment AS source, CAST(o_orderdate AS DATE) AS day, {_HEADER_AMOUNTS}
@@ -68,16 +69,22 @@ def _measures(suffix: str, fare_vat: str, factor: int) -> list[str]:
     return [f'CAST({expression} AS DECIMAL(28,2)) AS "{names[name]}"' for name, expression in total.items()]
 
 
-def report(window: tuple[str, str] = FULL, two_rows: bool = False, distinct: bool = True, kind: str | None = None) -> str:
-    """Text of a WITH list: ``report`` with decimal amounts, ``shown`` with double ones."""
-    start, end = window
+def bindings(credit_only: bool = False) -> str:
+    return _BINDINGS.replace("{credit}", _CREDIT if credit_only else "")
+
+
+def report(
+    window: tuple[str, str] | None = None, two_rows: bool = False, distinct: bool = True, kind: str | None = None, credit_only: bool = False
+) -> str:
+    """Text of a WITH list: ``report`` with decimal amounts, ``shown`` with double ones. Without a window, all days."""
+    days = "WHERE day BETWEEN DATE '{}' AND DATE '{}'".format(*window) if window else ""
     shared = ("CASE WHEN country = isoc THEN 'D' ELSE 'I' END AS label, fop, ccy, isoc, cutp, "
               "price, std, suppl, vat, tax, yr, fare_vat, yr_vat")
     rest = "LEFT JOIN vat_sums USING (key) LEFT JOIN yr_sums USING (key) LEFT JOIN nations USING (key) LEFT JOIN para ON TRUE"
     measures = ",\n    ".join(_measures("", "Vatf", 1) + _measures("_COA", "VatFare_COA", 2))
     doubles = ", ".join(f'CAST("{name}" AS DOUBLE) AS "{name}"' for name in MEASURES)
     only = f"WHERE kind = '{kind}'" if kind else ""
-    return f"""{_BINDINGS},
+    return f"""{bindings(credit_only)},
 {_TWO_PARAMETERS if two_rows else _ONE_PARAMETER},
 facts AS (
   SELECT 'Sale' AS kind, 1 AS sign, source, period, day, {shared}
@@ -89,7 +96,7 @@ report AS (
   SELECT {'DISTINCT' if distinct else ''} kind AS "Type", source AS "Source", period AS "RptPeriod",
     strftime(day, '%Y-%m-%d') AS "TrxDate", label AS "DomInt", fop AS "FOP", ccy AS "CCY", cutp AS "COA",
     {measures}
-  FROM (SELECT * FROM facts WHERE day BETWEEN DATE '{start}' AND DATE '{end}') {only}
+  FROM (SELECT * FROM facts {days}) {only}
   GROUP BY kind, sign, source, period, day, label, fop, ccy, isoc, cutp),
 shown AS (
   SELECT "Type", "Source", "RptPeriod", "TrxDate", "DomInt", "FOP", "CCY", "COA", {doubles} FROM report)"""
@@ -150,6 +157,7 @@ def check_sql() -> dict[str, str]:
         UNION ALL SELECT 'recent', "TrxDate", {per_day} FROM report WHERE NOT {in_month} GROUP BY ALL""")
     return {
         "settlement_report": whole,
+        "settlement_report_credit": _report_query("SELECT * FROM shown", credit_only=True),
         "settlement_report_month": _report_query("SELECT * FROM shown", window=MONTH),
         "settlement_report_staged": _report_query("SELECT * FROM shown", window=MONTH),
         "weekly_report": _report_query("SELECT * FROM shown", window=WEEK),
@@ -160,30 +168,32 @@ def check_sql() -> dict[str, str]:
             " FROM report GROUP BY ALL"),
         "settlement_hidden_key": _report_query("SELECT * FROM shown", two_rows=True, distinct=False),
         "settlement_collapsed": _report_query(
-            'SELECT "Type", "TrxDate", "Source", "DomInt", "FOP", "CCY", "Fare", COUNT(*) AS "groups"'
-            " FROM shown GROUP BY ALL HAVING COUNT(*) > 1", two_rows=True, distinct=False),
+            'SELECT "Type", "TrxDate", "Source", "DomInt", "FOP", "CCY", "Fare", "groups" FROM'
+            ' (SELECT *, COUNT(*) AS "groups" FROM shown GROUP BY ALL HAVING COUNT(*) > 1)', two_rows=True, distinct=False),
         "settlement_identities": _report_query(identities),
         "union_distinct": _report_query("SELECT * FROM shown", two_rows=True),
         "report_net_total": _report_query('SELECT CAST(SUM("DiscFareNetVAT_COA") AS DOUBLE) AS net FROM report'),
-        "vat_by_parent": f"""WITH {_BINDINGS} SELECT key AS payt_sqnu, CAST(fare_vat AS DOUBLE) AS vatcf,
+        "report_file_net_total": _report_query('SELECT CAST(SUM("DiscFareNetVAT_COA") AS DOUBLE) AS net FROM report'),
+        "vat_by_parent": f"""WITH {bindings()} SELECT key AS payt_sqnu, CAST(fare_vat AS DOUBLE) AS vatcf,
             CAST(2 * fare_vat AS DOUBLE) AS vatff, CAST(yr_vat AS DOUBLE) AS vatcyr, CAST(2 * yr_vat AS DOUBLE) AS vatfyr FROM vat_sums""",
-        "yr_tax_by_parent": f"""WITH {_BINDINGS} SELECT key AS payt_sqnu, CAST(yr AS DOUBLE) AS yr_tmfa,
+        "yr_tax_by_parent": f"""WITH {bindings()} SELECT key AS payt_sqnu, CAST(yr AS DOUBLE) AS yr_tmfa,
             CAST(2 * yr AS DOUBLE) AS yr_tmff FROM yr_sums""",
-        "filter_date_window": f"""WITH {_BINDINGS} SELECT key AS tdnr, source AS srci, strftime(day, '%Y-%m-%d') AS dais
+        "filter_date_window": f"""WITH {bindings()} SELECT key AS tdnr, source AS srci, strftime(day, '%Y-%m-%d') AS dais
+            FROM emis WHERE day BETWEEN DATE '{start}' AND DATE '{end}'""",
+        "filter_date_text": f"""WITH {bindings()} SELECT key AS tdnr, source AS srci, strftime(day, '%Y-%m-%d') AS dais
             FROM emis WHERE day BETWEEN DATE '{start}' AND DATE '{end}'""",
-        "join_parameter_row": f"""WITH {_BINDINGS}, {_TWO_PARAMETERS}
+        "join_parameter_row": f"""WITH {bindings()}, {_TWO_PARAMETERS}
             SELECT key AS sqnu, isoc, cutp, CAST(price AS DOUBLE) AS fpam FROM payt LEFT JOIN para ON TRUE""",
-        "join_payment_issue": f"""WITH {_BINDINGS} SELECT key AS tdnr, fop AS fptp, source AS srci,
-            strftime(day, '%Y-%m-%d') AS dais, CAST(price AS DOUBLE) AS fpam FROM payt JOIN emis USING (key)
-            WHERE day BETWEEN DATE '{FULL[0]}' AND DATE '{FULL[1]}'""",
-        "join_vat_agg": f"""WITH {_BINDINGS} SELECT key AS sqnu, CAST(fare_vat AS DOUBLE) AS vatcf,
+        "join_payment_issue": f"""WITH {bindings(credit_only=True)} SELECT key AS tdnr, fop AS fptp, source AS srci,
+            strftime(day, '%Y-%m-%d') AS dais, CAST(price AS DOUBLE) AS fpam FROM payt JOIN emis USING (key)""",
+        "join_vat_agg": f"""WITH {bindings()} SELECT key AS sqnu, CAST(fare_vat AS DOUBLE) AS vatcf,
             CAST(2 * fare_vat AS DOUBLE) AS vatff, CAST(yr_vat AS DOUBLE) AS vatcyr, CAST(2 * yr_vat AS DOUBLE) AS vatfyr
             FROM payt LEFT JOIN vat_sums USING (key)""",
-        "join_yr_agg": f"""WITH {_BINDINGS} SELECT key AS sqnu, CAST(yr AS DOUBLE) AS yr_tmfa, CAST(2 * yr AS DOUBLE) AS yr_tmff
+        "join_yr_agg": f"""WITH {bindings()} SELECT key AS sqnu, CAST(yr AS DOUBLE) AS yr_tmfa, CAST(2 * yr AS DOUBLE) AS yr_tmff
             FROM payt LEFT JOIN yr_sums USING (key)""",
         "recent_sale": """SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, COUNT(*) AS cnt,
             CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales FROM orders GROUP BY 1""",
-        "preview_limit": f"""WITH {_BINDINGS} SELECT key AS tdnr, source AS srci, strftime(day, '%Y-%m-%d') AS dais
+        "preview_limit": f"""WITH {bindings()} SELECT key AS tdnr, source AS srci, strftime(day, '%Y-%m-%d') AS dais
             FROM emis ORDER BY key LIMIT 2""",
         "fmt_trx_date": _orders_dates("strftime(d, '%Y-%m-%d') AS \"TrxDate\""),
         "window_prev_month": _orders_dates(
@@ -197,30 +207,40 @@ def check_sql() -> dict[str, str]:
         "src_parquet_window": whole,
         "src_csv_semicolon": whole,
         "write_parquet_window": whole,
-        "export_users_csv": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment, c_acctbal FROM customer",
+        "export_users_csv": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment, c_acctbal FROM customer",
         "load_append_parquet": whole,
         "load_append_csv": whole,
+        "load_csv_quarantine": _report_query(
+            f"""SELECT CASE WHEN "Type" = 'Sale' AND {in_month} THEN 'bad' ELSE 'loaded' END AS outcome, "Type", COUNT(*) AS "rows"
+            FROM shown GROUP BY ALL"""),
         "stream_recent_drops": whole,
         "delete_range": _report_query(f"SELECT * FROM shown WHERE NOT {in_month}"),
         "window_replace": whole,
+        "window_replace_external": _report_query(f"SELECT * FROM shown WHERE NOT ({in_month}) OR \"TrxDate\" <= '{start[:8]}15'"),
         "promote_final": promoted,
         "monthly_settlement": promoted,
         "src_literal_rows": """SELECT vat_type, COUNT(*) AS lines FROM lineitem
             JOIN (VALUES ('A', 'FA'), ('N', 'TA'), ('R', 'ZZ')) AS t(flag, vat_type) ON l_returnflag = flag GROUP BY vat_type""",
-        "src_json_people": f"""WITH {_ROSTER} SELECT c_custkey, CASE WHEN usable THEN CAST(1 AS DOUBLE) END AS number,
-            CASE WHEN usable THEN CAST(1 + CAST(with_guest AS INTEGER) AS DOUBLE) END AS listed, CASE WHEN usable THEN name END AS first_name FROM roster""",
+        "src_json_people": """SELECT c_custkey, CAST(1 AS DOUBLE) AS number,
+            CAST(CASE WHEN c_acctbal > 5000 THEN 2 ELSE 1 END AS DOUBLE) AS listed, c_name AS first_name FROM customer""",
+        "src_json_files": f"""WITH {_DEFAULTS}
+            SELECT 'landed' AS folder, CAST(COUNT(*) OVER (PARTITION BY c_nationkey) AS DOUBLE) AS number, c_mktsegment AS craft, c_name AS name
+            FROM customer UNION ALL SELECT 'nothing', CAST({DEFAULT_NUMBER} AS DOUBLE), craft, name FROM defaults""",
         "src_json_fallback": f"""WITH {_ROSTER} SELECT c_custkey, CAST(CASE WHEN usable THEN 1 ELSE {DEFAULT_NUMBER} END AS DOUBLE) AS number,
             CAST(CASE WHEN usable THEN 1 + CAST(with_guest AS INTEGER) ELSE {len(DEFAULT_PEOPLE)} END AS DOUBLE) AS listed,
             CASE WHEN usable THEN name ELSE '{DEFAULT_PEOPLE[0][1]}' END AS first_name FROM roster""",
-        "roster_explode": f"WITH {_ROSTER} SELECT c_custkey, craft, name FROM people",
+        "roster_explode": """SELECT c_custkey, c_mktsegment AS craft, c_name AS name FROM customer
+            UNION ALL SELECT c_custkey, 'NATION_' || c_nationkey, 'Guest' FROM customer WHERE c_acctbal > 5000""",
         "roster_lines": f"""WITH {_ROSTER}, {_DEFAULTS}, {_ALL_PEOPLE}
             SELECT c_custkey, name || ' is currently in space flying on the ' || craft || '! {GREETING}' AS line FROM everyone""",
         "roster_count_check": f"""WITH {_ROSTER} SELECT c_custkey, 1 AS number, 2 AS listed FROM roster WHERE usable AND with_guest""",
         "model_first": "SELECT o_orderkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer",
+        "model_first_not_null": """SELECT id % 5 AS id FROM (SELECT o_orderkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer)
+            WHERE id % 5 <> 0""",
         "model_second": "SELECT id FROM (SELECT o_orderkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer) WHERE id = 2",
         "dq_unique": """SELECT id, COUNT(*) AS n FROM (SELECT o_orderkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer)
             GROUP BY id HAVING COUNT(*) > 1""",
-        "dq_not_null": f"WITH {_BINDINGS} SELECT key AS sqnu FROM payt WHERE suppl IS NULL",
+        "dq_not_null": f"WITH {bindings()} SELECT key AS sqnu FROM payt WHERE suppl IS NULL",
         "dq_models": """WITH first AS (SELECT o_orderkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer),
             repeated AS (SELECT id FROM first GROUP BY id HAVING COUNT(*) > 1)
             SELECT 'first' AS model, 'unique' AS test, COUNT(*) AS failures FROM repeated

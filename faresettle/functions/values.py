@@ -8,15 +8,6 @@ from pyspark.sql.types import DecimalType
 ISO_DATE = "yyyy-MM-dd"
 
 
-def nvl_zero(amount: Column) -> Column:
-    return F.coalesce(amount, F.lit(0))
-
-
-def contains(text: Column, needle: str) -> Column:
-    """Case-sensitive substring test; null text gives null, as a database would."""
-    return F.instr(text, needle) > 0
-
-
 def iso_text(day: Column) -> Column:
     return F.date_format(day, ISO_DATE)
 

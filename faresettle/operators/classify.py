@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 class DomIntRule(Protocol):
+    inputs: tuple[str, ...]
+    """The columns of prepared rows that ``label`` needs."""
+
     def prepare(self, rows: DataFrame) -> DataFrame:
         """Add what ``label`` needs to rows that have a ``ticket``."""
 
@@ -26,6 +29,7 @@ class ExpressionRule:
     """A rule that needs nothing but the ticket and the parameter's country."""
 
     expression: Callable[[Column, Column], Column]
+    inputs: tuple[str, ...] = ("ticket",)
 
     def prepare(self, rows: DataFrame) -> DataFrame:
         return rows
@@ -43,6 +47,7 @@ class TicketCountryRule:
     """
 
     tickets: DataFrame
+    inputs: tuple[str, ...] = ("ticket_country",)
 
     def prepare(self, rows: DataFrame) -> DataFrame:
         countries = (

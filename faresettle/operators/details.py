@@ -42,23 +42,6 @@ class Details:
         vat = self.vat.filter(f"{named} AND vat_type IN ('{FARE_VAT}', '{TAX_VAT}') AND ({_IS_FARE_VAT} OR {_IS_YR_VAT})")
         return replace(self, vat=vat, tax=self.tax.filter(f"{named} AND tmft = '{YR_TAX}'"))
 
-    def of_parents(self, parents: DataFrame, count: int, max_broadcast: int) -> Details:
-        """The lines of ``parents`` only, dropped while scanning.
-
-        ``count`` is the known number of ``parents``. Up to ``max_broadcast`` of
-        them travel to the scans. Beyond that the lines stay as they are, but for
-        Spark's own runtime filter: a shuffled semi-join would move every line
-        before any of it is summed.
-        """
-        if count > max_broadcast:
-            return self
-        keys = F.broadcast(parents.toDF(self.parent))
-        return replace(
-            self,
-            vat=self.vat.join(keys, self.parent, "left_semi"),
-            tax=self.tax.join(keys, self.parent, "left_semi"),
-        )
-
     def add_to(self, headers: DataFrame, key: str) -> DataFrame:
         """Left joins: headers without details stay, with null sums.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from faresettle.functions.windows import DateWindow
-from faresettle.operators.details import Details, null_safe_sums
+from faresettle.operators.details import null_safe_sums
 from faresettle.plans.contract import AMOUNTS, BASE_MEASURES
 
 
@@ -21,13 +21,17 @@ def header_columns(branch: str) -> list[str]:
     return sorted({column for m in BASE_MEASURES if not m.from_details for column in getattr(m, branch)})
 
 
+def issued_in_window(emis: DataFrame, window: DateWindow) -> DataFrame:
+    return emis.filter(window.contains(F.col("dais"))).select("tdnr")
+
+
 def payments_in_window(payt: DataFrame, emis: DataFrame, window: DateWindow) -> DataFrame:
     """Payments whose ticket was issued in the window, each once.
 
     A payment has no date of its own, so this is what shrinks the payment table
     before its rows meet anything else.
     """
-    issued = emis.filter(window.contains(F.col("dais"))).select("tdnr")
+    issued = issued_in_window(emis, window)
     columns = ["sqnu", "tdnr", "peri", "fptp", "cuop", *header_columns("sale")]
     return payt.select(*columns).join(issued, "tdnr", "left_semi")
 
@@ -46,17 +50,13 @@ def issues_by_ticket(emis: DataFrame, window: DateWindow) -> DataFrame:
     )
 
 
-def sale_fact(payments: DataFrame, details: Details, issues: DataFrame) -> DataFrame:
-    """Join payments to issues by ticket.
+def sale_fact(payments: DataFrame, issues: DataFrame) -> DataFrame:
+    """Join payments, with their detail sums, to issues by ticket.
 
     Both sides are first summed to the columns the report groups by, so a ticket
     with very many payments and issues yields no more rows than report groups.
     """
-    payments = (
-        details.add_to(payments, "sqnu")
-        .groupBy("tdnr", "peri", "fptp", "cuop")
-        .agg(*null_safe_sums(amount_columns("sale")))
-    )
+    payments = payments.groupBy("tdnr", "peri", "fptp", "cuop").agg(*null_safe_sums(amount_columns("sale")))
     return payments.join(issues, "tdnr").selectExpr(
         "'Sale' AS Type",
         "srci AS Source",
@@ -70,8 +70,9 @@ def sale_fact(payments: DataFrame, details: Details, issues: DataFrame) -> DataF
     )
 
 
-def refund_fact(refunds: DataFrame, details: Details) -> DataFrame:
-    return details.add_to(refunds, "sqnu").selectExpr(
+def refund_fact(refunds: DataFrame) -> DataFrame:
+    """Refunds with their detail sums."""
+    return refunds.selectExpr(
         "'Refund' AS Type",
         "srci AS Source",
         "peri AS RptPeriod",

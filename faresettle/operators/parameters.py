@@ -4,27 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-SLOTS = 64
+# The table is expected to hold one row; more than this many are a mistake, not parameters.
+MAX_PARAMETER_ROWS = 1000
 
 
-def attach_parameters(rows: DataFrame, para: DataFrame, slots: int = SLOTS) -> DataFrame:
+def attach_parameters(rows: DataFrame, para: DataFrame, most: int = MAX_PARAMETER_ROWS) -> DataFrame:
     """Add ``isoc``, ``cutp`` and ``para_copies`` to every row.
 
     Equal parameter rows are counted, not repeated: amounts are to be multiplied
     by ``para_copies`` when summed. Without any parameter row all three are null.
 
-    The table is expected to hold one row. It is joined on a slot number rather
-    than unconditionally, so that Spark broadcasts it only when it measures it to
-    be small, and otherwise spreads both sides evenly over the slots.
+    The parameter rows are counted first and broadcast, so ``rows`` do not move; more
+    than ``most`` of them raise ``ValueError``.
     """
-    pairs = (
-        para.groupBy("isoc", "cutp")
-        .agg(F.expr("count(1) AS para_copies"))
-        .selectExpr("*", f"explode(sequence(0, {slots - 1})) AS _slot")
-    )
-    row_hash = f"xxhash64({', '.join(rows.columns)})"
-    slotted = rows.selectExpr("*", f"CAST(pmod({row_hash}, {slots}) AS INT) AS _slot")
-    return slotted.join(pairs, "_slot", "left").drop("_slot")
+    if para.select("isoc", "cutp").limit(most + 1).count() > most:
+        raise ValueError(f"the parameter table has more than {most} rows, and each would repeat every row")
+    pairs = para.groupBy("isoc", "cutp").agg(F.expr("count(1) AS para_copies"))
+    return rows.join(F.broadcast(pairs), F.lit(True), "left")
 
 
 def join_parameter_row(rows: DataFrame, para: DataFrame) -> DataFrame:

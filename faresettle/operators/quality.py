@@ -51,10 +51,14 @@ def count_mismatch(rosters: DataFrame) -> DataFrame:
 
 
 def failing_models(models: dict[str, DataFrame], column: str = "id") -> DataFrame:
-    """``unique`` and ``not_null`` of one column over several models."""
+    """``unique`` and ``not_null`` of one column over several models, each read once."""
+    value, n = F.col(column), F.col("n")
     frames = []
     for name, model in models.items():
-        for test, failing in (("unique", not_unique(model, column)), ("not_null", is_null(model, column))):
-            frames.append(failing.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(name).alias("model"), F.lit(test).alias("test"), "failures"))
+        counts = model.groupBy(column).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.count(F.when(value.isNotNull() & (n > 1), 1)).alias("unique"),
+            F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("not_null"),
+        )
+        tests = "stack(2, 'unique', unique, 'not_null', not_null) AS (test, failures)"
+        frames.append(counts.selectExpr(f"'{name}' AS model", tests))
     return union_all(frames)

@@ -9,8 +9,3 @@ from pyspark.sql import DataFrame
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, frames)
-
-
-def union_distinct(frames: list[DataFrame]) -> DataFrame:
-    """SQL UNION: duplicates go, also those within one frame."""
-    return union_all(frames).distinct()

@@ -1,14 +1,12 @@
 """Loading and maintaining tables partitioned by ``TrxDate``.
 
-Nothing here needs a transactional table format. Work is proportional to the
-window, not the table: only partition names are listed on the driver.
+Tables of a lake format get row-level statements; others need none and are kept by
+partition. Work is proportional to the window, not the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-from urllib.parse import unquote
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -47,56 +45,86 @@ def append(df: DataFrame, table: str) -> None:
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Replace exactly the partitions that ``df`` has rows for."""
-    with _dynamic_overwrite(df.sparkSession):
-        aligned(df, table).write.insertInto(table, overwrite=True)
+    """Replace exactly the partitions that ``df`` has rows for.
 
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    The overwrite mode is a setting of the session, so a session of its own does it; other writes
+    in the caller's session don't see it.
+    """
+    spark, view = df.sparkSession, f"faresettle_{uuid.uuid4().hex}"
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    df.createGlobalTempView(view)
     try:
-        yield
+        aligned(own.table(f"global_temp.{view}"), table).write.insertInto(table, overwrite=True)
     finally:
-        spark.conf.set(key, before)
+        spark.catalog.dropGlobalTempView(view)
+    # The caller's session may remember the files that are gone.
+    spark.catalog.refreshTable(table)
 
 
 def partitions_in(spark: SparkSession, table: str, window: DateWindow) -> list[dict[str, str]]:
-    """Partition specs whose ``TrxDate`` lies in the window; never the null one,
-    whose name sorts after every date."""
-    day = F.regexp_extract("partition", f"(?:^|/){PARTITION_COLUMN}=([^/]*)", 1)
-    names = spark.sql(f"SHOW PARTITIONS {table}").filter(window.contains_text(day)).collect()
-    specs = [dict(part.split("=", 1) for part in row.partition.split("/")) for row in names]
-    return [{name: unquote(value) for name, value in spec.items()} for spec in specs]
+    """Partition specs whose ``TrxDate`` lies in the window; never the null one.
+
+    The catalog lists the window's partitions only, and only their names reach the driver.
+    """
+    columns = partition_columns(spark, table)
+    days = spark.table(table).filter(window.contains_text(F.col(PARTITION_COLUMN)))
+    return [row.asDict() for row in days.select([F.col(c).cast("string") for c in columns]).distinct().collect()]
+
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
-def drop_partitions(spark: SparkSession, table: str, specs: list[dict[str, str]]) -> None:
+
+def drop_partitions(spark: SparkSession, table: str, specs: list[dict[str, str | None]]) -> None:
+    """Drop partitions with their files; an external table keeps files of dropped partitions, so these are emptied first."""
     if not specs:
         return
     if spark.catalog.getTable(table).tableType != "MANAGED":
-        raise ValueError(f"{table} is external: dropping its partitions would leave their files")
-    clauses = (
-        "PARTITION (" + ", ".join(f"`{name}` = {_literal(value)}" for name, value in spec.items()) + ")"
-        for spec in specs
-    )
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(clauses)}")
+        nothing = ", ".join(f"CAST(NULL AS {c.dataType})" for c in spark.catalog.listColumns(table) if not c.isPartition)
+        for spec in specs:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} {_partition(spec)} SELECT {nothing} WHERE false")
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(map(_partition, specs))}")
+
+
+def _partition(spec: dict[str, str | None]) -> str:
+    values = (f"`{name}` = {'null' if value is None else _literal(value)}" for name, value in spec.items())
+    return f"PARTITION ({', '.join(values)})"
 
 
 def _literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# Catalogs whose tables delete rows and replace them in one commit.
+LAKE_PROVIDERS = ("iceberg", "delta", "hudi", "paimon")
+
+
+def is_lake_table(spark: SparkSession, table: str) -> bool:
+    """Whether the table's format takes row-level statements; others are kept by partition."""
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'").collect()}
+    return facts.get("Provider", "").lower() in LAKE_PROVIDERS
+
+
+def range_condition(window: DateWindow) -> str:
+    start, end = window.iso
+    return f"`{PARTITION_COLUMN}` BETWEEN {_literal(start)} AND {_literal(end)}"
+
+
+def delete_statement(table: str, window: DateWindow) -> str:
+    return f"DELETE FROM {table} WHERE {range_condition(window)}"
+
+
 def delete_range(spark: SparkSession, tables: list[str], window: DateWindow) -> None:
     """Delete the window's days from each table; rows without a date stay."""
     for table in tables:
-        drop_partitions(spark, table, partitions_in(spark, table, window))
-
-
-def outside_window(df: DataFrame, window: DateWindow) -> DataFrame:
-    """What a range delete leaves of an unpartitioned frame."""
-    return df.filter(~F.coalesce(window.contains_text(F.col(PARTITION_COLUMN)), F.lit(False)))
+        if is_lake_table(spark, table):
+            spark.sql(delete_statement(table, window))
+        else:
+            drop_partitions(spark, table, partitions_in(spark, table, window))
 
 
 def window_replace(df: DataFrame, table: str, window: DateWindow) -> None:
@@ -117,6 +145,9 @@ def replace_from_files(batch: DataFrame, table: str, window: DateWindow) -> None
     inside = F.coalesce(is_iso_day(day) & window.contains_text(day), F.lit(False))
     if not batch.filter(~inside).isEmpty():
         raise ValueError(f"the batch has rows outside the window {window.iso}")
+    if is_lake_table(spark, table):
+        aligned(batch, table).writeTo(table).overwrite(F.expr(range_condition(window)))
+        return
     overwrite_partitions(batch, table)
     days = {row[0] for row in batch.select(PARTITION_COLUMN).distinct().collect()}
     leftover = [s for s in partitions_in(spark, table, window) if s[PARTITION_COLUMN] not in days]

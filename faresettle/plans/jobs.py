@@ -6,12 +6,12 @@ from pyspark.sql import SparkSession
 
 from faresettle.functions.windows import DateWindow
 from faresettle.operators.classify import DomIntRule
-from faresettle.operators.export import write_parquet_window
+from faresettle.operators.export import export_csv, write_parquet_window
 from faresettle.operators.tables import append, delete_range, replace_from_files, window_replace
 from faresettle.plans.contract import REPORT_SCHEMA
 from faresettle.plans.settlement import SettlementSources, settlement_report
 from faresettle.session import Staging
-from faresettle.sources.files import read_parquet_window, read_recent_csv
+from faresettle.sources.files import read_csv_text, read_parquet_window, read_recent_csv, split_bad_rows
 
 # The prefixes of window-named files.
 FINAL_PREFIX = "sales/sales_refund"
@@ -37,13 +37,25 @@ def monthly_settlement(
 
 def weekly_report(sources: SettlementSources, window: DateWindow, dom_int: DomIntRule, root: str) -> str:
     """Write the window's report with dates as dates, under a key of its own."""
-    report = settlement_report(sources, window, dom_int, date_as_text=False)
-    return write_parquet_window(report, root, TRIAL_PREFIX, window)
+    with Staging(sources.payt.sparkSession) as staging:
+        report = settlement_report(sources, window, dom_int, date_as_text=False, staging=staging)
+        return write_parquet_window(report, root, TRIAL_PREFIX, window)
 
 
-def weekly_recent(spark: SparkSession, window: DateWindow, root: str, recent: str, replace: bool = True) -> None:
-    """Load the window's drop. Plain append repeats its rows when run again."""
-    drop = read_recent_csv(spark, window.path(root, RECENT_PREFIX, "csv"))
+def weekly_recent(
+    spark: SparkSession, window: DateWindow, root: str, recent: str, replace: bool = True, quarantine: str | None = None
+) -> None:
+    """Load the window's drop. Plain append repeats its rows when run again.
+
+    A bad row fails the load, unless ``quarantine`` names a folder for bad rows: each load writes its own
+    there, as text, under the window's key, and replaces those of an earlier run.
+    """
+    path = window.path(root, RECENT_PREFIX, "csv")
+    if quarantine is None:
+        drop = read_recent_csv(spark, path)
+    else:
+        drop, bad = split_bad_rows(read_csv_text(spark, path))
+        export_csv(bad, window.path(quarantine, RECENT_PREFIX, "csv"), sep=";")
     if replace:
         window_replace(drop, recent, window)
     else:

@@ -20,10 +20,7 @@ from faresettle.operators.facts import (
 from faresettle.operators.parameters import attach_parameters
 from faresettle.operators.setops import union_all
 from faresettle.plans.contract import AMOUNTS, IDENTITIES, KEYS, MONEY_SUM, REPORT_COLUMNS
-from faresettle.session import Staging
-
-MAX_BROADCAST_PARENTS = 2_000_000
-
+from faresettle.session import Staging, runtime_filter_for
 
 @dataclass(frozen=True)
 class SettlementSources:
@@ -40,49 +37,64 @@ class SettlementSources:
 def sales(sources: SettlementSources, window: DateWindow, staging: Staging | None = None) -> DataFrame:
     payments = payments_in_window(sources.payt, sources.emis, window)
     details = Details(sources.payt_vatc, sources.payt_txca, "payt_sqnu").lines()
-    if staging:
-        payments, details = _stage_and_reduce(payments, details, window, staging, "payments")
-    return sale_fact(payments, details, issues_by_ticket(sources.emis, window))
+    issues = issues_by_ticket(sources.emis, window)
+    if not staging:
+        return sale_fact(details.add_to(payments, "sqnu"), issues)
+    issues = staging.write(issues, "issues")
+    with runtime_filter_for(staging.spark, issues.count()):
+        payments = staging.write(keyed(payments, window), "payments")
+    return sale_fact(staged_details(payments, details, window, staging, "payments"), issues)
 
 
 def refunds(sources: SettlementSources, window: DateWindow, staging: Staging | None = None) -> DataFrame:
     headers = refunds_in_window(sources.rmbt, window)
     details = Details(sources.rmbt_vatc, sources.rmbt_txca, "rmbt_id").lines()
-    if staging:
-        headers, details = _stage_and_reduce(headers, details, window, staging, "refunds")
-    return refund_fact(headers, details)
+    if not staging:
+        return refund_fact(details.add_to(headers, "sqnu"))
+    headers = staging.write(keyed(headers, window), "refunds")
+    return refund_fact(staged_details(headers, details, window, staging, "refunds"))
+
+
+def keyed(headers: DataFrame, window: DateWindow) -> DataFrame:
+    return headers.withColumn("window_key", F.lit(window.key))
 
 
-def _stage_and_reduce(
-    headers: DataFrame, details: Details, window: DateWindow, staging: Staging, name: str
-) -> tuple[DataFrame, Details]:
-    """Staged headers, and their details as far as the headers' number allows.
+def staged_details(headers: DataFrame, details: Details, window: DateWindow, staging: Staging, name: str) -> DataFrame:
+    """Staged headers with their detail sums, staged too.
 
-    The headers are read back by their window key: a predicate on the staged side
-    is what lets Spark build a runtime filter from it where keys are too many to
-    broadcast.
+    The number of headers is known now, so the runtime filter that drops other parents' lines
+    while they are scanned has the right size, whatever the number.
     """
-    staged = staging.write(headers.withColumn("window_key", F.lit(window.key)), name)
-    staged = staged.filter(F.col("window_key") == window.key).drop("window_key")
-    parents = staged.select("sqnu")
-    return staged, details.of_parents(parents, parents.count(), MAX_BROADCAST_PARENTS)
+    with runtime_filter_for(staging.spark, headers.count()):
+        return staging.write(with_details(headers, details, window), f"{name}_with_details")
+
+
+def with_details(headers: DataFrame, details: Details, window: DateWindow) -> DataFrame:
+    """Headers are read back by their window key: a predicate on that side is what lets Spark
+    make a runtime filter of it."""
+    mine = headers.filter(F.col("window_key") == window.key).drop("window_key")
+    return details.add_to(mine, "sqnu")
 
 
 def settle(facts: list[DataFrame], para: DataFrame, dom_int: DomIntRule) -> DataFrame:
     """Sum facts of one or both types to report groups: keys and base sums.
 
-    The result has ``isoc`` and the day itself, which the report groups by but
-    does not show.
+    Facts are summed to all that a report row and its label depend on before the parameter rows are
+    attached, so these meet sums and not facts. The result has ``isoc`` and the day itself, which
+    the report groups by but does not show.
     """
-    rows = union_all([dom_int.prepare(fact) for fact in facts])
-    rows = attach_parameters(rows, para).withColumn("DomInt", dom_int.label(F.col("ticket"), F.col("isoc")))
-    keys = ("Type", "Source", "RptPeriod", "trx_day", "DomInt", "FOP", "CCY", "isoc", "cutp")
-    return rows.groupBy(*keys).agg(*[F.expr(f"{_weighted_sum(name)} AS {name}") for name in AMOUNTS])
+    rows = dom_int.prepare(union_all(facts))
+    keys = ("Type", "Source", "RptPeriod", "trx_day", "FOP", "CCY")
+    sums = rows.groupBy(*keys, *dom_int.inputs).agg(*[F.expr(f"{_weighted_sum(name, 'copies')} AS {name}") for name in AMOUNTS])
+    labelled = attach_parameters(sums, para).withColumn("DomInt", dom_int.label(F.col("ticket"), F.col("isoc")))
+    copies = "coalesce(para_copies, 1)"
+    return labelled.groupBy(*keys, "DomInt", "isoc", "cutp").agg(
+        *[F.expr(f"{_weighted_sum(name, copies)} AS {name}") for name in AMOUNTS]
+    )
 
 
-def _weighted_sum(amount: str) -> str:
-    """Sum of an amount that counts once per equal issue and parameter row."""
-    copies = "copies * coalesce(para_copies, 1)"
+def _weighted_sum(amount: str, copies: str) -> str:
+    """Sum of an amount that counts once per equal issue or parameter row."""
     return f"sum(CASE WHEN {copies} = 1 THEN {amount} ELSE {amount} * {copies} END)"
 
 
@@ -104,7 +116,7 @@ def settlement_report(
     With ``distinct``, groups that look the same collapse into one row, as under
     a SQL UNION; ``collapsed_groups`` shows what that loses.
     With ``staging``, the window's payments and refunds are written there first,
-    so that the detail tables can be reduced to the window while they are scanned.
+    so that the detail tables are reduced to the window while they are scanned.
     """
     facts = [sales(sources, window, staging), refunds(sources, window, staging)]
     return shown(settle(facts, sources.para, dom_int), distinct, date_as_text)

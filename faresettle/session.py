@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the report relies on for speed, not for its result.
+# Settings of sessions made here; they are for speed, no result depends on them.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -17,14 +19,14 @@ SETTINGS = {
     # The JVM does not compile methods above 8000 bytes, and aggregates of many
     # decimals generate such; Spark then runs them in smaller pieces.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    # The issue table is date-filtered before it builds the filter, so its raw
-    # size says little; the filter itself stays within maxNumBits.
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10GB",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "40000000",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(2**28),
 }
 
+# A runtime filter passes about one foreign key in a hundred at this many bits a key.
+FILTER_BITS_PER_KEY = 10
+# 256 MB: beyond 200 million keys the filter passes more, the result stays the same.
+MAX_FILTER_BITS = 2**31 - 1
+_FILTER = "spark.sql.optimizer.runtime.bloomFilter"
+
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A local session for tests and the benchmark."""
@@ -45,11 +47,31 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, **extra: str) ->
     return spark
 
 
-def tune(spark: SparkSession) -> None:
-    """Apply the settings above to a running session, as far as it allows."""
-    for key, value in SETTINGS.items():
-        if spark.conf.isModifiable(key):
-            spark.conf.set(key, value)
+@contextmanager
+def runtime_filter_for(spark: SparkSession, keys: int) -> Iterator[None]:
+    """Within this block, joins are planned with runtime filters of the right size.
+
+    Spark sizes its filters by settings, not by the join: without them a filter made for a
+    million keys stops filtering at ten. The caller knows how many keys the small side has.
+    """
+    bits = str(max(1024, min(MAX_FILTER_BITS, FILTER_BITS_PER_KEY * keys)))
+    wanted = {
+        "enabled": "true",
+        "expectedNumItems": str(max(1, keys)),
+        "maxNumItems": str(max(1, keys)),
+        "numBits": bits,
+        "maxNumBits": bits,
+        # The side that makes the filter has been counted, so its raw size says nothing.
+        "creationSideThreshold": "1024TB",
+    }
+    before = {name: spark.conf.get(f"{_FILTER}.{name}") for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(f"{_FILTER}.{name}", value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(f"{_FILTER}.{name}", value)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,6 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import re
+from dataclasses import replace
 
 import pytest
 
@@ -8,8 +9,8 @@ from faresettle.catalog import bindings, queries
 from faresettle.operators.classify import TicketCountryRule
 from faresettle.operators.details import Details, vat_by_parent
 from faresettle.operators.tables import aligned
-from faresettle.plans.settlement import SettlementSources, settlement_report
-from faresettle.session import Staging
+from faresettle.plans.settlement import SettlementSources, keyed, settlement_report, with_details
+from faresettle.session import Staging, runtime_filter_for
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -39,11 +40,26 @@ def without_broadcast(spark):
     spark.conf.set(key, before)
 
 
-def test_report_has_no_cross_join(lake, without_broadcast, capsys):
-    plan = explained(settlement_report(lake[0], queries.MONTH_WINDOW, lake[1]), capsys)
+def test_only_the_counted_parameter_rows_are_broadcast(lake, without_broadcast, capsys):
+    plan = explained(settlement_report(lake[0], queries.MONTH_WINDOW, lake[1]), capsys, "simple")
     assert "SortMergeJoin" in plan
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "Python"):
+    for node in ("CartesianProduct", "Python", "_slot"):
         assert node not in plan
+    assert plan.count("BroadcastNestedLoopJoin") == plan.count("BroadcastExchange") == 1
+
+
+def test_parameters_of_unknown_size_move_no_facts(spark, lake, without_broadcast, capsys):
+    """A table whose size Spark can't tell, as from a database, is broadcast all the same; facts are summed before they meet it."""
+    unknown = spark.createDataFrame(lake[0].para.rdd, lake[0].para.schema)
+    plan = explained(settlement_report(replace(lake[0], para=unknown), queries.MONTH_WINDOW, lake[1]), capsys, "simple")
+    join = plan.index("BroadcastNestedLoopJoin")
+    assert re.search(r"HashAggregate\(keys=\[Type", plan[join:])
+
+
+def test_too_many_parameter_rows_are_refused(spark, lake):
+    many = spark.range(1001).selectExpr("CAST(id AS INT) AS isoc", "'KRW' AS cutp")
+    with pytest.raises(ValueError, match="1000"):
+        settlement_report(replace(lake[0], para=many), queries.MONTH_WINDOW, lake[1])
 
 
 def test_window_and_codes_reach_the_scans(lake, capsys):
@@ -70,14 +86,6 @@ def test_details_are_summed_before_their_shuffle(lake, without_broadcast, capsys
     assert plan.count("Exchange hashpartitioning") == 3
 
 
-def test_staged_report_filters_details_while_scanning(spark, lake, capsys):
-    with Staging(spark) as staging:
-        plan = explained(settlement_report(lake[0], queries.MONTH_WINDOW, lake[1], staging=staging), capsys, "simple")
-    assert plan.count("BroadcastHashJoin [payt_sqnu") == 2
-    assert plan.count("BroadcastHashJoin [rmbt_id") == 2
-    assert "LeftSemi" in plan
-
-
 @pytest.fixture()
 def every_scan_is_large(spark):
     key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
@@ -97,13 +105,25 @@ def test_runtime_filter_prunes_the_payment_scan(lake, without_broadcast, every_s
     assert "tdnr" in filtered_columns(plan)
 
 
-def test_runtime_filter_prunes_details_beyond_the_broadcast_bound(
-    spark, lake, without_broadcast, every_scan_is_large, capsys, monkeypatch
-):
-    monkeypatch.setattr("faresettle.plans.settlement.MAX_BROADCAST_PARENTS", 0)
-    with Staging(spark) as staging:
-        plan = explained(settlement_report(lake[0], queries.MONTH_WINDOW, lake[1], staging=staging), capsys, "simple")
-    assert {"payt_sqnu", "rmbt_id"} <= filtered_columns(plan)
+@pytest.mark.parametrize("parents", [1_000, 6_000_000, 50_000_000])
+def test_details_are_filtered_at_any_number_of_parents(spark, lake, without_broadcast, every_scan_is_large, capsys, parents):
+    """The filter on the detail scans is made for the parents there are; one made for a million would pass nearly all."""
+    details = Details(lake[0].payt_vatc, lake[0].payt_txca, "payt_sqnu").lines()
+    with Staging(spark) as staging, runtime_filter_for(spark, parents):
+        headers = staging.write(keyed(lake[0].payt.select("sqnu"), queries.MONTH_WINDOW), "headers")
+        plan = explained(with_details(headers, details, queries.MONTH_WINDOW), capsys, "simple")
+    assert "payt_sqnu" in filtered_columns(plan)
+    sizes = {tuple(map(int, s)) for s in re.findall(r"bloom_filter_agg\(xxhash64\([^)]*\), (\d+), (\d+)", plan)}
+    assert sizes == {(parents, 10 * parents)}
+
+
+def test_filter_settings_are_put_back(spark):
+    key = "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems"
+    before = spark.conf.get(key)
+    with pytest.raises(RuntimeError), runtime_filter_for(spark, 77):
+        assert spark.conf.get(key) == "77"
+        raise RuntimeError
+    assert spark.conf.get(key) == before
 
 
 def test_loads_gather_rows_by_day(spark, table, capsys):

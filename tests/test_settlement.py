@@ -242,14 +242,22 @@ def test_staged_headers_give_the_same_report(spark):
         check(spark, random_tables(7), [one, two])
 
 
-def test_details_beyond_the_broadcast_bound_are_not_reduced(spark, monkeypatch):
-    monkeypatch.setattr("faresettle.plans.settlement.MAX_BROADCAST_PARENTS", 2)
-    with Staging(spark) as one, Staging(spark) as two:
-        check(spark, random_tables(8), [one, two])
+def test_staged_headers_without_broadcast_give_the_same_report(spark):
+    """With the runtime filter in the plan, whatever the size of the scans."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    before = {key: spark.conf.get(key) for key in keys}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        with Staging(spark) as one, Staging(spark) as two:
+            check(spark, random_tables(8), [one, two])
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_large_parameter_table_without_broadcast(spark):
-    """Beyond the broadcast threshold the parameters are joined by slot."""
+    """The parameters are broadcast by their count, whatever the threshold."""
     tables = random_tables(9)
     tables["para"] = [{"isoc": chr(65 + n % 26), "cutp": f"C{n % 40}"} for n in range(200)]
     key = "spark.sql.autoBroadcastJoinThreshold"

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from faresettle.catalog.queries import scratch_table
 from faresettle.functions.windows import DateWindow
 from faresettle.operators import tables
@@ -26,6 +28,18 @@ def test_each_drop_is_loaded_once(spark):
     assert content(spark, table) == {("2025-09-10", 1): 1}
 
 
+def test_a_bad_drop_does_not_block_later_ones(spark):
+    folder, checkpoint, table, aside = scratch_path(spark, "in"), scratch_path(spark, "progress"), scratch_table(spark), scratch_path(spark, "bad")
+    drops.create_drop_table(spark, table)
+    bad = rows_of(spark, "2025-09-11").withColumn("Fare", F.lit("1,5"))
+    for drop in (rows_of(spark, "2025-09-10"), bad, rows_of(spark, "2025-09-12")):
+        write_drop(drop, folder)
+        drops.load_new_drops(spark, folder, table, checkpoint, quarantine=aside)
+    assert content(spark, table) == {("2025-09-10", 1): 1, ("2025-09-12", 1): 1}
+    rows = spark.read.options(sep=";", header=True).csv(f"{aside}/*")
+    assert [(r.TrxDate, r.Fare) for r in rows.collect()] == [("2025-09-11", "1,5")]
+
+
 def test_a_batch_that_runs_again_replaces_its_rows(spark):
     table = scratch_table(spark)
     drops.create_drop_table(spark, table)

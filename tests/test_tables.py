@@ -65,11 +65,6 @@ def test_delete_range_keeps_other_and_null_days(spark, loaded):
     assert content(spark, loaded) == OUTSIDE
 
 
-def test_outside_window_keeps_null_days(spark):
-    frame = rows_of(spark, "2025-07-31", "2025-08-10", None)
-    assert {r.TrxDate for r in tables.outside_window(frame, AUGUST).collect()} == {"2025-07-31", None}
-
-
 def test_replace_is_rerunnable_and_drops_days_without_new_rows(spark, loaded):
     batch = rows_of(spark, "2025-08-15", "2025-08-20", amount=5)
     expected = OUTSIDE + Counter({("2025-08-15", 5): 1, ("2025-08-20", 5): 1})
@@ -112,12 +107,67 @@ def test_replace_restores_the_overwrite_mode(spark, loaded):
     assert spark.conf.get(key) == before
 
 
-def test_external_tables_are_refused(spark):
-    path = scratch_path(spark, "external")
-    name = scratch_table(spark)
-    rows_of(spark, "2025-08-01").write.partitionBy("TrxDate").option("path", path).saveAsTable(name)
-    with pytest.raises(ValueError, match="external"):
-        tables.delete_range(spark, [name], AUGUST)
+@pytest.fixture()
+def external(spark):
+    """An external table and its folder."""
+    path, name = scratch_path(spark, "external"), scratch_table(spark)
+    rows = rows_of(spark, "2025-07-31", "2025-08-01", "2025-08-02", "2025-09-01", None)
+    rows.write.partitionBy("TrxDate").option("path", path).saveAsTable(name)
+    return name, path
+
+
+def files_content(spark, path):
+    frame = spark.read.schema(REPORT_SCHEMA).parquet(path)
+    return Counter((r.TrxDate, int(r.Fare)) for r in frame.select("TrxDate", "Fare").collect())
+
+
+def test_external_window_equals_batch(spark, external):
+    """A day that the batch lacks goes, and so do its files."""
+    name, path = external
+    for _ in range(2):
+        tables.window_replace(rows_of(spark, "2025-08-01", amount=5), name, AUGUST)
+        assert content(spark, name) == files_content(spark, path) == OUTSIDE + Counter({("2025-08-01", 5): 1})
+
+
+def test_external_delete_and_promotion(spark, external):
+    name, path = external
+    final = scratch_table(spark, REPORT_SCHEMA)
+    tables.promote_final(rows_of(spark, "2025-08-15", amount=7), final, name, AUGUST)
+    assert content(spark, final) == {("2025-08-15", 7): 1}
+    assert content(spark, name) == files_content(spark, path) == OUTSIDE
+
+
+def test_external_monthly_job(spark, external):
+    name, path = external
+    sources = frames(spark, {"payt": [payment(1, "A1")], "emis": [issue("A1")], "para": ONE})
+    rule = ExpressionRule(lambda ticket, isoc: F.lit("I"))
+    jobs.monthly_settlement(sources, AUGUST, rule, scratch_path(spark, "lake"), name, scratch_table(spark, REPORT_SCHEMA))
+    assert content(spark, name) == files_content(spark, path) == OUTSIDE + Counter({("2025-08-05", 10): 1})
+
+
+def test_refusal_changes_nothing_in_an_external_table(spark, external):
+    name, path = external
+    before = files_content(spark, path)
+    with pytest.raises(ValueError, match="outside the window"):
+        tables.window_replace(rows_of(spark, "2025-08-01", "2025-09-09"), name, AUGUST)
+    assert content(spark, name) == files_content(spark, path) == before
+
+
+def test_lake_tables_get_row_level_statements(spark, loaded):
+    assert not tables.is_lake_table(spark, loaded)
+    assert tables.delete_statement("lake.sales", AUGUST) == (
+        "DELETE FROM lake.sales WHERE `TrxDate` BETWEEN '2025-08-01' AND '2025-08-31'"
+    )
+    frame = rows_of(spark, "2025-07-31", "2025-08-10", None)
+    assert [r.TrxDate for r in frame.filter(tables.range_condition(AUGUST)).collect()] == ["2025-08-10"]
+
+
+def test_lake_branch_is_taken_by_format(spark, loaded, monkeypatch):
+    said = []
+    monkeypatch.setattr(tables, "is_lake_table", lambda spark, table: True)
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: said.append(text))
+    tables.delete_range(spark, ["lake.final", "lake.recent"], AUGUST)
+    assert said == [tables.delete_statement(t, AUGUST) for t in ("lake.final", "lake.recent")]
 
 
 def test_promotion_retires_preliminary_rows(spark, loaded):
@@ -150,3 +200,19 @@ def test_weekly_job_replaces_or_appends(spark, table):
         assert content(spark, table) == once
     jobs.weekly_recent(spark, week, root, table, replace=False)
     assert content(spark, table) == {key: 2 for key in once}
+
+
+def test_weekly_job_sets_bad_rows_aside(spark, table):
+    root, aside = scratch_path(spark, "drops"), scratch_path(spark, "bad")
+    week = DateWindow(date(2025, 9, 10), date(2025, 9, 16))
+    path = week.path(root, jobs.RECENT_PREFIX, "csv")
+    bad = rows_of(spark, "2025-09-12").withColumn("Fare", F.lit("1,5"))
+    good = rows_of(spark, "2025-09-10").withColumn("Fare", F.col("Fare").cast("string"))
+    export.export_csv(good.unionByName(bad), path, sep=";")
+    with pytest.raises(Exception, match="not a plain amount"):
+        jobs.weekly_recent(spark, week, root, table)
+    assert content(spark, table) == {}
+    for _ in range(2):
+        jobs.weekly_recent(spark, week, root, table, quarantine=aside)
+        assert content(spark, table) == {("2025-09-10", 1): 1}
+        assert spark.read.options(sep=";", header=True).csv(week.path(aside, jobs.RECENT_PREFIX, "csv")).count() == 1
