@@ -238,7 +238,9 @@ def keep_one(
     classes = stage(classes, "simhash-classes")
     kept = rows.join(classes, "bits").where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     kept = stage(kept, "simhash-kept")
-    single = documents.join(kept.where("n = 1 AND doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_semi")
+    # The kept ids grow with the documents, so they are never broadcast; the texts move once.
+    firsts = kept.where("n = 1 AND doc_id IS NOT NULL").select("doc_id").hint("merge")
+    single = documents.join(firsts, "doc_id", "left_semi")
     several = kept.where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_id"))
     if several.isEmpty():
         return single.select(*documents.columns)
