@@ -21,8 +21,9 @@ from faresettle.catalog.queries import MONTH_WINDOW as MONTH
 from faresettle.functions.windows import DateWindow
 from faresettle.operators import details, tables
 from faresettle.operators.classify import TicketCountryRule
+from faresettle.operators.facts import amount_columns
 from faresettle.plans import models, settlement
-from faresettle.plans.contract import REPORT_SCHEMA
+from faresettle.plans.contract import IDENTITIES, REPORT_SCHEMA
 from faresettle.session import Staging, local_session
 
 YEAR = DateWindow.of("1998-01-01", "1998-12-31")
@@ -39,6 +40,34 @@ def landed(sources: settlement.SettlementSources, lake: Staging) -> settlement.S
     })
 
 
+def plain_sql(sources: settlement.SettlementSources, tickets: DataFrame, window: DateWindow) -> str:
+    """The report as one would write it by hand: two branches, each with its own joins and grouping, and UNION."""
+    for name, frame in [(f.name, getattr(sources, f.name)) for f in fields(sources)] + [("tickets", tickets)]:
+        frame.createOrReplaceTempView(name)
+    start, end = window.iso
+
+    def branch(kind: str, header: str, parent: str, joins: str, day: str, source: str, currency: str, ticket: str) -> str:
+        sign = "-" if kind == "Refund" else ""
+        amounts = amount_columns("refund" if kind == "Refund" else "sale")
+        sums = ", ".join(f"{sign}sum(coalesce({column}, 0)) AS {name}" for name, column in amounts.items())
+        tests = ", ".join(f"sum(CASE WHEN {test} THEN {amount} ELSE 0 END) AS {name}" for name, (test, amount) in details.VAT_BUCKETS.items())
+        return f"""
+        SELECT '{kind}' AS Type, {source} AS Source, h.peri AS RptPeriod, date_format({day}, 'yyyy-MM-dd') AS TrxDate,
+               CASE WHEN t.country = p.isoc THEN 'D' ELSE 'I' END AS DomInt, h.fptp AS FOP, {currency} AS CCY, p.cutp AS COA, {sums}
+        FROM (SELECT * FROM {header}) h {joins}
+        LEFT JOIN (SELECT {parent}, {tests} FROM {header}_vatc GROUP BY {parent}) v ON v.{parent} = h.sqnu
+        LEFT JOIN (SELECT {parent}, sum(coalesce(tmfa, 0)) AS yr_tmfa, sum(coalesce(tmff, 0)) AS yr_tmff
+                   FROM {header}_txca WHERE tmft = 'YR' GROUP BY {parent}) y ON y.{parent} = h.sqnu
+        LEFT JOIN tickets t ON t.ticket = h.{ticket} LEFT JOIN para p ON true
+        WHERE {day} BETWEEN DATE '{start}' AND DATE '{end}'
+        GROUP BY {source}, h.peri, {day}, t.country = p.isoc, h.fptp, {currency}, p.isoc, p.cutp"""
+
+    sale = branch("Sale", "payt", "payt_sqnu", "JOIN emis e ON e.tdnr = h.tdnr", "e.dais", "e.srci", "h.cuop", "tdnr")
+    refund = branch("Refund", "rmbt", "rmbt_id", "", "h.daut", "h.srci", "h.cutp", "utnr")
+    derived = ", ".join(f"{settlement.signed_sum(terms)} AS {name}" for name, terms in IDENTITIES.items())
+    return f"SELECT *, {derived} FROM ({sale} UNION {refund})"
+
+
 def headline(spark: SparkSession, sf_dir: str, lake: Staging) -> dict[str, Callable[[], None]]:
     sources = landed(bindings.settlement_sources(spark, sf_dir), lake)
     rule = TicketCountryRule(lake.write(bindings.dom_int_stand_in(spark, sf_dir).tickets, "tickets"))
@@ -59,6 +88,8 @@ def headline(spark: SparkSession, sf_dir: str, lake: Staging) -> dict[str, Calla
     tables.append(report(all_days), table)
     month = lake.write(report(MONTH), "month")
     return {
+        "plain_sql_month": lambda: run_all(spark.sql(plain_sql(sources, rule.tickets, MONTH))),
+        "plain_sql_all_years": lambda: run_all(spark.sql(plain_sql(sources, rule.tickets, all_days))),
         "settlement_report_month": lambda: run_all(report(MONTH)),
         "settlement_report_year": lambda: run_all(report(YEAR)),
         "settlement_report_all_years": lambda: run_all(report(all_days)),
