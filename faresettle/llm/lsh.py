@@ -18,8 +18,8 @@ ROTATIONS = 3
 PROBES = 4
 # Vectors of one bucket that one task compares; larger buckets are dealt to blocks, and each pair of blocks is a task's work.
 BUCKET_BLOCK = 2_000
-# Vectors a bucket should hold, from which the number of hashes in a bucket's name follows.
-BUCKET_AIM = 64
+# Vectors a bucket should hold by chance, from which the number of hashes in a bucket's name follows.
+BUCKET_AIM = 1
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -65,42 +65,38 @@ def buckets(vectors: np.ndarray, tables: int, hashes: int, probes: int) -> np.nd
     return out
 
 
-ENTRY = "tab int, bucket long, own boolean, key long, weight long, label long, dim int, unit binary, names binary"
+def _units(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows with as many components each, and their vectors scaled to length one in double precision."""
+    sizes = np.diff(np.asarray(column.offsets))
+    for dim in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == dim)
+        vectors = np.asarray(column.take(pa.array(rows)).flatten(), np.float64).reshape(-1, dim)
+        scaled = vectors / np.abs(vectors).max(1, keepdims=True)
+        yield rows, scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
+ENTRY = "tab int, bucket long, own boolean, key long, label long, dim int"
 
 
 def _entries(batches: Iterator[pa.RecordBatch], tables: int, hashes: int, probes: int) -> Iterator[pa.RecordBatch]:
+    """The buckets that each vector owns or probes, without the vectors."""
     for batch in batches:
-        lists = batch.column(batch.schema.get_field_index("embedding"))
-        sizes = np.diff(np.asarray(lists.offsets))
-        for dim in np.unique(sizes).tolist():
-            rows = np.flatnonzero(sizes == dim)
-            part = batch.take(pa.array(rows))
-            vectors = np.asarray(part.column(part.schema.get_field_index("embedding")).flatten(), np.float64).reshape(-1, dim)
-            scaled = vectors / np.abs(vectors).max(1, keepdims=True)
-            unit = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+        for rows, unit in _units(batch.column(2)):
             names = buckets(unit, tables, hashes, probes)
-            packed = pa.array([x.tobytes() for x in names], pa.binary())
-            units = pa.array([x.tobytes() for x in unit], pa.binary())
-            for table in range(tables):
-                for probe in range(probes):
-                    # Probes that are none (few axes) repeat the own bucket.
-                    new = np.flatnonzero((names[:, table, probe] != names[:, table, 0]) | (probe == 0))
-                    pick = pa.array(new)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(new), table, np.int32)),
-                            pa.array(names[new, table, probe]),
-                            pa.array(np.full(len(new), probe == 0)),
-                            *(part.column(part.schema.get_field_index(c)).take(pick) for c in ("key", "weight", "label")),
-                            pa.array(np.full(len(new), dim, np.int32)),
-                            units.take(pick),
-                            packed.take(pick),
-                        ],
-                        [x.split()[0] for x in ENTRY.split(", ")],
-                    )
-
-
-def _pairs(batches: Iterator[pa.RecordBatch], tables: int, probes: int, least: float, block: int) -> Iterator[pa.RecordBatch]:
+            # Probes that are none (few axes) repeat the own bucket.
+            new = (names != names[:, :, :1]) | (np.arange(probes) == 0)
+            of, table, probe = np.nonzero(new)
+            pick = pa.array(rows[of])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(table.astype(np.int32)), pa.array(names[new]), pa.array(probe == 0), batch.column(0).take(pick), batch.column(1).take(pick),
+                    pa.array(np.full(len(of), unit.shape[1], np.int32)),
+                ],
+                [x.split()[0] for x in ENTRY.split(", ")],
+            )
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], tables: int, hashes: int, probes: int, least: float, block: int) -> Iterator[pa.RecordBatch]:
     """`key`, `weight` (of its partners), `root`: what the buckets of one partition link."""
     batches = list(batches)
     if not batches:
@@ -115,15 +111,22 @@ def _pairs(batches: Iterator[pa.RecordBatch], tables: int, probes: int, least: f
     weights = np.zeros(len(keys), np.int64)
     weights[local] = column["weight"]
     partners, forest = np.zeros(len(keys), np.int64), Forest(len(keys))
-    units, names = table.column("unit"), table.column("names")
+    # Each vector once, however many buckets it came with.
+    _, once = np.unique(column["key"], return_index=True)
+    units: list[np.ndarray] = [np.zeros(0)] * len(keys)
+    names = np.zeros((len(keys), tables, probes), np.int64)
+    for rows, unit in _units(_whole(table.column("embedding").take(pa.array(once)))):
+        names[rows] = buckets(unit, tables, hashes, probes)
+        for row, vector in zip(rows.tolist(), unit):
+            units[row] = vector
     ends = np.append(np.flatnonzero(new)[1:], len(order))
     for begin, end in zip(np.flatnonzero(new).tolist(), ends.tolist()):
         rows = order[begin:end]
         own = column["own"][rows]
         if end - begin < 2 or not own.any():
             continue
-        unit = np.frombuffer(b"".join(units[int(r)].as_py() for r in rows), np.float64).reshape(len(rows), -1)
-        name = np.frombuffer(b"".join(names[int(r)].as_py() for r in rows), np.int64).reshape(len(rows), tables, probes)
+        unit = np.stack([units[k] for k in local[rows].tolist()])
+        name = names[local[rows]]
         low, high, part = (int(column[c][rows[0]]) if c != "part" else column[c][rows] for c in ("low", "high", "part"))
         at, key = int(column["tab"][rows[0]]), column["key"][rows]
         members = np.flatnonzero(own)
@@ -151,6 +154,10 @@ def _pairs(batches: Iterator[pa.RecordBatch], tables: int, probes: int, least: f
     )
 
 
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+
+
 def _first_meeting(x: np.ndarray, y: np.ndarray, table: int, smaller: np.ndarray, both_own: np.ndarray) -> np.ndarray:
     """Whether pairs (`x` probes or owns the bucket, `y` owns it) meet nowhere before; each pair counts once over all buckets."""
     first = np.ones(len(x), bool)
@@ -198,17 +205,18 @@ def near_vectors(
     # The name of a bucket has to fit in a long.
     hashes = min(hashes, 62 // (1 + max(1, ((width or 2) - 1).bit_length())))
     tables = 2 * hashes
-    entries = classes.select("key", "weight", "label", "embedding").mapInArrow(lambda x: _entries(x, tables, hashes, probes), ENTRY)
+    entries = stage(classes.select("key", "label", "embedding").mapInArrow(lambda x: _entries(x, tables, hashes, probes), ENTRY), "vector-buckets")
     place = ["tab", "bucket", "label", "dim"]
-    large = entries.groupBy(*place).count().where(F.col("count") > bucket_block)
-    large = large.select(*place, F.ceil(F.col("count") / bucket_block).cast("int").alias("blocks"))
-    dealt = entries.join(large, place, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    # Most buckets hold one vector or are only probed; the vectors themselves go to the others.
+    shared = entries.groupBy(*place).agg(F.count("*").alias("n"), F.max("own").alias("owned")).where("n > 1 AND owned")
+    shared = shared.select(*place, F.ceil(F.col("n") / bucket_block).cast("int").alias("blocks"))
+    dealt = entries.join(shared, place).withColumn("part", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("against", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"low": F.least("part", "against"), "high": F.greatest("part", "against")}).drop("blocks", "against")
+    dealt = dealt.join(classes.select("key", "weight", "embedding"), "key")
     found = stage(
         dealt.repartition(*place, "low", "high").mapInArrow(
-            lambda x: _pairs(x, tables, probes, least_cosine, bucket_block), "key long, weight long, root long"
+            lambda x: _pairs(x, tables, hashes, probes, least_cosine, bucket_block), "key long, weight long, root long"
         ),
         "vector-links",
     )
