@@ -79,6 +79,22 @@ SELECT d.page_id, d.payload_bytes::BIGINT AS payload_bytes, d.payload_digest,
 FROM digests d LEFT JOIN largest l ON d.payload_bytes >= 1000 AND l.payload_digest = d.payload_digest
 """
 
+# All pairs of a label, which is for small tables only. Where hashing missed a pair, the query would differ.
+NEAR_SQL = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+        AND len([c FOR c IN embedding IF c <> 0]) > 0
+), links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(x, y) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT r.x AS vec_id, (SELECT count(*) FROM links WHERE links.x = r.x) AS n_links, min(r.y) AS component_id, min(r.y) = r.x AS kept
+FROM reach r GROUP BY r.x
+"""
+
 # Here prefixes are compared as whole texts, not as hashes. Turns are numbered without gaps from 0 in the tables.
 CHAT_SQL = """
 WITH turns AS (
@@ -100,4 +116,4 @@ FROM ends WHERE NOT EXISTS (SELECT 1 FROM proper p WHERE p.size = ends.n_turns A
 
 
 def check_sql() -> dict[str, str]:
-    return {"op6_warc": WARC_SQL, "op9_chat": CHAT_SQL}
+    return {"op1_embedding_near_dedup": NEAR_SQL, "op6_warc": WARC_SQL, "op9_chat": CHAT_SQL}

@@ -1,6 +1,7 @@
 import numpy as np
+import pytest
 
-from faresettle.llm import lsh
+from faresettle.llm import catalog, lsh
 
 SCHEMA = "vec_id long, embedding array<float>, label int, tab string, key string, weight string"
 
@@ -98,6 +99,14 @@ def test_null_ids_and_no_rows(spark):
     assert lsh.near_vectors(vectors(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("scale", ["0.001", "0.01", "0.1"])
+def test_table_against_sql(spark, scale):
+    from check_oracle import connect, difference
+
+    directory = f"/root/testdata/sf{scale}"
+    assert difference(catalog.op1_embedding_near_dedup(spark, directory).toPandas(), connect(directory).sql(catalog.NEAR_SQL).df()) is None
+
+
 def test_table_recall(sf):
     df = sf("embeddings", "0.01")
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()]
