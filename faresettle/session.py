@@ -92,9 +92,31 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"faresettle-{application}-")
 
 
+# What each application has made in the shared folder: paths, and databases.
+_PATHS: dict[str, list[str]] = {}
+_DATABASES: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/faresettle-{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, until ``drop_scratch``."""
+    path = f"{shared_folder(spark)}/faresettle-{label}-{uuid.uuid4().hex}"
+    _PATHS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete this application's scratch paths and staging databases, once no result reads them any more.
+
+    Returns how many there were. Results that are still unread fail afterwards.
+    """
+    application = spark.sparkContext.applicationId
+    databases, paths = _DATABASES.pop(application, []), _PATHS.pop(application, [])
+    for database in databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in map(hadoop, paths):
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(databases) + len(paths)
 
 
 class Staging:
@@ -108,6 +130,7 @@ class Staging:
         self.spark = spark
         self.database = f"faresettle_{uuid.uuid4().hex}"
         spark.sql(f"CREATE DATABASE {self.database} LOCATION '{shared_folder(spark)}/{self.database}'")
+        _DATABASES.setdefault(spark.sparkContext.applicationId, []).append(self.database)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         table = f"{self.database}.{name}"

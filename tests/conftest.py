@@ -1,11 +1,13 @@
 import pytest
 
-from faresettle.session import local_session
+from faresettle.session import drop_scratch, local_session
 
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(cores=8, shuffle_partitions=4)
+    session = local_session(cores=8, shuffle_partitions=4)
+    yield session
+    drop_scratch(session)
 
 
 @pytest.fixture()

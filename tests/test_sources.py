@@ -1,15 +1,17 @@
 import json
 from decimal import Decimal
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from faresettle import session
 from faresettle.functions.values import blank_to_null, checked_decimal, iso_date, iso_text
 from faresettle.functions.windows import DateWindow
 from faresettle.operators import export, quality, roster
 from faresettle.plans.contract import MONEY
-from faresettle.session import scratch_path, shared_folder
+from faresettle.session import Staging, scratch_path, shared_folder
 from faresettle.sources import files, jdbc, payloads
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -130,6 +132,16 @@ def test_shared_folder_is_the_clusters():
     assert shared_folder(Session(**{"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"
 
 
+def test_scratch_is_dropped(spark, monkeypatch):
+    monkeypatch.setattr(session, "_PATHS", {})
+    monkeypatch.setattr(session, "_DATABASES", {})
+    path, staging = scratch_path(spark, "gone"), Staging(spark)
+    spark.range(3).write.parquet(path)
+    staging.write(spark.range(3).toDF("x"), "rows")
+    assert session.drop_scratch(spark) == 2 and session.drop_scratch(spark) == 0
+    assert not Path(path.removeprefix("file:")).exists() and not spark.catalog.databaseExists(staging.database)
+
+
 def test_shared_folder_falls_back_on_a_local_master_only():
     local = Session(**{"spark.master": "local[4]"})
     assert shared_folder(local) == shared_folder(local)
