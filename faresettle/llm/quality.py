@@ -74,7 +74,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS) -> QualityModel:
     """Minimise prior R_p(+) + max(0, R_u(-) - prior R_p(-)) with the logistic loss.
 
-    In a step in which the estimated risk of negatives is below zero, which no true risk can be, the step goes up
+    The scores are shifted so that the prior's share of the unlabelled rows is called positive, or more where a trusted
+    positive would not be. In a step in which the estimated risk of negatives is below zero, which no true risk can be, the step goes up
     that term instead, so that the model doesn't learn the unlabelled rows by heart.
     """
     both = np.concatenate([positive, unlabelled])
@@ -94,8 +95,10 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
         grad = prior * (a.T @ (sa - 1)) / len(a) + up if negative >= 0 else -up
         grad = grad + 1e-3 * np.r_[w[:-1], 0]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        w = w - 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return QualityModel(mean, scale, w[:-1], float(w[-1]), prior)
+        w = w - 0.02 * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    # The prior says how much of the unlabelled text is positive; trusted positives stay on that side.
+    middle = min(np.quantile(u @ w, 1 - prior), np.quantile(p @ w, 0.001))
+    return QualityModel(mean, scale, w[:-1], float(w[-1] - middle), prior)
 
 
 def held_out(id_column: str = "doc_id") -> Column:
@@ -135,8 +138,10 @@ def train(documents: DataFrame, labels: DataFrame) -> QualityModel | None:
     vectors = F.pandas_udf(lambda texts: texts.map(lambda t: features(t).tobytes()), "binary")
     matrices = []
     for rows in sample:
-        column = rows.select(vectors("text").alias("row")).toArrow().column("row")
-        matrices.append(np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, FEATURES))
+        # Executors answer in any order; the fit takes the rows in that of their hashes.
+        held = rows.select("o", vectors("text").alias("row")).toArrow().to_pylist()
+        ordered = sorted((r["o"], r["row"]) for r in held)
+        matrices.append(np.frombuffer(b"".join(row for _, row in ordered), np.float32).reshape(-1, FEATURES))
     if not all(map(len, matrices)):
         return None
     return fit(*matrices, prior=class_prior(counted.get(1, 0), counted.get(0, 0)))
