@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+from itertools import count as count_from
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from faresettle.llm.staging import checkpointed, stage
 
 SHARDS = 8
-ROUNDS = 12
+# Propagation ends after so many rounds in a row without fewer cut links.
+IDLE_ROUNDS = 2
 # Rows that one task ranks at a time.
 RANK_BLOCK = 20_000
 
@@ -33,12 +37,13 @@ def group_links(documents: DataFrame) -> DataFrame:
     return documents.join(first, "text_key").where("row <> a").select("a", F.col("row").alias("b"))
 
 
-def propagate(edges: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, quotas: list[int]) -> DataFrame:
     """`row`, `shard` for the rows of `edges` (`a`, `b`, each pair once): linked rows in the same shard, as far as the quotas let them.
 
     Rows start in turns. In each round every second row, by a hash, may move to the shard that most of its
     neighbours are in (a draw among equals), if more than in its own. Rows change places around rings of shards, and then as many move as
-    the target's quota leaves room for; those that gain most go first. So no shard ever exceeds its quota. Ends early when no row wants to move.
+    the target's quota leaves room for; those that gain most go first. So no shard ever exceeds its quota. Ends when no row wants to move, or
+    when rounds no longer leave fewer links cut.
     """
     both = checkpointed(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     nodes = both.select(F.col("a").alias("row")).distinct()
@@ -46,7 +51,8 @@ def propagate(edges: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
     held = _even(quotas, count)
     labels = ranked(nodes, [], ["row"], count, "rank").select("row", _shard_of("rank", held).alias("shard"))
     labels = checkpointed(labels)
-    for turn in range(rounds):
+    least, idle = None, 0
+    for turn in count_from(0):
         votes = (
             both.join(labels.select(F.col("row").alias("b"), "shard"), "b")
             .groupBy("a", "shard")
@@ -55,6 +61,7 @@ def propagate(edges: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
         best = votes.groupBy(F.col("a").alias("row")).agg(
             F.max(F.struct("votes", F.xxhash64("a", "shard", F.lit(turn)).alias("draw"), "shard")).alias("best"),
             F.map_from_entries(F.collect_list(F.struct("shard", "votes"))).alias("all"),  # an entry per shard at most
+            F.sum("votes").alias("degree"),
         )
         wishes = (
             labels.join(best, "row")
@@ -63,15 +70,22 @@ def propagate(edges: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
                 F.col("shard").alias("source"),
                 F.col("best.shard").alias("target"),
                 (F.col("best.votes") - F.coalesce(F.expr("all[shard]"), F.lit(0))).alias("gain"),
+                (F.col("degree") - F.coalesce(F.expr("all[shard]"), F.lit(0))).alias("lost"),
                 (F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(2)) == 0).alias("may"),
             )
-            .where("gain > 0")
+            .where("lost > 0")
         )
         wishes = checkpointed(wishes)
-        counted = wishes.groupBy("source", "target").agg(F.count(F.when(F.col("may"), 1)).alias("n")).collect()
-        if not counted:
+        may = F.col("may") & (F.col("gain") > 0)
+        facts = [F.count(F.when(may, 1)).alias("n"), F.count(F.when(F.col("gain") > 0, 1)).alias("wish"), F.sum("lost").alias("lost")]
+        counted = wishes.groupBy("source", "target").agg(*facts).collect()
+        if not any(r["wish"] for r in counted):
+            break
+        cut = sum(r["lost"] for r in counted)
+        least, idle = (cut, 0) if least is None or cut < least else (least, idle + 1)
+        if idle == IDLE_ROUNDS:
             break
-        wishes = wishes.where("may")
+        wishes = wishes.where(may)
         wanted = {(r["source"], r["target"]): r["n"] for r in counted if r["n"]}
         allowed = _allowed(wanted, [quota - n for quota, n in zip(quotas, held)])
         if not any(allowed.values()):
@@ -86,6 +100,71 @@ def propagate(edges: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
     return labels
 
 
+def settle(edges: DataFrame, labels: DataFrame, quotas: list[int]) -> DataFrame:
+    """`labels` with every group whole in one shard, where the quotas hold it; `edges` are stars, from a group's first row `a`.
+
+    Groups are packed by size, the largest first, into the shard most of their rows are in, else into the fullest that holds them
+    whole. One that no shard holds any more is cut into as few pieces as the room allows. Only counts by size and shard reach the driver.
+    """
+    members = edges.select(F.col("a").alias("group"), F.col("b").alias("row"))
+    members = members.unionByName(edges.select(F.col("a").alias("group"), F.col("a").alias("row")).distinct())
+    parts = members.join(labels, "row").groupBy("group", "shard").agg(F.count("*").alias("n"))
+    groups = checkpointed(
+        parts.groupBy("group").agg(F.sum("n").alias("whole"), F.max(F.struct("n", "shard"))["shard"].alias("main"), F.count("*").alias("parts"))
+    )
+    counted = groups.groupBy("whole", "main").agg(F.count("*").alias("n"), F.max("parts").alias("parts"), F.sum("whole").alias("rows")).collect()
+    if all(r["parts"] == 1 for r in counted):
+        return labels
+    spark, rows = edges.sparkSession, sum(r["rows"] for r in counted)
+    pieces = spark.createDataFrame(
+        _pack({(r["whole"], r["main"]): r["n"] for r in counted}, quotas), "whole long, main int, low long, high long, begin long, end long, target int"
+    )
+    placed = ranked(groups, ["whole", "main"], ["group"], rows, "place").join(F.broadcast(pieces), ["whole", "main"])
+    placed = checkpointed(placed.where("place >= low AND place < high AND (parts > 1 OR target <> main OR end - begin < whole)"))
+    moves = members.join(placed.where("end - begin = whole").select("group", "target"), "group").select("row", "target")
+    # A cut group's first row lies in its first piece, which is the largest.
+    cut = placed.where("end - begin < whole").select("group", "begin", "end", "target")
+    inside = ranked(members.where("row <> group").join(F.broadcast(cut.select("group").distinct()), "group"), ["group"], ["row"], rows, "rank")
+    inside = inside.select("group", "row", (F.col("rank") + 1).alias("rank")).unionByName(cut.where("begin = 0").selectExpr("group", "group AS row", "0L AS rank"))
+    split = inside.join(F.broadcast(cut), "group").where("rank >= begin AND rank < end").select("row", "target")
+    moves = moves.unionByName(split)
+    return checkpointed(labels.join(moves, "row", "left").select("row", F.coalesce("target", "shard").alias("shard")))
+
+
+def _pack(counts: dict[tuple[int, int], int], quotas: list[int]) -> list[tuple[int, int, int, int, int, int, int]]:
+    """Where groups go, by their size and main shard: of the groups ranked `low` to `high`, the rows `begin` to `end` go to a shard."""
+    room, out = list(quotas), []
+    todo = [(-size, main, 0, n, 0, size) for (size, main), n in counts.items()]
+    heapify(todo)
+    while todo:
+        size, equal = -todo[0][0], []
+        while todo and -todo[0][0] == size:
+            equal.append(list(heappop(todo)[1:]))
+
+        def put(item: list[int], n: int, shard: int) -> None:
+            main, low, _, begin, whole = item
+            if n:
+                out.append((whole, main, low, low + n, begin, begin + size, shard))
+                room[shard] -= n * size
+                item[1], item[2] = low + n, item[2] - n
+
+        for item in equal:
+            if item[3] == 0:
+                put(item, min(item[2], room[item[0]] // size), item[0])
+        for shard in sorted(range(len(room)), key=lambda s: (room[s], s)):
+            for item in equal:
+                put(item, min(item[2], room[shard] // size), shard)
+        # Fewer groups than shards are left, as all rows together fit.
+        for main, low, n, begin, whole in equal:
+            for rank in range(low, low + n):
+                shard = max(range(len(room)), key=lambda s: (room[s], s == main))
+                piece = room[shard]
+                out.append((whole, main, rank, rank + 1, begin, begin + piece, shard))
+                room[shard] = 0
+                heappush(todo, (piece - size, main, rank, 1, begin + piece, whole))
+    return out
+
+
 def _allowed(wanted: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
     """How many rows may move from a shard to another: those that change places around a ring, and then what the room lets in."""
     allowed, left = dict.fromkeys(wanted, 0), dict(wanted)
@@ -155,12 +234,12 @@ def _shard_of(rank: str, sizes: list[int]) -> F.Column:
 
 
 def shard_documents(
-    documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, id_column: str = "doc_id", text_column: str = "text"
+    documents: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """`doc_id`, `size`, `text_crc32`, `law`, `shard`, `slot`, `grown_shard`, `cut` for each row of `documents`.
 
     The law is `rows`: counts of shards differ by one at most. Documents of equal text are linked; balanced
-    label propagation brings them together, and documents without links fill what the quotas leave. `cut`
+    label propagation brings them together, groups it leaves apart are settled, and documents without links fill what the quotas leave. `cut`
     says that a linked document lies apart from the first of its text. A null text is empty: size 1,
     checksum 0, and linked with empty texts. Repeated rows are documents of their own, null ids are kept,
     other columns are ignored, an empty table gives no rows. A group larger than a shard is cut, for the law.
@@ -179,7 +258,7 @@ def shard_documents(
     count = rows.count()
     quotas = [count // shards + (s < count % shards) for s in range(shards)]
     edges = group_links(rows)
-    labels = propagate(edges, quotas, rounds)
+    labels = settle(edges, propagate(edges, quotas), quotas)
     held = {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     free = rows.join(labels, "row", "left_anti").select("row")
     sizes = [quota - held.get(s, 0) for s, quota in enumerate(quotas)]

@@ -80,3 +80,42 @@ def test_table_cuts_fewer_than_it_must_not(sf):
     out = shards.shard_documents(docs).collect()
     check_law(rows, out)
     assert apart(out) == 0
+
+
+def test_large_groups_come_together(documents):
+    rows = [(k, f"text {k % 3 if k < 9000 else k}") for k in range(30_000)]
+    out = shards.shard_documents(documents(rows)).collect()
+    check_law(rows, out)
+    # Three groups of 3,000 rows, shards of 3,750.
+    assert apart(out) == 0
+    assert not any(r["cut"] for r in out)
+
+
+def test_groups_that_fill_the_shards_come_together(documents):
+    rows = [(k, f"text {k % 40}") for k in range(200)]
+    out = shards.shard_documents(documents(rows)).collect()
+    check_law(rows, out)
+    assert apart(out) == 0
+
+
+def test_a_cut_group_has_few_pieces(documents):
+    rows = [(k, "same") for k in range(50)] + [(k, f"text {k}") for k in range(50, 120)]
+    out = shards.shard_documents(documents(rows)).collect()
+    check_law(rows, out)
+    assert apart(out) == 3
+    assert sum(r["cut"] for r in out) == 35
+
+
+def test_packing_takes_all_rows_within_the_quotas():
+    counts = {(50, 0): 1, (7, 1): 3, (7, 2): 2, (2, 0): 30, (3, 3): 4}
+    room = [40, 40, 40, 40]
+    held, groups = Counter(), defaultdict(list)
+    for whole, main, low, high, begin, end, target in shards._pack(counts, room):
+        held[target] += (high - low) * (end - begin)
+        for rank in range(low, high):
+            groups[whole, main, rank].append((begin, end))
+    assert all(held[s] <= 40 for s in range(4)) and sum(held.values()) == 157
+    assert len(groups) == 40
+    for (whole, _, _), parts in groups.items():
+        parts.sort()
+        assert parts[0][0] == 0 and parts[-1][1] == whole and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
