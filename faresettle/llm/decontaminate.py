@@ -48,6 +48,12 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return words_of(text), []
 
 
+def marked_answer(text: str) -> bool:
+    """Whether an item says itself where its answer begins."""
+    ends = [[m.end() for m in re.finditer(mark, text)][-1:] for mark in (r"(?i)\banswer\s*:", r"\?")]
+    return any(words_of(text[:end]) and words_of(text[end:]) for last in ends for end in last)
+
+
 def shingles(words: list[str], size: int = SHINGLE_WORDS) -> set[tuple[str, ...]]:
     size = min(size, len(words))
     return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()
@@ -64,6 +70,7 @@ class Index:
     ids: np.ndarray
     questions: list[set]
     answers: list[set]
+    wholes: list[set]
     terms: dict[str, int]
     begin: np.ndarray
     items: np.ndarray
@@ -73,7 +80,7 @@ class Index:
 
     @staticmethod
     def build(rows: list[tuple[int, str]], document_counts: dict[str, int], total: int, mean_words: float) -> Index:
-        ids, questions, answers, postings, longest = [], [], [], {}, 1
+        ids, questions, answers, wholes, postings, longest = [], [], [], [], {}, 1
         for item_id, text in rows:
             words = words_of(text)
             if not words:
@@ -83,6 +90,7 @@ class Index:
             question, answer = question_and_answer(text)
             questions.append(shingles(question))
             answers.append(shingles(answer))
+            wholes.append(set() if marked_answer(text) else shingles(words))
             longest = max(longest, len(words))
             weights = {}
             for word in dict.fromkeys(words):
@@ -99,7 +107,7 @@ class Index:
         most = np.zeros((len(terms), -(-max(1, len(ids)) // BLOCK_ITEMS)), np.float32)
         np.maximum.at(most, (np.repeat(np.arange(len(sizes)), sizes), items // BLOCK_ITEMS), np.nextafter(impacts.astype(np.float32), np.float32(2)))
         begin = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-        return Index(np.array(ids, np.int64), questions, answers, terms, begin, items, impacts, most, 2 * longest)
+        return Index(np.array(ids, np.int64), questions, answers, wholes, terms, begin, items, impacts, most, 2 * longest)
 
     @cached_property
     def postings(self) -> list[tuple[list[int], list[float], list[float], float]]:
@@ -199,17 +207,20 @@ class Index:
             low = high
 
     def verify(self, words: list[str], item: int) -> tuple[float, float]:
-        """The shares of the item's question and answer shingles that the words hold; an empty answer is held."""
+        """The shares of the item's question and answer shingles that the words hold; an empty answer is held.
+
+        Without a mark the last sentence is a guess at the answer: there the share of all the item's shingles counts for both, if it is more.
+        """
         held = {}
         shares = []
-        for wanted in (self.questions[item], self.answers[item]):
+        for wanted in (self.questions[item], self.answers[item], self.wholes[item]):
             if not wanted:
-                shares.append(1.0)
+                shares.append(1.0 if len(shares) < 2 else 0.0)
                 continue
             size = len(next(iter(wanted)))
             held.setdefault(size, shingles(words, size))
             shares.append(len(wanted & held[size]) / len(wanted))
-        return shares[0], shares[1]
+        return (shares[2], shares[2]) if shares[2] > min(shares[:2]) else (shares[0], shares[1])
 
     def matches(self, texts: list[str | None], threshold: float = THRESHOLD, overlap: float = OVERLAP) -> Iterator[tuple[int, int, float, float, float]]:
         """Text, item id, and the best score, question and answer overlap, for every text that holds an item."""
@@ -282,7 +293,7 @@ def find_leaks(
 
     Every window of every whole text is a query. A match has a BM25 score of `threshold` of the item's own or more, and
     `overlap` or more of the five-word shingles of its question and of its answer (shorter parts: of all
-    their words). A null or empty text holds nothing; a null `doc_id` stays null; repeated documents come out repeated, repeated
+    their words), or of the whole item where no mark shows an answer. A null or empty text holds nothing; a null `doc_id` stays null; repeated documents come out repeated, repeated
     items once; other columns are ignored; an empty table on either side gives no rows.
     """
     schema = f"doc_id long, {MATCH_SCHEMA}"

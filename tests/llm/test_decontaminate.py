@@ -123,3 +123,13 @@ def test_table_against_all_pairs(sf):
             if all(len(s & held[len(next(iter(s)))]) >= d.OVERLAP * len(s) for s in wanted if s):
                 expected.add((r["doc_id"], item))
     assert found == expected
+
+
+def test_edited_copies_of_items_without_a_marked_answer(spark, documents):
+    item = " ".join(f"word{k}" for k in range(40)) + ". The end is short here."
+    rows = [(1, item.replace("short", "long")), (2, item), (3, " ".join(item.split()[:25])), (4, item.split(". ")[1])]
+    out = d.find_leaks(documents(rows), benchmark(spark, [(70, item)])).collect()
+    assert sorted(r["doc_id"] for r in out) == [1, 2]
+    marked = item.replace(". The", "? The")
+    rows = [(1, marked.replace("short", "long")), (2, marked)]
+    assert [r["doc_id"] for r in d.find_leaks(documents(rows), benchmark(spark, [(70, marked)])).collect()] == [2]
