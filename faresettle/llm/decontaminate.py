@@ -26,8 +26,9 @@ OVERLAP = 0.8
 INDEX_WORDS = 1_000_000
 # Words of text that are looked at together.
 CHUNK_WORDS = 400_000
-# Terms of windows whose block bounds are added up together.
+# Terms of windows whose block bounds are added up together; sums, and block maxima, that this may take at once.
 BOUND_TERMS = 1 << 16
+BOUND_CELLS = 1 << 22
 WORD = re.compile(r"\w+")
 
 
@@ -61,7 +62,7 @@ def shingles(words: list[str], size: int = SHINGLE_WORDS) -> set[tuple[str, ...]
 
 @dataclass
 class Index:
-    """Postings of items by term, in item order, with the largest impact of each term in each block of items.
+    """Postings of items by term, in item order, with the largest impact of each term in each block of items that has the term.
 
     An impact is the term's BM25 weight in the item over the score of the item's own text, so the
     impacts of an item's terms add up to 1 and one threshold serves items of any length.
@@ -75,6 +76,8 @@ class Index:
     begin: np.ndarray
     items: np.ndarray
     impacts: np.ndarray
+    block_begin: np.ndarray
+    blocks: np.ndarray
     block_most: np.ndarray
     window: int
 
@@ -104,16 +107,39 @@ class Index:
         sizes = [len(p) for p in postings.values()]
         flat = [x for p in postings.values() for x in p]
         items, impacts = np.array([i for i, _ in flat], np.int64), np.array([w for _, w in flat])
-        most = np.zeros((len(terms), -(-max(1, len(ids)) // BLOCK_ITEMS)), np.float32)
-        np.maximum.at(most, (np.repeat(np.arange(len(sizes)), sizes), items // BLOCK_ITEMS), np.nextafter(impacts.astype(np.float32), np.float32(2)))
         begin = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-        return Index(np.array(ids, np.int64), questions, answers, wholes, terms, begin, items, impacts, most, 2 * longest)
+        of, block = np.repeat(np.arange(len(sizes)), sizes), items // BLOCK_ITEMS
+        firsts = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (block[1:] != block[:-1])]) if len(items) else np.zeros(0, np.int64)
+        above = np.nextafter(impacts.astype(np.float32), np.float32(2))
+        most = np.maximum.reduceat(above, firsts) if len(firsts) else above
+        block_begin = np.searchsorted(of[firsts], np.arange(len(sizes) + 1)).astype(np.int64)
+        return Index(np.array(ids, np.int64), questions, answers, wholes, terms, begin, items, impacts, block_begin, block[firsts], most, 2 * longest)
 
     @cached_property
-    def postings(self) -> list[tuple[list[int], list[float], list[float], float]]:
-        """Of each term: items, impacts, the largest impact by block and of all."""
-        ends = zip(self.begin[:-1].tolist(), self.begin[1:].tolist(), self.block_most.tolist())
-        return [(self.items[a:b].tolist(), self.impacts[a:b].tolist(), most, max(most)) for a, b, most in ends]
+    def _met(self) -> dict[int, tuple[list[int], list[float], dict[int, float], float]]:
+        return {}
+
+    def postings(self, term: int) -> tuple[list[int], list[float], dict[int, float], float]:
+        """Of a term: items, impacts, the largest impact by block and of all; kept once asked for."""
+        if term not in self._met:
+            held, blocks = slice(self.begin[term], self.begin[term + 1]), slice(self.block_begin[term], self.block_begin[term + 1])
+            most = dict(zip(self.blocks[blocks].tolist(), self.block_most[blocks].tolist()))
+            self._met[term] = (self.items[held].tolist(), self.impacts[held].tolist(), most, max(most.values()))
+        return self._met[term]
+
+    def bounds(self, terms: np.ndarray, of: np.ndarray, count: int) -> np.ndarray:
+        """The sums of the terms' largest impacts, a row for each of the `count` windows the terms are `of`, a column for each block."""
+        blocks = -(-max(1, len(self.ids)) // BLOCK_ITEMS)
+        out, sizes = np.zeros(count * blocks), self.block_begin[terms + 1] - self.block_begin[terms]
+        ends, low = np.cumsum(sizes), 0
+        while low < len(terms):
+            high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + BOUND_CELLS, "right")))
+            size = sizes[low:high]
+            at = np.repeat(self.block_begin[terms[low:high]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            cells = np.repeat(of[low:high] * blocks, size) + self.blocks[at]
+            out += np.bincount(cells, self.block_most[at], len(out))
+            low = high
+        return out.reshape(count, blocks)
 
     def retrieve(self, query: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """All items that score `threshold` or more for a set of terms, by block-max WAND.
@@ -124,10 +150,10 @@ class Index:
         """
         slack = threshold - 1e-9
         # A little lower, as these bounds are added up in single precision.
-        open_blocks = np.flatnonzero(self.block_most[query].sum(0) >= threshold - 1e-4).tolist()
+        open_blocks = np.flatnonzero(self.bounds(query, np.zeros(len(query), np.int64), 1)[0] >= threshold - 1e-4).tolist()
         if not open_blocks:
             return []
-        held = [self.postings[t] for t in query]
+        held = [self.postings(t) for t in query.tolist()]
         lists, weights, blocks, most = ([p[k] for p in held] for k in range(4))
         at = [bisect_left(x, open_blocks[0] * BLOCK_ITEMS) for x in lists]
         live, found = [k for k in range(len(lists)) if at[k] < len(lists[k])], []
@@ -150,7 +176,7 @@ class Index:
                 break
             if open_blocks[place] != block:
                 target = open_blocks[place] * BLOCK_ITEMS
-            elif sum(blocks[k][block] for k in ahead) < slack:
+            elif sum(blocks[k].get(block, 0.0) for k in ahead) < slack:
                 # Up to the next cursor's item only these cursors count, and in this block they don't reach.
                 after = lists[live[pivot + 1]][at[live[pivot + 1]]] if pivot + 1 < len(live) else len(self.ids)
                 target = min((block + 1) * BLOCK_ITEMS, after)
@@ -196,9 +222,11 @@ class Index:
         ends = np.append(begins[1:], len(keys))
         low = 0
         while low < len(begins):
-            high = max(low + 1, int(np.searchsorted(ends, begins[low] + BOUND_TERMS, "right")))
+            most = low + max(1, BOUND_CELLS * BLOCK_ITEMS // (len(self.ids) + BLOCK_ITEMS))
+            high = max(low + 1, min(most, int(np.searchsorted(ends, begins[low] + BOUND_TERMS, "right"))))
             part = slice(begins[low], ends[high - 1])
-            bounds = np.add.reduceat(self.block_most[term[part]], begins[low:high] - begins[low], axis=0).max(1)
+            of = np.repeat(np.arange(high - low), ends[low:high] - begins[low:high])
+            bounds = self.bounds(term[part], of, high - low).max(1)
             for k in (low + np.flatnonzero(bounds >= threshold - 1e-4)).tolist():
                 number = int(window[begins[k]])
                 owner = int(np.searchsorted(first_window, number, "right")) - 1

@@ -133,3 +133,13 @@ def test_edited_copies_of_items_without_a_marked_answer(spark, documents):
     marked = item.replace(". The", "? The")
     rows = [(1, marked.replace("short", "long")), (2, marked)]
     assert [r["doc_id"] for r in d.find_leaks(documents(rows), benchmark(spark, [(70, marked)])).collect()] == [2]
+
+
+def test_an_index_grows_with_its_postings():
+    rows = [(k, " ".join(f"t{k}x{j}" for j in range(12)) + " common") for k in range(5000)]
+    index = make_index(rows)
+    assert len(index.terms) == 60_001
+    assert sum(x.nbytes for x in vars(index).values() if isinstance(x, np.ndarray)) < 100 * len(index.items)
+    words = d.words_of(rows[4321][1])
+    assert [(t, i) for t, i, *_ in index.matches(["none " * 50 + rows[4321][1], "common " * 30])] == [(0, 4321)]
+    assert not index._met.keys() - {index.terms[w] for w in words}
