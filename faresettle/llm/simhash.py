@@ -236,7 +236,9 @@ def keep_one(
     """
     rows, classes = _classified(documents, "doc_id", "text", words, most_bits, trie_root)
     classes = stage(classes, "simhash-classes")
-    kept = rows.join(classes, "bits").where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+    # All rows of an id count: one that leads its component may share its id with rows of others.
+    leads = F.count(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), 1))
+    kept = rows.join(classes, "bits").groupBy("doc_id").agg(F.count("*").alias("n"), leads.alias("leads")).where("leads > 0").drop("leads")
     kept = stage(kept, "simhash-kept")
     # The kept ids grow with the documents, so they are never broadcast; the texts move once.
     firsts = kept.where("n = 1 AND doc_id IS NOT NULL").select("doc_id").hint("merge")

@@ -132,3 +132,10 @@ def test_one_of_each_group_stays(documents):
     ]
     assert kept.where("doc_id = 7").count() == 1
     assert simhash.keep_one(documents([])).count() == 0
+
+
+def test_an_id_in_two_groups_keeps_one_row_of_each(documents):
+    first, second = (" ".join(f"{name}{k}" for k in range(60)) for name in ("alpha", "omega"))
+    rows = [(1, first), (5, second), (5, first), (7, second)]
+    kept = simhash.keep_one(documents(rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, first), (5, second)]
