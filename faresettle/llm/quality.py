@@ -112,10 +112,11 @@ def class_prior(positives: int, negatives: int) -> float:
 
 
 def train(documents: DataFrame, labels: DataFrame) -> QualityModel | None:
-    """Fit to labels outside the held-out fold; None if there is no positive or no unlabelled text.
+    """Fit to labels outside the held-out fold; None if there is no positive.
 
     Labels of one id that contradict each other and labels that are null don't count. Trusted positives are
-    documents with quality 1, unlabelled text is that of documents without a label. Documents with quality 0 go into the
+    documents with quality 1, unlabelled text is that of documents without a label, or of all learned ones, their labels ignored, if every one has
+    a label. Documents with quality 0 go into the
     class prior only. Both samples are bounded; the prior counts all labels.
     """
     marks = (
@@ -131,20 +132,21 @@ def train(documents: DataFrame, labels: DataFrame) -> QualityModel | None:
     ids = documents.where(learned & F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     good = ids.join(marks.where("quality = 1"), "doc_id", "left_semi")
     rest = ids.join(labels, "doc_id", "left_anti")
-    sample = [
-        rows.select("text", order.alias("o")).orderBy("o").limit(most)
-        for rows, most in ((_smallest(good, order, most=POSITIVES), POSITIVES), (_smallest(rest, order, most=UNLABELLED), UNLABELLED))
-    ]
     vectors = F.pandas_udf(lambda texts: texts.map(lambda t: features(t).tobytes()), "binary")
-    matrices = []
-    for rows in sample:
+
+    def matrix(rows: DataFrame, most: int) -> np.ndarray:
+        sample = _smallest(rows, order, most=most).select("text", order.alias("o")).orderBy("o").limit(most)
         # Executors answer in any order; the fit takes the rows in that of their hashes.
-        held = rows.select("o", vectors("text").alias("row")).toArrow().to_pylist()
+        held = sample.select("o", vectors("text").alias("row")).toArrow().to_pylist()
         ordered = sorted((r["o"], r["row"]) for r in held)
-        matrices.append(np.frombuffer(b"".join(row for _, row in ordered), np.float32).reshape(-1, FEATURES))
-    if not all(map(len, matrices)):
+        return np.frombuffer(b"".join(row for _, row in ordered), np.float32).reshape(-1, FEATURES)
+
+    positive, unlabelled = matrix(good, POSITIVES), matrix(rest, UNLABELLED)
+    if not len(positive):
         return None
-    return fit(*matrices, prior=class_prior(counted.get(1, 0), counted.get(0, 0)))
+    if not len(unlabelled):
+        unlabelled = matrix(ids, UNLABELLED)
+    return fit(positive, unlabelled, prior=class_prior(counted.get(1, 0), counted.get(0, 0)))
 
 
 def _smallest(rows: DataFrame, order: Column, most: int) -> DataFrame:

@@ -62,3 +62,11 @@ def test_features_cover_the_whole_text():
     text = "some words " * 5000
     assert (quality.features(text) != quality.features(text + "### $$$ %%%")).any()
     assert not quality.features(None).any() and not quality.features(" \n").any()
+
+
+def test_labels_of_every_document(spark, documents):
+    rows = [(k, f"plain words number {k} go on and on") if k % 2 else (k, f"### {k} $$$ %%% &&&") for k in range(300)]
+    labels = spark.createDataFrame([(k, k % 2, 0, "x") for k in range(300)], LABELS)
+    out = quality.score_documents(documents(rows), labels).collect()
+    assert sum(r["predicted"] == r["doc_id"] % 2 for r in out) > 285
+    assert {r["doc_id"] % 2 for r in quality.keep_good(documents(rows), labels).collect()} == {1}
