@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faresettle.llm import chat, decontaminate, lsh, mixing, pieces, quality, secrets, shards, simhash, warc
+from faresettle.llm import chat, collocations, decontaminate, language, lsh, mixing, pieces, quality, secrets, shards, simhash, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,12 +55,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         run.__name__: run
         for run in (
             op1_embedding_near_dedup, op2_sharding, op3_sentencepiece, op4_lm_scoring, op5_quality, op6_warc, op7_simhash, op8_secrets, op9_chat,
-            op10_decontamination,
+            op10_decontamination, op11_collocations, op12_language, op13_whitening,
         )
     }
 
@@ -114,6 +126,45 @@ SELECT conv_id, 0 AS part, n_turns, n_same, text
 FROM ends WHERE NOT EXISTS (SELECT 1 FROM proper p WHERE p.size = ends.n_turns AND p.text = ends.text)
 """
 
+# Every phrase is counted, nothing is left out on the way.
+COLLOCATIONS_SQL = """
+WITH texts AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (
+    SELECT lang, unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts
+), worded AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda w: w <> '') AS words FROM pieces
+), phrases AS (
+    SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase
+    FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM worded, range(1, 6) AS sizes(size))
+), f AS (
+    SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY ALL
+), n AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang
+), frequent AS (
+    SELECT lang, size, phrase, f, string_split(phrase, ' ') AS words FROM f WHERE f >= 100
+), inner_ones AS (
+    SELECT lang, array_to_string(words[i : j], ' ') AS phrase, max(f) AS most
+    FROM (SELECT lang, words, f, size, i, unnest(range(i + 1, size + 1)) AS j FROM (SELECT *, unnest(range(1, size)) AS i FROM frequent))
+    WHERE j - i + 1 < size GROUP BY ALL
+), candidates AS (
+    SELECT c.* FROM frequent c LEFT JOIN inner_ones o ON o.lang = c.lang AND o.phrase = c.phrase
+    WHERE size > 1 AND (most IS NULL OR 100 * most < 100 * f)
+), cuts AS (
+    SELECT lang, phrase, f AS a, k, array_to_string(words[1 : k], ' ') AS head, array_to_string(words[k + 1 : size], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+), scored AS (
+    SELECT c.lang, c.phrase, a, k, h.f AS l, r.f AS r, n, (1000::HUGEINT * a * n) // (h.f::HUGEINT * r.f) AS score
+    FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head JOIN f r ON r.lang = c.lang AND r.phrase = c.rest JOIN n ON n.lang = c.lang
+), best AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
 
 def check_sql() -> dict[str, str]:
-    return {"op1_embedding_near_dedup": NEAR_SQL, "op6_warc": WARC_SQL, "op9_chat": CHAT_SQL}
+    return {"op1_embedding_near_dedup": NEAR_SQL, "op6_warc": WARC_SQL, "op9_chat": CHAT_SQL, "op11_collocations": COLLOCATIONS_SQL}
