@@ -18,7 +18,7 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 # Texts that one task counts together; it holds a few dozen bytes for each.
-LOT_BYTES = 8 << 20
+LOT_BYTES = 2 << 20
 # A prefix with more than this share of all words is hot: its stripe is cut into so many parts by the next word.
 HOT = 4096
 PARTS = 1024
@@ -30,11 +30,8 @@ RANK_BLOCK = 100_000
 
 STRIPES = "lang string, prefix string, part int, stripe array<struct<word: string, n: bigint>>"
 
-_KIND = np.zeros(256, np.uint8)
-_KIND[list(b" \t")] = 1
-_KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_KIND = bytes(1 if b in b" \t" else 2 if b in b".,;:!?\n\x0b\x0c\r" else 0 for b in range(256))
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STEP, _NEXT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -81,7 +78,8 @@ class Lot:
 
     def __init__(self, texts: pa.Array, langs: pa.Array) -> None:
         data, begin = utf8(texts)
-        kind = _KIND[data]
+        # Tables of bytes are looked up by translate, which makes no wider copy.
+        kind = np.frombuffer(data.tobytes().translate(_KIND), np.uint8)
         inside = kind == 0
         first, last, split = inside.copy(), inside.copy(), kind == 2
         first[1:] &= ~inside[:-1]
@@ -93,7 +91,7 @@ class Lot:
         starts = np.flatnonzero(first)
         lengths = np.flatnonzero(last) + 1 - starts
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-        letters = _LOWER[data[inside]]
+        letters = data[inside].tobytes().translate(_LOWER)
         spelled = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(letters))
         encoded = spelled.dictionary_encode()
         self.words = encoded.dictionary
@@ -194,6 +192,7 @@ def merged(texts: DataFrame, size: int, known: Known | None) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lot in lots(batches):
             yield from lot.stripes(size, broadcast.value)
+            del lot
 
     key = ["lang", "prefix", "part"]
     entries = texts.mapInArrow(emit, STRIPES).repartition(*key).select(*key, F.inline("stripe"))
