@@ -27,8 +27,12 @@ BITS_A_PHRASE = 16
 MOST_BITS = 1 << 27
 # Candidates that one task ranks.
 RANK_BLOCK = 100_000
+RANK_BLOCKS = 16
+# Stripes travel in buckets, so many at least, by prefix and part. A bucket of a lot is a text: a line per stripe, with the prefix and then each next word and its
+# count, between tabs. Words hold no space, tab or line end.
+BUCKETS = 1024
 
-STRIPES = "lang string, prefix string, part int, stripe array<struct<word: string, n: bigint>>"
+STRIPES = "lang string, bucket int, stripes string"
 
 _KIND = bytes(1 if b in b" \t" else 2 if b in b".,;:!?\n\x0b\x0c\r" else 0 for b in range(256))
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -116,8 +120,8 @@ class Lot:
         good = known.holds(self.phrases(size - 1, shorter))
         return at[good[at] & good[at + 1]]
 
-    def stripes(self, size: int, known: Known | None) -> Iterator[pa.RecordBatch]:
-        """This lot's stripes of prefixes of `size` - 1 words; with them, for the empty prefix, each language's words (a null word)."""
+    def stripes(self, size: int, known: Known | None, buckets: int) -> Iterator[pa.RecordBatch]:
+        """This lot's stripes of prefixes of `size` - 1 words; with them, for the empty prefix, each language's words (an empty word)."""
         at = self.starts(size, known)
         if not len(at):
             return
@@ -133,33 +137,46 @@ class Lot:
         one = np.empty(len(codes), np.int64)
         one[which] = np.arange(len(at))
         prefix, one = prefix[one], at[one]
-        nexts = self.ids[one + size - 1]
-        hot = np.ones(len(one), bool) if known is None else np.isin(self.phrases(size - 1, one), known.hot)
-        part = np.where(hot, (self.hashes[nexts] % np.uint64(PARTS)).astype(np.int64), 0)
-        order = np.lexsort((part, prefix))
-        prefix, part, one, nexts, n = prefix[order], part[order], one[order], nexts[order], n[order]
-        heads = np.flatnonzero(np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])]))
-        ends = np.concatenate([heads[1:], [len(one)]])
+        nexts, key = self.ids[one + size - 1], self.phrases(size - 1, one)
+        hot = np.ones(len(one), bool) if known is None else np.isin(key, known.hot)
+        part = np.where(hot, self.hashes[nexts] % np.uint64(PARTS), np.uint64(0))
+        bucket = (_mixed(key + part) % np.uint64(buckets)).astype(np.int64)
+        lang = self.lang[one]
+        order = np.lexsort((part, prefix, bucket, lang))
+        lang, bucket, prefix, part, one, nexts, n = (x[order] for x in (lang, bucket, prefix, part, one, nexts, n))
+        heads = _heads(lang, prefix, part)
+        spelled = [self.words.take(pa.array(self.ids[one[heads] + j])) for j in range(size - 1)]
+        prefixes = _joined(spelled, " ") if spelled else pa.array([""] * len(heads), pa.large_string())
+        entries = _joined([self.words.take(pa.array(nexts)), pa.array(n).cast(pa.large_string())], " ")
+        lines = _joined([prefixes, _lists(entries, heads, "\t")], "\t")
+        tops = _heads(lang[heads], bucket[heads])
+        yield _batch(self.langs.take(pa.array(lang[heads][tops])), bucket[heads][tops], _lists(lines, tops, "\n"))
         if known is None:
-            words = np.bincount(self.lang, minlength=len(self.langs))
-            yield _batch(self.langs, pa.array([""] * len(words)), np.full(len(words), -1), pa.nulls(len(words), pa.string()), words, np.arange(len(words) + 1))
-        for low in range(0, len(heads), 20_000):
-            some = heads[low : low + 20_000]
-            begin, end = some[0], ends[min(low + 20_000, len(heads)) - 1]
-            first = one[some]
-            spelled = [self.words.take(pa.array(self.ids[first + j])) for j in range(size - 1)]
-            prefixes = pc.binary_join_element_wise(*spelled, pa.scalar(" ", pa.large_string())) if spelled else pa.array([""] * len(some))
-            yield _batch(
-                self.langs.take(pa.array(self.lang[first])), prefixes, part[some], self.words.take(pa.array(nexts[begin:end])), n[begin:end],
-                np.append(some, end) - begin,
-            )
-
-
-def _batch(langs: pa.Array, prefixes: pa.Array, part: np.ndarray, words: pa.Array, n: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
-    entries = pa.StructArray.from_arrays([words.cast(pa.string()), pa.array(n, pa.int64())], ["word", "n"])
-    stripe = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)
-    columns = [langs.cast(pa.string()), prefixes.cast(pa.string()), pa.array(part, pa.int32()), stripe]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "part", "stripe"])
+            words = pa.array(np.bincount(self.lang, minlength=len(self.langs))).cast(pa.large_string())
+            nothing = pa.array([""] * len(words), pa.large_string())
+            yield _batch(self.langs, np.zeros(len(words)), _joined([nothing, _joined([nothing, words], " ")], "\t"))
+
+
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    """Where rows begin that differ from the one before in a key."""
+    differ = np.zeros(len(keys[0]), bool)
+    differ[:1] = True
+    for key in keys:
+        differ[1:] |= key[1:] != key[:-1]
+    return np.flatnonzero(differ)
+
+
+def _joined(columns: list[pa.Array], mark: str) -> pa.Array:
+    return pc.binary_join_element_wise(*columns, pa.scalar(mark, pa.large_string()))
+
+
+def _lists(values: pa.Array, heads: np.ndarray, mark: str) -> pa.Array:
+    """Values from each head to the next one, joined."""
+    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(np.append(heads, len(values))), values), pa.scalar(mark, pa.large_string()))
+
+
+def _batch(langs: pa.Array, bucket: np.ndarray, stripes: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([langs.cast(pa.string()), pa.array(bucket, pa.int32()), stripes.cast(pa.string())], ["lang", "bucket", "stripes"])
 
 
 def lots(batches: Iterator[pa.RecordBatch]) -> Iterator[Lot]:
@@ -183,21 +200,27 @@ def lots(batches: Iterator[pa.RecordBatch]) -> Iterator[Lot]:
 
 
 def merged(texts: DataFrame, size: int, known: Known | None) -> DataFrame:
-    """Entries `lang`, `prefix`, `word`, `f` of the stripes of `size` words that come `LEAST` times; a null word has the language's total.
+    """Entries `lang`, `prefix`, `word`, `f` of the stripes of `size` words that come `LEAST` times; an empty word has the language's total.
 
-    Stripes are dealt by language, prefix and part and merged where they arrive, entry by entry; no task holds a hot stripe.
+    Stripes are dealt by language and bucket and merged where they arrive, entry by entry; no task holds a hot stripe.
     """
-    broadcast = texts.sparkSession.sparkContext.broadcast(known)
+    spark = texts.sparkSession
+    broadcast = spark.sparkContext.broadcast(known)
+    buckets = max(BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lot in lots(batches):
-            yield from lot.stripes(size, broadcast.value)
+            yield from lot.stripes(size, broadcast.value, buckets)
             del lot
 
-    key = ["lang", "prefix", "part"]
-    entries = texts.mapInArrow(emit, STRIPES).repartition(*key).select(*key, F.inline("stripe"))
-    counted = entries.groupBy(*key, "word").agg(F.sum("n").alias("f"))
-    return counted.where((F.col("f") >= LEAST) | F.col("word").isNull()).drop("part")
+    dealt = texts.mapInArrow(emit, STRIPES).repartition("lang", "bucket")
+    lines = dealt.select("lang", "bucket", F.explode(F.split("stripes", "\n")).alias("line"))
+    fields = lines.select("lang", "bucket", F.split("line", "\t").alias("fields"))
+    entries = fields.select("lang", "bucket", F.col("fields")[0].alias("prefix"), F.explode(F.expr("slice(fields, 2, size(fields))")).alias("entry"))
+    counted = entries.groupBy("lang", "bucket", "prefix", F.substring_index("entry", " ", 1).alias("word")).agg(
+        F.sum(F.substring_index("entry", " ", -1).cast("long")).alias("f")
+    )
+    return counted.where((F.col("f") >= LEAST) | (F.col("word") == "")).drop("bucket")
 
 
 def _hash_column() -> F.Column:
@@ -244,10 +267,10 @@ def phrase_counts(documents: DataFrame, text_column: str = "text", lang_column:
     for size in range(1, LONGEST + 1):
         entries = stage(merged(texts, size, known), f"stripes-{size}")
         if size == 1:
-            totals = entries.where("word IS NULL").select("lang", F.col("f").alias("n"))
+            totals = entries.where("word = ''").select("lang", F.col("f").alias("n"))
             words = totals.agg(F.sum("n")).first()[0] or 0
         phrase = F.col("word") if size == 1 else F.concat_ws(" ", "prefix", "word")
-        frequent = entries.where("word IS NOT NULL").select("lang", phrase.alias("phrase"), F.lit(size).alias("size"), "f")
+        frequent = entries.where("word <> ''").select("lang", phrase.alias("phrase"), F.lit(size).alias("size"), "f")
         found.append(frequent)
         known = known_of(frequent, words) if size < LONGEST else None
         if known is None:
@@ -287,7 +310,7 @@ def collocations(documents: DataFrame, text_column: str = "text", lang_column: s
     scored = stage(best.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score"), "collocations")
     # A language's candidates are ranked in blocks, and the first of each block against each other.
     order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
-    blocks = max(1, -(-scored.count() // RANK_BLOCK))
+    blocks = max(RANK_BLOCKS, -(-scored.count() // RANK_BLOCK))
     dealt = scored.withColumn("block", F.pmod(F.xxhash64("phrase"), F.lit(blocks)))
     first = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "block").orderBy(*order))).where(F.col("rank") <= top)
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
