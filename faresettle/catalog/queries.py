@@ -24,8 +24,9 @@ from faresettle.functions.windows import (
     window_key_column,
 )
 from faresettle.operators import details, export, facts, parameters, quality, roster, tables
+from faresettle.operators.landing import LandedDetails
 from faresettle.operators.setops import union_all
-from faresettle.plans import jobs, models, settlement
+from faresettle.plans import backfill, jobs, models, settlement
 from faresettle.plans.contract import MEASURES, MONEY, REPORT_COLUMNS, REPORT_SCHEMA
 from faresettle.session import Staging, scratch_path
 from faresettle.sources import files, payloads
@@ -65,12 +66,12 @@ def _report(
     return settlement.settlement_report(sources, window, dom_int_stand_in(spark, sf_dir), **options)
 
 
-def scratch_table(spark: SparkSession, schema: StructType | None = None) -> str:
+def scratch_table(spark: SparkSession, schema: StructType | None = None, partition_by: tuple[str, ...] = (tables.PARTITION_COLUMN,)) -> str:
     """A new managed table of report rows in the shared folder. It stays there,
     since a query hands back a frame that still has to read it."""
     table = f"{Staging(spark).database}.sales"
     if schema is not None:
-        tables.create_table(spark, table, schema)
+        tables.create_table(spark, table, schema, partition_by)
     return table
 
 
@@ -98,6 +99,37 @@ def settlement_report_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_report(spark, sf_dir, MONTH_WINDOW, staging=Staging(spark)))
 
 
+def landed_sources(spark: SparkSession, sf_dir: str, buckets: int = 8) -> settlement.LandedSources:
+    """The sources with their detail sums landed in two batches, the first of them twice, as by a rerun."""
+    sources, database = settlement_sources(spark, sf_dir), Staging(spark).database
+    landed = []
+    for parent, vat, tax in (("payt_sqnu", sources.payt_vatc, sources.payt_txca), ("rmbt_id", sources.rmbt_vatc, sources.rmbt_txca)):
+        both = LandedDetails(spark, f"{database}.{parent}_vat", f"{database}.{parent}_tax", parent, buckets)
+        for batch, small in (("small", True), ("small", True), ("large", False)):
+            lines = details.Details(vat.filter((F.col("vatc") < 20) == small), tax.filter((F.coalesce("tmfa", F.lit(0)) < 20) == small), parent)
+            both.land(lines, batch)
+        landed.append(both)
+    return settlement.LandedSources(*sources.__dict__.values(), *landed)
+
+
+@query
+def settlement_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month's report from detail sums landed in buckets."""
+    sources, rule = landed_sources(spark, sf_dir), dom_int_stand_in(spark, sf_dir)
+    return _plain(settlement.settlement_report(sources, MONTH_WINDOW, rule, staging=Staging(spark)))
+
+
+@query
+def settlement_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports of each month before and each week before a day with orders, from one job."""
+    days = _as_of(spark, sf_dir).select("as_of").distinct()
+    spans = [previous_month_columns(F.col("as_of")), wed_tue_week_columns(F.col("as_of"))]
+    windows = union_all([days.select(start.alias("window_start"), end.alias("window_end")) for start, end in spans])
+    sources, rule = settlement_sources(spark, sf_dir), dom_int_stand_in(spark, sf_dir)
+    reports = backfill.settlement_backfill(sources, windows, rule, Staging(spark))
+    return _doubles(reports.select("window_key", *REPORT_COLUMNS), *MEASURES)
+
+
 @query
 def settlement_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = settlement_sources(spark, sf_dir)
@@ -407,6 +439,71 @@ def window_replace_external(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(spark.read.schema(REPORT_SCHEMA).parquet(path))
 
 
+ROW_LAYOUTS = {"plain": (), "by_source": ("Source",)}
+
+
+def _layouts(spark: SparkSession, by_layout: dict[str, str]) -> DataFrame:
+    return union_all([_plain(spark.table(table)).withColumn("layout", F.lit(name)) for name, table in by_layout.items()])
+
+
+@query
+def delete_range_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables without partitions and with others than days: the month's rows go, file by file."""
+    by_layout = {name: scratch_table(spark, REPORT_SCHEMA, columns) for name, columns in ROW_LAYOUTS.items()}
+    report = Staging(spark).write(_report(spark, sf_dir), "report")
+    for table in by_layout.values():
+        tables.append(report, table)
+    tables.delete_range(spark, list(by_layout.values()), MONTH_WINDOW)
+    return _layouts(spark, by_layout)
+
+
+@query
+def window_replace_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stale amounts in tables without partitions and with others than days, replaced by the right ones."""
+    by_layout = {name: scratch_table(spark, REPORT_SCHEMA, columns) for name, columns in ROW_LAYOUTS.items()}
+    report = Staging(spark).write(_report(spark, sf_dir), "report")
+    inside = MONTH_WINDOW.contains_text(F.col("TrxDate"))
+    stale = F.when(inside, F.col("Fare") + 1).otherwise(F.col("Fare"))
+    for table in by_layout.values():
+        tables.append(report.withColumn("Fare", stale), table)
+        tables.window_replace(report.filter(inside), table, MONTH_WINDOW)
+    return _layouts(spark, by_layout)
+
+
+@query
+def window_replace_switched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two windows published by switching folders: stale amounts first, then the right ones for the month's first half."""
+    table = scratch_table(spark, REPORT_SCHEMA)
+    report = Staging(spark).write(_report(spark, sf_dir), "report")
+    inside = MONTH_WINDOW.contains_text(F.col("TrxDate"))
+    tables.append(report, table)
+    tables.window_replace(report.filter(inside).withColumn("Fare", F.col("Fare") + 1), table, MONTH_WINDOW, publish=tables.SWITCH)
+    first_half = inside & (F.col("TrxDate") <= MONTH[0][:8] + "15")
+    tables.window_replace(report.filter(first_half), table, MONTH_WINDOW, publish=tables.SWITCH)
+    return _plain(spark.table(table))
+
+
+@query
+def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of the month before a table of its other days: the good one loads, the bad one is refused with what it failed."""
+    report = Staging(spark).write(_report(spark, sf_dir), "report")
+    inside = MONTH_WINDOW.contains_text(F.col("TrxDate"))
+    good, sale = report.filter(inside), F.col("Type") == "Sale"
+    bad = good.withColumn("Net", F.when(sale, F.col("Net") + 1).otherwise(F.col("Net")))
+    bad = bad.withColumn("Type", F.when(sale | (F.col("FOP") != "1-URGENT"), F.col("Type")))
+    frames = []
+    for name, batch in (("good", good), ("bad", bad)):
+        table, found = scratch_table(spark, REPORT_SCHEMA), {}
+        tables.append(report.filter(~inside), table)
+        try:
+            tables.window_replace(batch, table, MONTH_WINDOW, gate=quality.report_gate())
+        except quality.DataTestFailed as failed:
+            found = failed.found
+        frames.append(spark.table(table).agg(F.count(F.lit(1)).alias("n")).selectExpr(f"'{name}' AS batch", "'loaded' AS test", "n"))
+        frames += [spark.sql(f"SELECT '{name}' AS batch, '{test}' AS test, {n}L AS n") for test, n in found.items()]
+    return union_all(frames)
+
+
 def _per_day(spark: SparkSession, final: str, recent: str) -> DataFrame:
     frames = [
         spark.table(table)
@@ -490,6 +587,16 @@ def model_second(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _second(spark, sf_dir)
 
 
+@query
+def model_second_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second model as a view of the catalog, read from another session."""
+    first = scratch_table(spark)
+    models.materialize(models.first_model(_ids(spark, sf_dir)), first, "table")
+    second = models.SqlModel(f"{first}_second", "SELECT id FROM {first} WHERE id = 2", {"first": first})
+    models.keep_models(spark, [second])
+    return spark.newSession().table(second.name)
+
+
 @query
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.not_unique(_ids(spark, sf_dir), "id")
@@ -557,6 +664,41 @@ def src_json_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _roster_facts(payloads.read_rosters(_payloads(spark, sf_dir)))
 
 
+def _drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads whose form differs from customer to customer: unknown fields, missing ones, others of another type."""
+    person = "named_struct('craft', c_mktsegment, 'name', c_name)"
+    forms = [
+        f"to_json(named_struct('number', 1, 'people', array(named_struct('craft', c_mktsegment, 'name', c_name, 'seat', c_nationkey)),"
+        " 'station', named_struct('id', c_custkey)))",
+        f"to_json(named_struct('number', 1, 'people', array({person})))",
+        f"to_json(named_struct('number', '1', 'people', array({person})))",
+        f"to_json(named_struct('people', array({person})))",
+        f"to_json(named_struct('number', 1, 'people', {person}))",
+        "to_json(named_struct('number', 1, 'people', array(named_struct('craft', c_mktsegment))))",
+        f"left(to_json(named_struct('number', 1, 'people', array({person}))), 20)",
+        "CAST(NULL AS STRING)",
+    ]
+    cases = " ".join(f"WHEN {k} THEN {form}" for k, form in enumerate(forms))
+    return driver_table(spark, sf_dir, "customer").selectExpr("c_custkey", f"CASE c_custkey % {len(forms)} {cases} END AS payload")
+
+
+@query
+def src_json_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drifting payloads: unknown fields survive, unusable payloads come back from the quarantine with the reason."""
+    good, bad = payloads.split_rosters(_drifted(spark, sf_dir))
+    path = scratch_path(spark, "rosters-bad")
+    payloads.quarantine_rosters(bad, path)
+    usable = good.selectExpr(
+        "c_custkey", "'ok' AS outcome", "CAST(number AS DOUBLE) AS number", "people[0].name AS name",
+        "element_at(extra, 'station') AS station", "element_at(people[0].extra, 'seat') AS seat",
+    )
+    unusable = spark.read.parquet(path).selectExpr(
+        "c_custkey", "reason AS outcome", "CAST(NULL AS DOUBLE) AS number", "CAST(NULL AS STRING) AS name",
+        "CAST(NULL AS STRING) AS station", "CAST(NULL AS STRING) AS seat",
+    )
+    return union_all([usable, unusable])
+
+
 @query
 def roster_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roster.explode_people(payloads.read_rosters(_payloads(spark, sf_dir, usable=True), fallback=False), "c_custkey")

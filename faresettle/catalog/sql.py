@@ -102,8 +102,8 @@ shown AS (
   SELECT "Type", "Source", "RptPeriod", "TrxDate", "DomInt", "FOP", "CCY", "COA", {doubles} FROM report)"""
 
 
-def _report_query(select: str, **options) -> str:
-    return f"WITH {report(**options)}\n{select}"
+def _report_query(select: str, with_more: str = "", **options) -> str:
+    return f"WITH {report(**options)}{',' if with_more else ''} {with_more}\n{select}"
 
 
 def _orders_dates(select: str) -> str:
@@ -155,12 +155,22 @@ def check_sql() -> dict[str, str]:
     promoted = _report_query(
         f"""SELECT 'final' AS "table", "TrxDate", {per_day} FROM report WHERE {in_month} GROUP BY ALL
         UNION ALL SELECT 'recent', "TrxDate", {per_day} FROM report WHERE NOT {in_month} GROUP BY ALL""")
+    windows = f"""days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+        windows AS (SELECT DISTINCT strftime(s, '%Y%m%d') || '_' || strftime(e, '%Y%m%d') AS window_key, s, e FROM (
+        SELECT {_MONTH_START} AS s, {_MONTH_END} AS e FROM days UNION ALL
+        SELECT d - CAST(((isodow(d) + 4) % 7 + 7) AS INTEGER), d - CAST(((isodow(d) + 4) % 7 + 1) AS INTEGER) FROM days))"""
+    layouts = "(VALUES ('plain'), ('by_source')) AS layouts(layout)"
+    first_half = f"(NOT ({in_month}) OR \"TrxDate\" <= '{start[:8]}15')"
     return {
         "settlement_report": whole,
         "settlement_report_credit": _report_query("SELECT * FROM shown", credit_only=True),
         "settlement_report_month": _report_query("SELECT * FROM shown", window=MONTH),
         "settlement_report_staged": _report_query("SELECT * FROM shown", window=MONTH),
         "weekly_report": _report_query("SELECT * FROM shown", window=WEEK),
+        "settlement_landed": _report_query("SELECT * FROM shown", window=MONTH),
+        "settlement_backfill": _report_query(
+            "SELECT window_key, shown.* FROM shown JOIN windows ON \"TrxDate\" BETWEEN strftime(s, '%Y-%m-%d') AND strftime(e, '%Y-%m-%d')",
+            with_more=windows),
         "settlement_sale": _report_query("SELECT * FROM shown", kind="Sale", distinct=False),
         "settlement_refund": _report_query("SELECT * FROM shown", kind="Refund", distinct=False),
         "settlement_by_domint": _report_query(
@@ -216,6 +226,14 @@ def check_sql() -> dict[str, str]:
         "stream_recent_drops": whole,
         "delete_range": _report_query(f"SELECT * FROM shown WHERE NOT {in_month}"),
         "window_replace": whole,
+        "delete_range_rows": _report_query(f"SELECT shown.*, layout FROM shown, {layouts} WHERE NOT {in_month}"),
+        "window_replace_rows": _report_query(f"SELECT shown.*, layout FROM shown, {layouts}"),
+        "window_replace_switched": _report_query(f"SELECT * FROM shown WHERE {first_half}"),
+        "dq_gate": _report_query(
+            f"""SELECT 'good' AS batch, 'loaded' AS test, COUNT(*) AS n FROM shown
+            UNION ALL SELECT 'bad', 'loaded', COUNT(*) FROM shown WHERE NOT {in_month}
+            UNION ALL SELECT 'bad', 'Net', COUNT(*) FROM shown WHERE {in_month} AND "Type" = 'Sale'
+            UNION ALL SELECT 'bad', 'not_null Type', COUNT(*) FROM shown WHERE {in_month} AND "Type" = 'Refund' AND "FOP" = '1-URGENT' HAVING COUNT(*) > 0"""),
         "window_replace_external": _report_query(f"SELECT * FROM shown WHERE NOT ({in_month}) OR \"TrxDate\" <= '{start[:8]}15'"),
         "promote_final": promoted,
         "monthly_settlement": promoted,
@@ -229,6 +247,10 @@ def check_sql() -> dict[str, str]:
         "src_json_fallback": f"""WITH {_ROSTER} SELECT c_custkey, CAST(CASE WHEN usable THEN 1 ELSE {DEFAULT_NUMBER} END AS DOUBLE) AS number,
             CAST(CASE WHEN usable THEN 1 + CAST(with_guest AS INTEGER) ELSE {len(DEFAULT_PEOPLE)} END AS DOUBLE) AS listed,
             CASE WHEN usable THEN name ELSE '{DEFAULT_PEOPLE[0][1]}' END AS first_name FROM roster""",
+        "src_json_variant": """SELECT c_custkey, ['ok', 'ok', 'number is not whole', 'no number', 'people is not a list', 'person without name or craft',
+            'not json', 'not json'][c_custkey % 8 + 1] AS outcome, CASE WHEN c_custkey % 8 < 2 THEN CAST(1 AS DOUBLE) END AS number,
+            CASE WHEN c_custkey % 8 < 2 THEN c_name END AS name, CASE WHEN c_custkey % 8 = 0 THEN '{"id":' || c_custkey || '}' END AS station,
+            CASE WHEN c_custkey % 8 = 0 THEN CAST(c_nationkey AS VARCHAR) END AS seat FROM customer""",
         "roster_explode": """SELECT c_custkey, c_mktsegment AS craft, c_name AS name FROM customer
             UNION ALL SELECT c_custkey, 'NATION_' || c_nationkey, 'Guest' FROM customer WHERE c_acctbal > 5000""",
         "roster_lines": f"""WITH {_ROSTER}, {_DEFAULTS}, {_ALL_PEOPLE}
@@ -238,6 +260,7 @@ def check_sql() -> dict[str, str]:
         "model_first_not_null": """SELECT id % 5 AS id FROM (SELECT o_orderkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer)
             WHERE id % 5 <> 0""",
         "model_second": "SELECT id FROM (SELECT o_orderkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer) WHERE id = 2",
+        "model_second_view": "SELECT id FROM (SELECT o_orderkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer) WHERE id = 2",
         "dq_unique": """SELECT id, COUNT(*) AS n FROM (SELECT o_orderkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer)
             GROUP BY id HAVING COUNT(*) > 1""",
         "dq_not_null": f"WITH {bindings()} SELECT key AS sqnu FROM payt WHERE suppl IS NULL",

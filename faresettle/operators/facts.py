@@ -31,9 +31,13 @@ def payments_in_window(payt: DataFrame, emis: DataFrame, window: DateWindow) ->
     A payment has no date of its own, so this is what shrinks the payment table
     before its rows meet anything else.
     """
-    issued = issued_in_window(emis, window)
+    return payments_of(payt, issued_in_window(emis, window))
+
+
+def payments_of(payt: DataFrame, issued: DataFrame) -> DataFrame:
+    """Payments whose ticket is among the issued ones, each once."""
     columns = ["sqnu", "tdnr", "peri", "fptp", "cuop", *header_columns("sale")]
-    return payt.select(*columns).join(issued, "tdnr", "left_semi")
+    return payt.select(*columns).join(issued.select("tdnr"), "tdnr", "left_semi")
 
 
 def refunds_in_window(rmbt: DataFrame, window: DateWindow) -> DataFrame:

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from faresettle.operators.setops import union_all
 from faresettle.plans.contract import IDENTITIES
 from faresettle.plans.settlement import signed_sum
+from faresettle.session import Staging
 
 
 class DataTestFailed(AssertionError):
-    pass
+    """``found`` holds the failing rows per test, where these were counted."""
+
+    def __init__(self, message: str, found: dict[str, int] | None = None) -> None:
+        super().__init__(message)
+        self.found = found or {}
 
 
 def not_unique(df: DataFrame, column: str) -> DataFrame:
@@ -28,6 +35,47 @@ def require(failing: DataFrame, test: str) -> None:
         raise DataTestFailed(test)
 
 
+@dataclass(frozen=True)
+class Gate:
+    """Data tests that a batch has to pass before a table takes it.
+
+    ``failing`` holds row tests by name, each a condition that a bad row meets. They are counted while the batch is
+    staged, in the job that writes it. ``unique`` names columns whose values may come once; that needs rows of equal values
+    to meet, so it reads these columns of the staged files, and nothing else.
+    """
+
+    failing: dict[str, Column]
+    unique: tuple[str, ...] = ()
+
+    def staged(self, batch: DataFrame, staging: Staging, name: str) -> DataFrame:
+        """The batch as staged; raises ``DataTestFailed``, with the number of bad rows, if a test found any."""
+        staged, found = self.counted(batch, staging, name)
+        bad = {test: n for test, n in found.items() if n and test != ROWS}
+        if bad:
+            raise DataTestFailed(", ".join(f"{test}: {n}" for test, n in bad.items()) + f" of {found[ROWS]} rows", bad)
+        return staged
+
+    def counted(self, batch: DataFrame, staging: Staging, name: str) -> tuple[DataFrame, dict[str, int]]:
+        """The batch as staged, and per test the rows, or values, that fail; under ``rows`` the number of rows."""
+        seen = Observation(f"faresettle_{name}")
+        tests = [F.count(F.when(condition, 1)).alias(test) for test, condition in self.failing.items()]
+        staged = staging.write(batch.observe(seen, F.count(F.lit(1)).alias(ROWS), *tests), name)
+        found = dict(seen.get)
+        for column in self.unique:
+            found[f"unique {column}"] = not_unique(staged.select(column), column).count()
+        return staged, found
+
+
+# The name under which a gate counts all rows.
+ROWS = "rows"
+
+
+def report_gate(unique: tuple[str, ...] = ()) -> Gate:
+    """The tests of report rows: type and day are there, and derived measures follow from the base sums."""
+    tests = {"not_null Type": F.col("Type").isNull(), "not_null TrxDate": F.col("TrxDate").isNull()}
+    return Gate(tests | {name: F.expr(f"{name} <> {signed_sum(terms)}") for name, terms in IDENTITIES.items()}, unique)
+
+
 def broken_identities(report: DataFrame) -> DataFrame:
     """Report rows whose derived measures do not follow from the base sums."""
     return report.filter(" OR ".join(f"{name} <> {signed_sum(terms)}" for name, terms in IDENTITIES.items()))

@@ -13,15 +13,18 @@ from faresettle.operators.details import Details
 from faresettle.operators.facts import (
     issues_by_ticket,
     payments_in_window,
+    payments_of,
     refund_fact,
     refunds_in_window,
     sale_fact,
 )
+from faresettle.operators.landing import LandedDetails
 from faresettle.operators.parameters import attach_parameters
 from faresettle.operators.setops import union_all
 from faresettle.plans.contract import AMOUNTS, IDENTITIES, KEYS, MONEY_SUM, REPORT_COLUMNS
 from faresettle.session import Staging, runtime_filter_for
 
+
 @dataclass(frozen=True)
 class SettlementSources:
     payt: DataFrame
@@ -33,25 +36,45 @@ class SettlementSources:
     rmbt_vatc: DataFrame
     rmbt_txca: DataFrame
 
+    def payment_details(self) -> Details | LandedDetails:
+        return Details(self.payt_vatc, self.payt_txca, "payt_sqnu").lines()
+
+    def refund_details(self) -> Details | LandedDetails:
+        return Details(self.rmbt_vatc, self.rmbt_txca, "rmbt_id").lines()
+
+
+@dataclass(frozen=True)
+class LandedSources(SettlementSources):
+    """Sources whose detail sums have been landed in buckets; these are read in place of the detail tables."""
+
+    payt_landed: LandedDetails
+    rmbt_landed: LandedDetails
+
+    def payment_details(self) -> LandedDetails:
+        return self.payt_landed
+
+    def refund_details(self) -> LandedDetails:
+        return self.rmbt_landed
+
 
 def sales(sources: SettlementSources, window: DateWindow, staging: Staging | None = None) -> DataFrame:
-    payments = payments_in_window(sources.payt, sources.emis, window)
-    details = Details(sources.payt_vatc, sources.payt_txca, "payt_sqnu").lines()
+    """With ``staging``, the window's issues are written once, and cut the payments as well as join them."""
+    details = sources.payment_details()
     issues = issues_by_ticket(sources.emis, window)
     if not staging:
-        return sale_fact(details.add_to(payments, "sqnu"), issues)
-    issues = staging.write(issues, "issues")
+        return sale_fact(details.add_to(payments_in_window(sources.payt, sources.emis, window), "sqnu"), issues)
+    issues = staging.write(keyed(issues, window), "issues")
     with runtime_filter_for(staging.spark, issues.count()):
-        payments = staging.write(keyed(payments, window), "payments")
-    return sale_fact(staged_details(payments, details, window, staging, "payments"), issues)
+        payments = staged_headers(payments_of(sources.payt, of_window(issues, window)), details, window, staging, "payments")
+    return sale_fact(staged_details(payments, details, window, staging, "payments"), of_window(issues, window))
 
 
 def refunds(sources: SettlementSources, window: DateWindow, staging: Staging | None = None) -> DataFrame:
     headers = refunds_in_window(sources.rmbt, window)
-    details = Details(sources.rmbt_vatc, sources.rmbt_txca, "rmbt_id").lines()
+    details = sources.refund_details()
     if not staging:
         return refund_fact(details.add_to(headers, "sqnu"))
-    headers = staging.write(keyed(headers, window), "refunds")
+    headers = staged_headers(headers, details, window, staging, "refunds")
     return refund_fact(staged_details(headers, details, window, staging, "refunds"))
 
 
@@ -59,21 +82,40 @@ def keyed(headers: DataFrame, window: DateWindow) -> DataFrame:
     return headers.withColumn("window_key", F.lit(window.key))
 
 
-def staged_details(headers: DataFrame, details: Details, window: DateWindow, staging: Staging, name: str) -> DataFrame:
+def of_window(headers: DataFrame, window: DateWindow) -> DataFrame:
+    """Staged rows are read back by their window key: a predicate on that side is what lets Spark
+    make a runtime filter of it."""
+    return headers.filter(F.col("window_key") == window.key).drop("window_key")
+
+
+def staged_headers(headers: DataFrame, details: Details | LandedDetails, window: DateWindow, staging: Staging, name: str) -> DataFrame:
+    """Headers as staged; in the buckets of landed details, if there are such."""
+    buckets = (details.buckets, "sqnu") if isinstance(details, LandedDetails) else None
+    return staging.write(keyed(headers, window), name, buckets)
+
+
+def staged_details(
+    headers: DataFrame, details: Details | LandedDetails, window: DateWindow, staging: Staging, name: str
+) -> DataFrame:
     """Staged headers with their detail sums, staged too.
 
-    The number of headers is known now, so the runtime filter that drops other parents' lines
-    while they are scanned has the right size, whatever the number.
+    Landed sums are joined bucket by bucket. For plain detail tables the number of headers is known now, so the runtime
+    filter that drops other parents' lines while they are scanned has the right size.
     """
+    if isinstance(details, LandedDetails):
+        return staging.write(with_details(headers, details, window), f"{name}_with_details")
     with runtime_filter_for(staging.spark, headers.count()):
         return staging.write(with_details(headers, details, window), f"{name}_with_details")
 
 
-def with_details(headers: DataFrame, details: Details, window: DateWindow) -> DataFrame:
-    """Headers are read back by their window key: a predicate on that side is what lets Spark
-    make a runtime filter of it."""
-    mine = headers.filter(F.col("window_key") == window.key).drop("window_key")
-    return details.add_to(mine, "sqnu")
+def with_details(headers: DataFrame, details: Details | LandedDetails, window: DateWindow) -> DataFrame:
+    return details.add_to(of_window(headers, window), "sqnu")
+
+
+def window_tickets(staging: Staging) -> DataFrame:
+    """Tickets of the staged issues and refunds: all that a label can be asked for."""
+    issued, refunded = staging.read("issues").selectExpr("tdnr AS ticket"), staging.read("refunds").selectExpr("utnr AS ticket")
+    return union_all([issued, refunded])
 
 
 def settle(facts: list[DataFrame], para: DataFrame, dom_int: DomIntRule) -> DataFrame:
@@ -115,10 +157,12 @@ def settlement_report(
 
     With ``distinct``, groups that look the same collapse into one row, as under
     a SQL UNION; ``collapsed_groups`` shows what that loses.
-    With ``staging``, the window's payments and refunds are written there first,
-    so that the detail tables are reduced to the window while they are scanned.
+    With ``staging``, the window's issues, payments and refunds are written there first, so that the detail
+    tables and the label's lookup are reduced to the window while they are scanned, and each source is read once.
     """
     facts = [sales(sources, window, staging), refunds(sources, window, staging)]
+    if staging:
+        dom_int = dom_int.reduced_to(window_tickets(staging), staging)
     return shown(settle(facts, sources.para, dom_int), distinct, date_as_text)
 
 

@@ -23,8 +23,9 @@ SETTINGS = {
 
 # A runtime filter passes about one foreign key in a hundred at this many bits a key.
 FILTER_BITS_PER_KEY = 10
-# 256 MB: beyond 200 million keys the filter passes more, the result stays the same.
-MAX_FILTER_BITS = 2**31 - 1
+# 8 MB, as every task makes a filter of full size and one merges them. Beyond 6.7 million keys the filter passes more, the
+# result stays the same; details landed in buckets need no filter.
+MAX_FILTER_BITS = 2**26
 _FILTER = "spark.sql.optimizer.runtime.bloomFilter"
 
 
@@ -132,11 +133,19 @@ class Staging:
         spark.sql(f"CREATE DATABASE {self.database} LOCATION '{shared_folder(spark)}/{self.database}'")
         _DATABASES.setdefault(spark.sparkContext.applicationId, []).append(self.database)
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, buckets: tuple[int, str] | None = None) -> DataFrame:
+        """Stage ``df`` as a table; with ``buckets``, a number and a column, in buckets of that column, each written by one task."""
         table = f"{self.database}.{name}"
-        df.write.saveAsTable(table)
+        if buckets is None:
+            df.write.saveAsTable(table)
+        else:
+            number, key = buckets
+            df.repartition(number, key).write.bucketBy(number, key).sortBy(key).saveAsTable(table)
         return self.spark.table(table)
 
+    def read(self, name: str) -> DataFrame:
+        return self.spark.table(f"{self.database}.{name}")
+
     def drop(self) -> None:
         self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
 

@@ -1,0 +1,159 @@
+"""Windows published by switching partition folders."""
+
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from faresettle.catalog.queries import scratch_table
+from faresettle.operators import quality, rows, tables
+from faresettle.plans.contract import REPORT_SCHEMA
+from faresettle.session import scratch_path
+from tests.test_tables import AUGUST, OUTSIDE, content, rows_of
+
+DAYS = ("2025-07-31", "2025-08-01", "2025-08-15", "2025-08-31", "2025-09-01", None)
+
+
+@pytest.fixture(params=["managed", "external"])
+def loaded(spark, request):
+    if request.param == "managed":
+        name = scratch_table(spark, REPORT_SCHEMA)
+        tables.append(rows_of(spark, *DAYS), name)
+        return name
+    name, path = scratch_table(spark), scratch_path(spark, "external")
+    rows_of(spark, *DAYS).write.partitionBy("TrxDate").option("path", path).saveAsTable(name)
+    return name
+
+
+BATCH = ("2025-08-15", "2025-08-20")
+AFTER = OUTSIDE + Counter({(d, 5): 1 for d in BATCH})
+
+
+def test_window_equals_batch_and_old_folders_go(spark, loaded):
+    for _ in range(3):
+        tables.window_replace(rows_of(spark, *BATCH, amount=5), loaded, AUGUST, publish=tables.SWITCH)
+        assert content(spark, loaded) == AFTER
+        root = Path(rows._location(spark, loaded).removeprefix("file:"))
+        files = [p for p in root.rglob("*.parquet")]
+        assert len(files) == 5
+    assert {s["TrxDate"] for s in tables.partitions_in(spark, loaded, AUGUST)} == set(BATCH)
+
+
+def test_another_session_reads_the_new_window(spark, loaded):
+    other = spark.newSession()
+    assert sum(content(other, loaded).values()) == 6
+    tables.window_replace(rows_of(spark, *BATCH, amount=5), loaded, AUGUST, publish=tables.SWITCH)
+    other.catalog.refreshTable(loaded)
+    assert content(other, loaded) == AFTER
+
+
+def test_crash_between_write_and_switch_leaves_the_old_window(spark, loaded, monkeypatch):
+    before = content(spark, loaded)
+
+    def crash(*args):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "switch_partitions", crash)
+        with pytest.raises(RuntimeError, match="killed"):
+            tables.window_replace(rows_of(spark, *BATCH, amount=5), loaded, AUGUST, publish=tables.SWITCH)
+    spark.catalog.refreshTable(loaded)
+    assert content(spark, loaded) == before
+    tables.window_replace(rows_of(spark, *BATCH, amount=5), loaded, AUGUST, publish=tables.SWITCH)
+    assert content(spark, loaded) == AFTER
+
+
+def test_crash_while_switching_shows_whole_days_and_a_rerun_converges(spark, loaded, monkeypatch):
+    real = type(spark).sql
+
+    def until_added(self, text, *args, **options):
+        if "ADD IF NOT EXISTS" in text:
+            raise RuntimeError("killed")
+        return real(self, text, *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", until_added)
+        with pytest.raises(RuntimeError, match="killed"):
+            tables.window_replace(rows_of(spark, *BATCH, amount=5), loaded, AUGUST, publish=tables.SWITCH)
+    spark.catalog.refreshTable(loaded)
+    assert content(spark, loaded) == OUTSIDE + Counter({("2025-08-01", 1): 1, ("2025-08-15", 5): 1, ("2025-08-31", 1): 1})
+    tables.window_replace(rows_of(spark, *BATCH, amount=5), loaded, AUGUST, publish=tables.SWITCH)
+    assert content(spark, loaded) == AFTER
+
+
+def test_other_operations_follow_switched_folders(spark, loaded):
+    tables.window_replace(rows_of(spark, *BATCH, amount=5), loaded, AUGUST, publish=tables.SWITCH)
+    tables.append(rows_of(spark, "2025-08-20", amount=6), loaded)
+    assert content(spark, loaded) == AFTER + Counter({("2025-08-20", 6): 1})
+    tables.window_replace(rows_of(spark, "2025-08-20", amount=7), loaded, AUGUST)
+    assert content(spark, loaded) == OUTSIDE + Counter({("2025-08-20", 7): 1})
+    tables.delete_range(spark, [loaded], AUGUST)
+    assert content(spark, loaded) == OUTSIDE
+
+
+def test_promotion_by_switch(spark, loaded):
+    final = scratch_table(spark, REPORT_SCHEMA)
+    tables.promote_final(rows_of(spark, "2025-08-15", amount=7), final, loaded, AUGUST, publish=tables.SWITCH)
+    assert content(spark, final) == {("2025-08-15", 7): 1}
+    assert content(spark, loaded) == OUTSIDE
+
+
+def test_empty_batch_and_wrong_layouts(spark, loaded):
+    tables.window_replace(rows_of(spark, "2025-08-01").limit(0), loaded, AUGUST, publish=tables.SWITCH)
+    assert content(spark, loaded) == OUTSIDE
+    plain = scratch_table(spark, REPORT_SCHEMA, ())
+    with pytest.raises(ValueError, match="switch"):
+        tables.window_replace(rows_of(spark, "2025-08-01"), plain, AUGUST, publish=tables.SWITCH)
+    with pytest.raises(ValueError, match="move"):
+        tables.window_replace(rows_of(spark, "2025-08-01"), loaded, AUGUST, publish="move")
+
+
+# Batches before a gate.
+
+
+def batch_of(spark, *days):
+    """Rows that pass: every measure is zero."""
+    return rows_of(spark, *days, amount=0)
+
+
+@pytest.mark.parametrize("publish", [tables.OVERWRITE, tables.SWITCH])
+def test_gate_refuses_before_the_table_changes(spark, loaded, publish):
+    before = content(spark, loaded)
+    bad = batch_of(spark, "2025-08-01", "2025-08-02").withColumn("Net", F.when(F.col("TrxDate") == "2025-08-02", 1).otherwise(0))
+    with pytest.raises(quality.DataTestFailed, match="Net: 1 of 2 rows") as failed:
+        tables.window_replace(bad, loaded, AUGUST, gate=quality.report_gate(), publish=publish)
+    assert failed.value.found == {"Net": 1}
+    assert content(spark, loaded) == before
+    tables.window_replace(batch_of(spark, "2025-08-01"), loaded, AUGUST, gate=quality.report_gate(), publish=publish)
+    assert content(spark, loaded) == OUTSIDE + Counter({("2025-08-01", 0): 1})
+
+
+def test_gate_tests_uniqueness_and_nulls(spark, loaded):
+    before = content(spark, loaded)
+    twice = batch_of(spark, "2025-08-01", "2025-08-01").withColumn("Type", F.lit("Sale"))
+    with pytest.raises(quality.DataTestFailed, match="unique TrxDate: 1"):
+        tables.window_replace(twice, loaded, AUGUST, gate=quality.report_gate(unique=("TrxDate",)))
+    with pytest.raises(quality.DataTestFailed, match="not_null Type: 2"):
+        tables.window_replace(twice.withColumn("Type", F.lit(None).cast("string")), loaded, AUGUST, gate=quality.report_gate())
+    assert content(spark, loaded) == before
+
+
+def test_gate_counts_in_the_job_that_stages(spark):
+    """The batch's source is read by one job, whatever the number of tests."""
+    from faresettle.session import Staging
+
+    reads = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    source = batch_of(spark, "2025-08-01", "2025-08-02").coalesce(1)
+    counted = source.mapInArrow(read, source.schema)
+    with Staging(spark) as staging:
+        staged, found = quality.report_gate(unique=("TrxDate",)).counted(counted, staging, "batch")
+        assert staged.count() == 2
+    assert found.pop("rows") == 2 and set(found.values()) == {0} and len(found) == 11
+    assert reads.value == 2
