@@ -1,0 +1,119 @@
+"""Models as views of the catalog, and payloads that drift."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from faresettle.catalog.queries import scratch_table
+from faresettle.plans import models
+from faresettle.session import scratch_path
+from faresettle.sources import payloads
+
+
+@pytest.fixture()
+def first(spark):
+    name = scratch_table(spark)
+    models.materialize(spark.range(1, 4).toDF("id"), name, "table")
+    return name
+
+
+def second(first):
+    return models.SqlModel(f"{first}_second", "SELECT id FROM {first} WHERE id >= 2", {"first": first})
+
+
+def test_view_outlives_its_frame_and_session(spark, first):
+    frame = models.keep_view(spark, second(first))
+    assert sorted(r.id for r in frame.collect()) == [2, 3]
+    del frame
+    assert sorted(r.id for r in spark.newSession().table(second(first).name).collect()) == [2, 3]
+    assert not spark.catalog.getTable(second(first).name).isTemporary
+
+
+def test_view_reads_what_its_table_holds_now(spark, first):
+    models.keep_view(spark, second(first))
+    spark.sql(f"INSERT INTO {first} VALUES (9)")
+    assert sorted(r.id for r in spark.table(second(first).name).collect()) == [2, 3, 9]
+
+
+def test_view_is_replaced(spark, first):
+    models.keep_view(spark, second(first))
+    models.keep_view(spark, models.SqlModel(second(first).name, "SELECT id + 1 AS more FROM {first}", {"first": first}))
+    assert spark.table(second(first).name).columns == ["more"]
+
+
+def test_refs_are_checked_before_a_view_changes(spark, first):
+    models.keep_view(spark, second(first))
+    name = second(first).name
+    spark.range(3).createOrReplaceTempView("passing")
+    with pytest.raises(ValueError, match="there is no"):
+        models.keep_view(spark, models.SqlModel(name, "SELECT * FROM {x}", {"x": f"{first}_gone"}))
+    with pytest.raises(ValueError, match="temporary"):
+        models.keep_view(spark, models.SqlModel(name, "SELECT * FROM {x}", {"x": "passing"}))
+    assert sorted(r.id for r in spark.table(name).collect()) == [2, 3]
+
+
+def test_models_are_kept_in_the_order_of_their_refs(spark, first):
+    third = models.SqlModel(f"{first}_third", "SELECT max(id) AS most FROM {second}", {"second": second(first).name})
+    kept = models.keep_models(spark, [third, second(first)])
+    assert list(kept) == [second(first).name, third.name]
+    assert kept[third.name].collect() == [(3,)]
+    circle = [models.SqlModel("a", "SELECT * FROM {b}", {"b": "b"}), models.SqlModel("b", "SELECT * FROM {a}", {"a": "a"})]
+    with pytest.raises(ValueError, match="circle"):
+        models.keep_models(spark, circle)
+
+
+def test_broken_models_are_named(spark, first):
+    models.keep_view(spark, second(first))
+    assert models.broken_models(spark, [second(first)]) == []
+    spark.sql(f"DROP TABLE {first}")
+    assert models.broken_models(spark, [second(first)]) == [second(first).name]
+
+
+# Payloads that drift
+
+PERSON = {"craft": "ISS", "name": "A"}
+CASES = [
+    (json.dumps({"number": 1, "people": [{**PERSON, "seat": 3}], "station": {"id": 1}, "on": None}), None),
+    (json.dumps({"number": 0, "people": []}), None),
+    (None, payloads.NOT_JSON),
+    ("", payloads.NOT_JSON),
+    ('{"number": 1, "peo', payloads.NOT_JSON),
+    ('{"number": 1, "number": 2, "people": []}', payloads.NOT_JSON),
+    ("[1]", payloads.NO_OBJECT),
+    ("null", payloads.NO_OBJECT),
+    ("7", payloads.NO_OBJECT),
+    ('{"people": []}', payloads.NO_NUMBER),
+    ('{"number": null, "people": []}', payloads.BAD_NUMBER),
+    ('{"number": "1", "people": []}', payloads.BAD_NUMBER),
+    ('{"number": 1.5, "people": []}', payloads.BAD_NUMBER),
+    ('{"number": 99999999999, "people": []}', payloads.BAD_NUMBER),
+    ('{"number": 1}', payloads.NO_PEOPLE),
+    ('{"number": 1, "people": {"craft": "ISS", "name": "A"}}', payloads.BAD_PEOPLE),
+    ('{"number": 1, "people": null}', payloads.BAD_PEOPLE),
+    ('{"number": 1, "people": ["A"]}', payloads.BAD_PERSON),
+    ('{"number": 1, "people": [{"craft": "ISS"}]}', payloads.BAD_PERSON),
+    ('{"number": 1, "people": [{"craft": "ISS", "name": 7}]}', payloads.BAD_PERSON),
+    ('{"number": 2, "people": [{"craft": "ISS", "name": "A"}, null]}', payloads.BAD_PERSON),
+]
+
+
+def test_drifting_payloads(spark):
+    frame = spark.createDataFrame([(k, text) for k, (text, _) in enumerate(CASES)], "id int, payload string")
+    good, bad = payloads.split_rosters(frame)
+    assert {r.id: r.reason for r in bad.collect()} == {k: reason for k, (_, reason) in enumerate(CASES) if reason}
+    assert {r.id: r.payload for r in bad.collect()} == {k: text for k, (text, reason) in enumerate(CASES) if reason}
+    found = {r.id: r for r in good.collect()}
+    assert set(found) == {0, 1}
+    assert (found[0].number, found[0].people[0].name, found[0].people[0].extra) == (1, "A", {"seat": "3"})
+    assert found[0].extra == {"station": '{"id":1}', "on": "null"}
+    assert (found[1].number, found[1].people, found[1].extra) == (0, [], {})
+
+
+def test_quarantine_is_replaced_and_read_by_reason(spark):
+    frame = spark.createDataFrame([("x", 1), ("[1]", 2)], "payload string, id int")
+    path = scratch_path(spark, "bad")
+    for _ in range(2):
+        payloads.quarantine_rosters(payloads.split_rosters(frame)[1], path)
+        assert {(r.id, r.reason) for r in spark.read.parquet(path).collect()} == {(1, payloads.NOT_JSON), (2, payloads.NO_OBJECT)}
+    assert payloads.split_rosters(frame.limit(0))[0].withColumn("n", F.lit(1)).collect() == []
