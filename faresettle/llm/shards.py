@@ -5,9 +5,9 @@ from __future__ import annotations
 from heapq import heapify, heappop, heappush
 from itertools import count as count_from
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
-from faresettle.llm.staging import checkpointed, stage
+from faresettle.llm.staging import Rounds, checkpointed, stage
 
 SHARDS = 8
 # Propagation ends after so many rounds in a row without fewer cut links.
@@ -44,60 +44,103 @@ def propagate(edges: DataFrame, quotas: list[int]) -> DataFrame:
     neighbours are in (a draw among equals), if more than in its own. Rows change places around rings of shards, and then as many move as
     the target's quota leaves room for; those that gain most go first. So no shard ever exceeds its quota. Ends when no row wants to move, or
     when rounds no longer leave fewer links cut.
+
+    A round is one written table, which holds each row's shard and wish, and one count of it; the next round's shards are an expression over it.
     """
     both = checkpointed(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     nodes = both.select(F.col("a").alias("row")).distinct()
     count = nodes.count()
+    if not count:
+        return nodes.select("row", F.lit(0).alias("shard"))
     held = _even(quotas, count)
-    labels = ranked(nodes, [], ["row"], count, "rank").select("row", _shard_of("rank", held).alias("shard"))
-    labels = checkpointed(labels)
-    least, idle = None, 0
+    labels = checkpointed(ranked(nodes, [], ["row"], count, "rank").select("row", _shard_of("rank", held).alias("shard")))
+    rounds, least, idle = Rounds("propagate"), None, 0
     for turn in count_from(0):
-        votes = (
-            both.join(labels.select(F.col("row").alias("b"), "shard"), "b")
-            .groupBy("a", "shard")
-            .agg(F.count("*").alias("votes"))
-        )
-        best = votes.groupBy(F.col("a").alias("row")).agg(
-            F.max(F.struct("votes", F.xxhash64("a", "shard", F.lit(turn)).alias("draw"), "shard")).alias("best"),
-            F.map_from_entries(F.collect_list(F.struct("shard", "votes"))).alias("all"),  # an entry per shard at most
-            F.sum("votes").alias("degree"),
-        )
-        wishes = (
-            labels.join(best, "row")
-            .select(
-                "row",
-                F.col("shard").alias("source"),
-                F.col("best.shard").alias("target"),
-                (F.col("best.votes") - F.coalesce(F.expr("all[shard]"), F.lit(0))).alias("gain"),
-                (F.col("degree") - F.coalesce(F.expr("all[shard]"), F.lit(0))).alias("lost"),
-                (F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(2)) == 0).alias("may"),
-            )
-            .where("lost > 0")
-        )
-        wishes = checkpointed(wishes)
-        may = F.col("may") & (F.col("gain") > 0)
-        facts = [F.count(F.when(may, 1)).alias("n"), F.count(F.when(F.col("gain") > 0, 1)).alias("wish"), F.sum("lost").alias("lost")]
-        counted = wishes.groupBy("source", "target").agg(*facts).collect()
-        if not any(r["wish"] for r in counted):
+        wishes = rounds.stage(_wishes(both, labels, len(quotas), turn))
+        cells = _cells(wishes, turn)
+        cut = sum(r["lost"] for r in cells)
+        if not any(r["wish"] for r in cells):
             break
-        cut = sum(r["lost"] for r in counted)
         least, idle = (cut, 0) if least is None or cut < least else (least, idle + 1)
         if idle == IDLE_ROUNDS:
             break
-        wishes = wishes.where(may)
-        wanted = {(r["source"], r["target"]): r["n"] for r in counted if r["n"]}
+        wanted: dict[tuple[int, int], int] = {}
+        for r in cells:
+            if r["n"]:
+                wanted[r["source"], r["target"]] = wanted.get((r["source"], r["target"]), 0) + r["n"]
         allowed = _allowed(wanted, [quota - n for quota, n in zip(quotas, held)])
-        if not any(allowed.values()):
-            continue
-        for (source, target), n in allowed.items():
+        taken, moved = _taken(cells, allowed)
+        for (source, target), n in moved.items():
             held[source] -= n
             held[target] += n
-        moves = wishes.select("row", "target") if allowed == wanted else _first(wishes, allowed, sum(wanted.values()))
-        labels = checkpointed(
-            labels.join(moves, "row", "left").select("row", F.coalesce("target", "shard").alias("shard"))
-        )
-    return labels
+        labels = wishes.select("row", _moved(taken, turn).alias("shard"))
+    return wishes.select("row", "shard")
+
+
+def _wishes(both: DataFrame, labels: DataFrame, shards: int, turn: int) -> DataFrame:
+    """Of each row its `shard` and `target`, what moving would `gain`, and how many of its links are `lost`, that is cut.
+
+    Votes are counted in a column per shard, so neighbours of a row are summed up before they are shuffled to it.
+    """
+    votes = both.join(labels.select(F.col("row").alias("b"), "shard"), "b").groupBy(F.col("a").alias("row")).agg(
+        *[F.count(F.when(F.col("shard") == s, 1)).alias(f"v{s}") for s in range(shards)]
+    )
+    draws = [F.struct(F.col(f"v{s}").alias("votes"), F.xxhash64("row", F.lit(s), F.lit(turn)).alias("draw"), F.lit(s).alias("to")) for s in range(shards)]
+    own = F.element_at(F.array(*[F.col(f"v{s}") for s in range(shards)]), F.col("shard") + 1)
+    joined = labels.join(votes, "row").select("row", "shard", F.greatest(*draws).alias("best") if shards > 1 else draws[0].alias("best"), own.alias("own"), sum(F.col(f"v{s}") for s in range(shards)).alias("degree"))
+    return joined.select(
+        "row", "shard", F.col("best.to").alias("target"), (F.col("best.votes") - F.col("own")).alias("gain"), (F.col("degree") - F.col("own")).alias("lost")
+    )
+
+
+# Wishes of a way between shards are dealt to cells, by the power of two of their gain and a hash; a cell moves whole or stays.
+CELLS = 256
+
+
+def _gain_class() -> F.Column:
+    return F.floor(F.log2(F.greatest("gain", F.lit(1)))).cast("int")
+
+
+def _cell(turn: int) -> F.Column:
+    return F.pmod(F.xxhash64("row", F.lit(turn), F.lit("cell")), F.lit(CELLS)).cast("int")
+
+
+def _may(turn: int) -> F.Column:
+    return (F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(2)) == 0) & (F.col("gain") > 0)
+
+
+def _cells(wishes: DataFrame, turn: int) -> list[Row]:
+    """Counts by way, class of gain and cell: at most `CELLS` x 64 classes x ways of them, whatever the number of rows."""
+    facts = [F.count(F.when(_may(turn), 1)).alias("n"), F.count(F.when(F.col("gain") > 0, 1)).alias("wish"), F.sum("lost").alias("lost")]
+    wish = F.col("gain") > 0
+    key = [F.col("shard").alias("source"), F.when(wish, F.col("target")).otherwise(F.col("shard")).alias("target"), F.when(wish, _gain_class()).otherwise(-1).alias("class"), F.when(wish, _cell(turn)).otherwise(-1).alias("cell")]
+    return wishes.where("lost > 0").groupBy(*key).agg(*facts).collect()
+
+
+def _taken(cells: list[Row], allowed: dict[tuple[int, int], int]) -> tuple[dict[tuple[int, int], tuple[int, int] | None], dict[tuple[int, int], int]]:
+    """Per way the class and cell before which all move, or None if all of the way do, and how many rows that is: those of most gain first, as far as the way allows."""
+    before: dict[tuple[int, int], tuple[int, int] | None] = {}
+    moved: dict[tuple[int, int], int] = {}
+    for r in sorted(cells, key=lambda r: (-r["class"], r["cell"])):
+        way = r["source"], r["target"]
+        if not r["n"] or before.setdefault(way, None) is not None:
+            continue
+        if moved.get(way, 0) + r["n"] <= allowed.get(way, 0):
+            moved[way] = moved.get(way, 0) + r["n"]
+        else:
+            before[way] = (r["class"], r["cell"])
+    return {way: end for way, end in before.items() if moved.get(way)}, moved
+
+
+def _moved(taken: dict[tuple[int, int], tuple[int, int] | None], turn: int) -> F.Column:
+    """A row's shard after the round."""
+    moves = F.lit(False)
+    for (source, target), end in taken.items():
+        way = (F.col("shard") == source) & (F.col("target") == target)
+        if end is not None:
+            way &= (_gain_class() > end[0]) | ((_gain_class() == end[0]) & (_cell(turn) < end[1]))
+        moves |= way
+    return F.when(_may(turn) & moves, F.col("target")).otherwise(F.col("shard"))
 
 
 def settle(edges: DataFrame, labels: DataFrame, quotas: list[int]) -> DataFrame:
@@ -202,17 +245,6 @@ def _ring(ways: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
     return list(zip(best, best[1:]))
 
 
-def _first(wishes: DataFrame, allowed: dict[tuple[int, int], int], count: int) -> DataFrame:
-    """The wishes that are allowed: those of most gain first, then by a hash; ranked by blocks of equal gain."""
-    way = ["source", "target"]
-    most = F.create_map(*(F.lit(x) for (a, b), n in allowed.items() for x in (f"{a}>{b}", n)))
-    gains = wishes.groupBy(*way, "gain").agg(F.count("*").alias("n"))
-    above = Window.partitionBy(*way).orderBy(F.desc("gain")).rowsBetween(Window.unboundedPreceding, -1)
-    gains = gains.select(*way, "gain", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("above"))
-    placed = ranked(wishes, [*way, "gain"], ["row"], count, "rank").join(gains, [*way, "gain"])
-    return placed.where(F.col("above") + F.col("rank") < most[F.concat_ws(">", *way)]).select("row", "target")
-
-
 def _even(quotas: list[int], count: int) -> list[int]:
     """How many of `count` rows each shard begins with: its share, never more than its quota."""
     total, starts = max(1, sum(quotas)), []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faresettle.session import scratch_path, shared_folder
+from faresettle.session import scratch_path
 
 _STAGED: dict[str, list[str]] = {}
 
@@ -23,17 +23,36 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def drop_staged(spark: SparkSession) -> int:
     """Delete what this application has staged, once its results are read; returns the number of folders."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     paths = _STAGED.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(conf).delete(folder, True)
+        _delete(spark, path)
     return len(paths)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """An eager checkpoint in the shared folder, for the small tables of iterative jobs."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """`stage` for the small tables of iterative jobs: one pass, and `drop_staged` deletes it."""
+    return stage(df, "checkpoint")
+
+
+class Rounds:
+    """The table of an iterative job, staged once a round. Only the last two are kept: a round reads the one before it."""
+
+    def __init__(self, label: str) -> None:
+        self.label = label
+        self.paths: list[str] = []
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        spark = df.sparkSession
+        staged = stage(df, self.label)
+        held = _STAGED[spark.sparkContext.applicationId]
+        self.paths.append(held[-1])
+        if len(self.paths) > 2:
+            old = self.paths.pop(0)
+            _delete(spark, old)
+            held.remove(old)
+        return staged
