@@ -7,7 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, DoubleType, FloatType, MapType, StructType, TimestampType, VariantType
 
 from faresettle.llm.components import Forest, connected_components
 from faresettle.llm.staging import stage
@@ -17,7 +18,7 @@ SEED = 20240517
 ROTATIONS = 3
 PROBES = 4
 # Vectors of one bucket that one task compares; larger buckets are dealt to blocks, and each pair of blocks is a task's work.
-BUCKET_BLOCK = 2_000
+BUCKET_BLOCK = 400
 # Vectors a bucket should hold by chance, from which the number of hashes in a bucket's name follows.
 BUCKET_AIM = 1
 
@@ -75,7 +76,7 @@ def _units(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-ENTRY = "tab int, bucket long, own boolean, key long, label long, dim int"
+ENTRY = "tab int, bucket long, own boolean, key long, label string, dim int"
 
 
 def _entries(batches: Iterator[pa.RecordBatch], tables: int, hashes: int, probes: int) -> Iterator[pa.RecordBatch]:
@@ -102,7 +103,8 @@ def _pairs(batches: Iterator[pa.RecordBatch], tables: int, hashes: int, probes:
     if not batches:
         return
     table = pa.Table.from_batches(batches).combine_chunks()
-    column = {c: table.column(c).to_numpy() for c in ("tab", "bucket", "label", "dim", "low", "high", "part", "own", "key", "weight")}
+    column = {c: table.column(c).to_numpy() for c in ("tab", "bucket", "dim", "low", "high", "part", "own", "key", "weight")}
+    column["label"] = _whole(table.column("label")).dictionary_encode().indices.to_numpy()
     order = np.lexsort(tuple(column[c] for c in ("high", "low", "bucket", "tab", "dim", "label")))
     sorted_by = [column[c][order] for c in ("high", "low", "bucket", "tab", "dim", "label")]
     new = np.ones(len(order), bool)
@@ -169,12 +171,23 @@ def _first_meeting(x: np.ndarray, y: np.ndarray, table: int, smaller: np.ndarray
     return first & (~also | smaller)
 
 
+def label_text(label: str, kind: DataType) -> Column:
+    """A label of any type as text that is equal where labels are: zeros of both signs are one, instants go by their number."""
+    if isinstance(kind, (FloatType, DoubleType)):
+        return (F.col(label) + F.lit(0.0)).cast("string")
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(label).cast("string")
+    if isinstance(kind, BinaryType):
+        return F.hex(label)
+    return F.to_json(label) if isinstance(kind, (ArrayType, MapType, StructType, VariantType)) else F.col(label).cast("string")
+
+
 def near_vectors(
     embeddings: DataFrame, least_cosine: float = LEAST_COSINE, probes: int = PROBES, bucket_block: int = BUCKET_BLOCK, hashes: int | None = None
 ) -> DataFrame:
     """`vec_id`, `n_links`, `component_id`, `kept` per row of `embeddings` (`vec_id`, `embedding`, `label`).
 
-    Vectors link if their labels are equal and not null, they have equal numbers of components, and their cosine is
+    Vectors link if their labels, of any type, are equal and not null, they have equal numbers of components, and their cosine is
     `least_cosine` or more in double precision. Vectors that are null, empty or zero, or hold null or non-finite components,
     link with nothing. Equal vectors are compared once and count as often as they occur; repeated rows are vectors of
     their own. Null ids stay null and are a component's id only if all its ids are null. Other columns are ignored; an empty table
@@ -188,7 +201,7 @@ def near_vectors(
         & F.exists("embedding", lambda x: x != 0),
         F.lit(False),
     )
-    rows = embeddings.select("vec_id", F.col("label").cast("long").alias("label"), doubles.alias("embedding"), valid.alias("valid"))
+    rows = embeddings.select("vec_id", label_text("label", embeddings.schema["label"].dataType).alias("label"), doubles.alias("embedding"), valid.alias("valid"))
     marks = [F.when(F.col("valid"), F.xxhash64(F.lit(k), "embedding")).alias(f"mark{k}") for k in (1, 2)]
     rows = rows.select("vec_id", "label", "embedding", "valid", *marks)
     same = ["label", "mark1", "mark2"]

@@ -113,3 +113,19 @@ def test_table_recall(sf):
     out = found(lsh.near_vectors(df))
     assert recall(rows, out) >= 0.99
     assert all(a[1] <= b[1] for a, b in zip(out, sorted(all_pairs(rows))))
+
+
+@pytest.mark.parametrize("labels", [
+    ("double", [0.2, 0.7, 0.2, -0.0, 0.0, float("nan"), float("nan"), None]),
+    ("string", ["a", "b", "a", "", "", "1", "1", None]),
+    ("array<int>", [[1], [2], [1], [], [], [3, 4], [3, 4], None]),
+    ("date", ["2020-01-01", "2020-01-02", "2020-01-01", "1999-01-01", "1999-01-01", "2000-01-01", "2000-01-01", None]),
+])
+def test_labels_of_any_type_are_compared_as_they_are(spark, labels):
+    kind, values = labels
+    rows = [(k, [1.0, 2.0], str(v) if kind == "date" and v else v) for k, v in enumerate(values)]
+    shown = "string" if kind == "date" else kind
+    frame = spark.createDataFrame(rows, f"vec_id long, embedding array<float>, label {shown}")
+    frame = frame.withColumn("label", frame["label"].cast(kind))
+    out = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in lsh.near_vectors(frame).collect()}
+    assert out == {0: (1, 0), 1: (0, 1), 2: (1, 0), 3: (1, 3), 4: (1, 3), 5: (1, 5), 6: (1, 5), 7: (0, 7)}
