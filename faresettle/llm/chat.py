@@ -6,22 +6,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faresettle.llm.staging import stage
 
-# Turns that one task orders, and that one row of rendered text holds.
-TURN_BLOCK = 512
-
 
 def _hash(salt: str, *columns: Column) -> Column:
     return F.xxhash64(F.lit(salt), *columns)
 
 
 def numbered_turns(conversations: DataFrame) -> DataFrame:
-    """`conv_id`, `at` (from 0), `role`, `text`, `one` and `two` (hashes of the turn at its place) per turn.
+    """`conv_id`, `block`, `at` (from 0), `role`, `text`, `one` and `two` (hashes of the turn at its place) per turn.
 
     Turns are ordered by `turn` (nulls first), then by role and text, so repeated rows are turns of their
-    own and ties have one order. Null roles and texts are told apart from empty ones. A conversation's turns are
-    numbered in blocks of `TURN_BLOCK` turn numbers, so a long conversation isn't ordered in one task.
+    own and ties have one order. Null roles and texts are told apart from empty ones. All turns are dealt by ranges of that order, repeated rows too, and
+    a conversation is numbered range by range: so no task orders a long conversation, with turn numbers or without.
     """
-    turns = conversations.select("conv_id", "turn", "role", "text", F.floor(F.coalesce("turn", F.lit(-1)) / TURN_BLOCK).alias("block"))
+    order = ["conv_id", "turn", "role", "text"]
+    dealt = conversations.select(*order).withColumn("copy", F.monotonically_increasing_id()).repartitionByRange(*order, "copy")
+    turns = stage(dealt.drop("copy").withColumn("block", F.spark_partition_id()), "chat-ranges")
     sizes = turns.groupBy("conv_id", "block").agg(F.count("*").alias("size"))
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
@@ -82,14 +81,18 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     """`conv_id`, `part`, `n_turns`, `n_same`, `text`: the maximal conversations, rendered.
 
     A logged conversation whose turns are the first turns of a longer one (same roles and texts, in order) is a
-    snapshot of it and goes; of equal ones that with the smallest id stays. Text is whole: part 0 holds all turns
-    of a conversation of up to `TURN_BLOCK`, longer ones go on in further parts. A null role is rendered as
+    snapshot of it and goes; of equal ones that with the smallest id stays. Text is whole, however many turns it has, and `part` is 0. A null role is rendered as
     `unknown`, a null text as empty, but both differ from these in comparisons. A null id is a conversation like
     any other, which stays only if no equal one has an id. Other columns are ignored; an empty table gives no rows.
     """
     turns = stage(numbered_turns(conversations), "chat-turns")
     kept = maximal(stage(prefix_hashes(turns), "chat-prefixes")).withColumnRenamed("conv_id", "_conv")
-    part = F.floor(F.col("at") / TURN_BLOCK).cast("int")
-    lines = turns.join(kept, F.col("conv_id").eqNullSafe(F.col("_conv"))).select("conv_id", part.alias("part"), "n_turns", "n_same", "at", rendered().alias("line"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"])
-    return lines.groupBy("conv_id", "part", "n_turns", "n_same").agg(F.concat_ws("", ordered).alias("text"))
+    lines = turns.join(kept, F.col("conv_id").eqNullSafe(F.col("_conv"))).select("conv_id", "block", "n_turns", "n_same", "at", rendered().alias("line"))
+    blocks = lines.groupBy("conv_id", "n_turns", "n_same", "block").agg(_in_order("at", "line").alias("text"))
+    return blocks.groupBy("conv_id", "n_turns", "n_same").agg(_in_order("block", "text").alias("text")).select("conv_id", F.lit(0).alias("part"), "n_turns", "n_same", "text")
+
+
+def _in_order(place: str, text: str) -> Column:
+    """Texts of a group, one after the other by their places."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct(place, text))), lambda x: x[text])
+    return F.concat_ws("", ordered)

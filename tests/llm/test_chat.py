@@ -40,16 +40,41 @@ def test_many_random_logs(spark):
     assert sorted(r["conv_id"] for r in chat.format_chats(chats(spark, logs)).collect()) == slow(logs)
 
 
-def test_turns_in_blocks(spark, monkeypatch):
-    turns = [("user", f"t{k}") for k in range(25)]
+@pytest.mark.parametrize("ranges", ["1", "40"])
+def test_conversations_over_many_ranges_are_one_row_each(spark, ranges):
+    turns = [("user", f"t{k:03}") for k in range(100)]
     logs = [(1, turns), (2, turns[:13]), (3, turns[:12] + [B]), (4, turns[1:])]
-    whole = {r["conv_id"]: r["text"] for r in chat.format_chats(chats(spark, logs)).collect()}
-    monkeypatch.setattr(chat, "TURN_BLOCK", 4)
-    parts = chat.format_chats(chats(spark, logs)).orderBy("conv_id", "part").collect()
-    assert sorted(whole) == [1, 3, 4]
-    for c, text in whole.items():
-        assert "".join(r["text"] for r in parts if r["conv_id"] == c) == text
-    assert [r["part"] for r in parts if r["conv_id"] == 1] == list(range(7))
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ranges)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = {r["conv_id"]: r for r in chat.format_chats(chats(spark, logs)).collect()}
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(out) == [1, 3, 4]
+    for c, turns in logs:
+        if c in out:
+            assert out[c]["text"] == "".join(f"<|im_start|>{role}\n{text}<|im_end|>\n" for role, text in turns)
+            assert (out[c]["part"], out[c]["n_turns"]) == (0, len(turns))
+
+
+def test_turns_without_numbers_are_split(spark):
+    """1,500 turns, all without a number and a third of them equal: one conversation, one row, several ranges."""
+    rows = [(7, None, "user", "same" if k % 3 else f"t{k:05}") for k in range(1500)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        turns = chat.numbered_turns(frame).collect()
+        out = chat.format_chats(frame).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(r["at"] for r in turns) == list(range(1500))
+    assert max(sum(r["block"] == b for r in turns) for b in {r["block"] for r in turns}) < 1500
+    texts = [r["text"] for r in sorted(turns, key=lambda r: r["at"])]
+    assert texts == sorted(texts) and len(out) == 1
+    assert out[0]["text"] == "".join(f"<|im_start|>user\n{t}<|im_end|>\n" for t in texts)
 
 
 def test_order_ties_gaps_and_nulls(spark):
