@@ -334,7 +334,10 @@ def find_leaks(
 
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
-    """The rows of `documents` whose text holds no item."""
+    """The rows of `documents` whose text holds no item, with all their columns.
+
+    Null and empty texts hold none and stay, null ids are like any other, repeated rows go or stay together, and an empty benchmark keeps every row.
+    """
     for index in indexes(benchmark):
         held = documents.sparkSession.sparkContext.broadcast(index)
         documents = documents.where(~_holds_item(held, threshold, overlap)("text"))

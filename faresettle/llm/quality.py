@@ -111,13 +111,13 @@ def class_prior(positives: int, negatives: int) -> float:
     return min(0.95, max(0.05, (positives + 1) / (positives + negatives + 2)))
 
 
-def train(documents: DataFrame, labels: DataFrame) -> QualityModel | None:
+def train(documents: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled_rows: int = UNLABELLED) -> QualityModel | None:
     """Fit to labels outside the held-out fold; None if there is no positive.
 
     Labels of one id that contradict each other and labels that are null don't count. Trusted positives are
     documents with quality 1, unlabelled text is that of documents without a label, or of all learned ones, their labels ignored, if every one has
     a label. Documents with quality 0 go into the
-    class prior only. Both samples are bounded; the prior counts all labels.
+    class prior only. Both samples are bounded, by `positives` and `unlabelled_rows`; the prior counts all labels.
     """
     marks = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -141,11 +141,11 @@ def train(documents: DataFrame, labels: DataFrame) -> QualityModel | None:
         ordered = sorted((r["o"], r["row"]) for r in held)
         return np.frombuffer(b"".join(row for _, row in ordered), np.float32).reshape(-1, FEATURES)
 
-    positive, unlabelled = matrix(good, POSITIVES), matrix(rest, UNLABELLED)
+    positive, unlabelled = matrix(good, positives), matrix(rest, unlabelled_rows)
     if not len(positive):
         return None
     if not len(unlabelled):
-        unlabelled = matrix(ids, UNLABELLED)
+        unlabelled = matrix(ids, unlabelled_rows)
     return fit(positive, unlabelled, prior=class_prior(counted.get(1, 0), counted.get(0, 0)))
 
 
@@ -174,5 +174,9 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `documents` that the classifier doesn't reject."""
+    """The rows of `documents` that the classifier doesn't reject, with all their columns.
+
+    Null and empty texts have the score of a text without features and go or stay alike; null ids are judged by their text, repeated rows go or
+    stay together, and without labels, or with an empty table, nothing is rejected.
+    """
     return documents.where(score(documents, train(documents, labels)) >= 0.5)

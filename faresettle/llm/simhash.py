@@ -165,13 +165,15 @@ def near_links(bits: DataFrame, most_bits: int = MOST_BITS, trie_root: int = TRI
     are rotated so that it comes first; then tries whose first levels may not differ are joined
     with themselves, one task holding many of them. A trie with more than `trie_root` fingerprints is
     cut at its next levels, and every pair of nodes there that is within the budget becomes work
-    of its own; the links are the same.
+    of its own; the links are the same. Equal fingerprints count once and null ones link with nothing; other columns are ignored, an empty
+    table gives no edges.
     """
     blocks = 1 << most_bits.bit_length()
     width = 64 // blocks
     turned = F.expr(f"shiftleft(bits, turn * {width}) | IF(turn = 0, 0L, shiftrightunsigned(bits, 64 - turn * {width}))")
     rows = (
-        bits.select("bits")
+        bits.where("bits IS NOT NULL")
+        .select("bits")
         .distinct()
         .select("bits", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("turn"))
         .select(F.col("turn").cast("long").alias("turn"), turned.alias("turned"))
@@ -243,10 +245,11 @@ def keep_one(
     # The kept ids grow with the documents, so they are never broadcast; the texts move once.
     firsts = kept.where("n = 1 AND doc_id IS NOT NULL").select("doc_id").hint("merge")
     single = documents.join(firsts, "doc_id", "left_semi")
-    several = kept.where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_id"))
+    several_id = max([c for c in documents.columns if c.startswith("_")], default="") + "_id"
+    several = kept.where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias(several_id))
     if several.isEmpty():
         return single.select(*documents.columns)
-    odd = documents.join(several, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    odd = documents.join(several, F.col("doc_id").eqNullSafe(F.col(several_id)), "left_semi")
     bits = F.pandas_udf(lambda texts: texts.map(lambda text: fingerprint((text or "").encode(), words)), "long")
     ordered = F.struct("text", *(F.col(f"`{c}`") for c in documents.columns if c != "text"))
     one = (

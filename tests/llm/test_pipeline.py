@@ -2,6 +2,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from faresettle.llm import decontaminate, pieces, quality, secrets, simhash
@@ -100,3 +101,39 @@ def test_nothing_else_imports_the_subpackage():
             assert not re.search(r"faresettle\.llm|from \.+llm|import llm", path.read_text()), path
     for path in (ROOT / "faresettle" / "llm").rglob("*.py"):
         assert "localCheckpoint" not in path.read_text() and "except ImportError" not in path.read_text()
+
+
+def test_rows_of_every_kind_pass_all_stages(spark, sf, tmp_path):
+    """Nulls, repeats, ids of two texts, a very long text and clashing names; each stage is held against its operator."""
+    names = ["_id", "_row", "bits", "root", "component_id", "n", "score", "word", "held_out", "ids", "quality"]
+    docs = sf("documents")
+    long = " ".join(r["text"] for r in docs.limit(40).collect() if r["text"]) * 10
+    schema = docs.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")
+    first = docs.where("length(text) > 200").first()["text"]
+    odd = [
+        (None, None, None, None, None), (None, "", "en", "s", 0), (None, first, "en", "s", 1), (None, first, "en", "s", 1), (90001, first, "en", "s", 1),
+        (90002, first + " and more of it", "en", "s", 1), (90002, "Another text of the same id.", "en", "s", 1), (90003, long, "en", "s", 1), (90003, long, "en", "s", 1),
+        (90004, "x" * 50_000, "en", "s", 1), (90005, None, "en", "s", 0),
+    ]
+    whole = docs.unionByName(spark.createDataFrame(odd, schema))
+    for k, name in enumerate(names):
+        whole = whole.withColumn(name, F.lit(str(k)))
+    whole.write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"/root/testdata/sf0.001/{name}.parquet")
+    columns, before = whole.columns, stage(spark.read.parquet(str(tmp_path / "documents.parquet")), "odd")
+    labels = spark.read.parquet(str(tmp_path / "labels.parquet"))
+    expected = [
+        lambda d: quality.score_documents(d, labels).where("predicted = 1").count(),
+        lambda d: len({(r["component_id"],) for r in simhash.near_duplicates(d).select("component_id").collect()}),
+        lambda d: d.count() - decontaminate.find_leaks(d, spark.read.parquet(str(tmp_path / "benchmark.parquet"))).select("doc_id").distinct().count(),
+        lambda d: d.count(),
+        lambda d: d.count(),
+    ]
+    for (name, run), n in zip(corpus_pipeline.STAGES, expected):
+        after = stage(run(spark, before, str(tmp_path)), name)
+        assert after.count() == n(before), name
+        if name != "sentencepiece_encoding":
+            assert after.columns == columns
+            before = after
+    assert after.select("ids").where("ids IS NULL").count() == 0
