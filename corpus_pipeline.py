@@ -51,6 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows: token ids of the documents that every stage kept.
+
+    Each stage reads all rows of the one before from files. Null and empty texts are empty documents, of which near-dedup keeps one if the classifier keeps them; rows
+    without an id are near-copies among themselves or of documents with one, as their texts are; repeated rows are copies; columns of any
+    name stay to the last stage but one; an empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage_of in STAGES:
         docs = stage(stage_of(spark, docs, sf_dir), name)
