@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from faresettle.llm.staging import stage
-from faresettle.llm.utf8 import slices, utf8
+from faresettle.llm.utf8 import mixed, slices, utf8, word_hashes
 
 LONGEST = 5
 LEAST = 100
@@ -36,24 +36,7 @@ STRIPES = "lang string, bucket int, stripes string"
 
 _KIND = bytes(1 if b in b" \t" else 2 if b in b".,;:!?\n\x0b\x0c\r" else 0 for b in range(256))
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_STEP, _NEXT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
-
-
-def word_hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each value; the empty one has its own."""
-    data, begin = utf8(words)
-    size = np.diff(begin)
-    powers = np.cumprod(np.full(int(size.max(initial=0)) + 1, _STEP))
-    place = np.arange(len(data)) - np.repeat(begin[:-1], size)
-    out = np.zeros(len(size), np.uint64)
-    if len(data):
-        out[size > 0] = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * powers[place], begin[:-1][size > 0])
-    return _mixed(out + size.astype(np.uint64))
+_NEXT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def phrase_hashes(langs: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
@@ -61,7 +44,7 @@ def phrase_hashes(langs: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     h = langs.copy()
     for word in words:
         h = h * _NEXT + word
-    return _mixed(h)
+    return mixed(h)
 
 
 @dataclass(frozen=True)
@@ -140,7 +123,7 @@ class Lot:
         nexts, key = self.ids[one + size - 1], self.phrases(size - 1, one)
         hot = np.ones(len(one), bool) if known is None else np.isin(key, known.hot)
         part = np.where(hot, self.hashes[nexts] % np.uint64(PARTS), np.uint64(0))
-        bucket = (_mixed(key + part) % np.uint64(buckets)).astype(np.int64)
+        bucket = (mixed(key + part) % np.uint64(buckets)).astype(np.int64)
         lang = self.lang[one]
         order = np.lexsort((part, prefix, bucket, lang))
         lang, bucket, prefix, part, one, nexts, n = (x[order] for x in (lang, bucket, prefix, part, one, nexts, n))

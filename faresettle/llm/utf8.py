@@ -36,3 +36,24 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
         high = max(low + 1, int(np.searchsorted(begin, begin[low] + most_bytes, "right")) - 1)
         yield batch.slice(low, high - low)
         low = high
+
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Hashes whose bits all depend on all bits of these."""
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each value; the empty one has its own."""
+    data, begin = utf8(words)
+    size = np.diff(begin)
+    powers = np.cumprod(np.full(int(size.max(initial=0)) + 1, _STEP))
+    place = np.arange(len(data)) - np.repeat(begin[:-1], size)
+    out = np.zeros(len(size), np.uint64)
+    if len(data):
+        out[size > 0] = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * powers[place], begin[:-1][size > 0])
+    return mixed(out + size.astype(np.uint64))
