@@ -31,10 +31,21 @@ def ranked(rows: DataFrame, group: list[str], order: list[str], count: int, name
     return dealt.withColumn("_inside", inside).join(starts, [*group, "_block"]).withColumn(name, F.col("_start") + F.col("_inside")).drop("_block", "_start", "_inside")
 
 
-def group_links(documents: DataFrame) -> DataFrame:
-    """Edges `a`, `b` of `row` ids: documents of equal text to the first of them, a star for each group."""
-    first = documents.groupBy("text_key").agg(F.min("row").alias("a"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    return documents.join(first, "text_key").where("row <> a").select("a", F.col("row").alias("b"))
+# A text of more than this share of all rows is common; there are no more of these than that.
+COMMON = 4096
+
+
+def group_links(documents: DataFrame, count: int) -> DataFrame:
+    """Edges `a`, `b` of `row` ids: documents of equal text to the first of them, a star for each group.
+
+    Groups are counted with a map-side part. Rows of a common text then meet their first one by a broadcast and don't move, others are joined by the text's key.
+    """
+    firsts = stage(documents.groupBy("text_key").agg(F.min("row").alias("a"), F.count("*").alias("n")).where("n > 1"), "shard-firsts")
+    common = F.broadcast(firsts.where(F.col("n") * COMMON > count).select("text_key", "a"))
+    rows = documents.select("text_key", F.col("row").alias("b"))
+    near = rows.join(common, "text_key")
+    far = rows.join(common.select("text_key"), "text_key", "left_anti").join(firsts.where(F.col("n") * COMMON <= count).select("text_key", "a"), "text_key")
+    return near.unionByName(far).where("a <> b").select("a", "b")
 
 
 def propagate(edges: DataFrame, quotas: list[int]) -> DataFrame:
@@ -289,7 +300,7 @@ def shard_documents(
     )
     count = rows.count()
     quotas = [count // shards + (s < count % shards) for s in range(shards)]
-    edges = group_links(rows)
+    edges = stage(group_links(rows, count), "shard-links")
     labels = settle(edges, propagate(edges, quotas), quotas)
     held = {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     free = rows.join(labels, "row", "left_anti").select("row")

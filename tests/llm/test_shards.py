@@ -119,3 +119,12 @@ def test_packing_takes_all_rows_within_the_quotas():
     for (whole, _, _), parts in groups.items():
         parts.sort()
         assert parts[0][0] == 0 and parts[-1][1] == whole and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+
+
+@pytest.mark.parametrize("common", [1, 30, 4096])
+def test_links_are_the_same_whichever_texts_are_common(spark, monkeypatch, common):
+    monkeypatch.setattr(shards, "COMMON", common)
+    texts = ["same"] * 40 + ["pair", "pair", "one", "three", "three", "three"]
+    rows = spark.createDataFrame([(k, t.encode()) for k, t in enumerate(texts)], "row long, text_key binary")
+    links = sorted(map(tuple, shards.group_links(rows, len(texts)).collect()))
+    assert links == [(0, k) for k in range(1, 40)] + [(40, 41)] + [(43, 44), (43, 45)]
