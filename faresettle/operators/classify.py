@@ -72,8 +72,8 @@ class TicketCountryRule:
         """The tickets asked for are staged and counted, so a runtime filter of the right size cuts the lookup while
         it is scanned: no more of it is shuffled than those tickets, and the few others that the filter lets through."""
         distinct = tickets.filter(F.col("ticket").isNotNull()).distinct().withColumn("asked", F.lit(1))
-        asked = staging.write(distinct, "tickets_asked")
-        with runtime_filter_for(staging.spark, asked.count()):
+        asked, count = staging.write_counted(distinct, "tickets_asked")
+        with runtime_filter_for(staging.spark, count):
             return replace(self, tickets=staging.write(self.of(asked), "ticket_countries"))
 
     def of(self, asked: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
@@ -47,23 +48,34 @@ class Gate:
     failing: dict[str, Column]
     unique: tuple[str, ...] = ()
 
-    def staged(self, batch: DataFrame, staging: Staging, name: str) -> DataFrame:
-        """The batch as staged; raises ``DataTestFailed``, with the number of bad rows, if a test found any."""
-        staged, found = self.counted(batch, staging, name)
+    def watched(self, batch: DataFrame) -> tuple[DataFrame, Observation]:
+        """The batch with its rows counted as the next job reads them: all, and per test those that fail."""
+        seen = Observation(f"faresettle_gate_{uuid.uuid4().hex}")
+        tests = [F.count(F.when(condition, 1)).alias(test) for test, condition in self.failing.items()]
+        return batch.observe(seen, F.count(F.lit(1)).alias(ROWS), *tests), seen
+
+    def found(self, seen: Observation, written: DataFrame) -> dict[str, int]:
+        """Per test the rows, or values, that fail, and under ``rows`` the number of rows; ``written`` is the watched batch as written."""
+        return dict(seen.get) | {f"unique {column}": not_unique(written.select(column), column).count() for column in self.unique}
+
+    def require(self, seen: Observation, written: DataFrame) -> DataFrame:
+        """The written batch; raises ``DataTestFailed``, with the number of bad rows, if a test found any."""
+        found = self.found(seen, written)
         bad = {test: n for test, n in found.items() if n and test != ROWS}
         if bad:
             raise DataTestFailed(", ".join(f"{test}: {n}" for test, n in bad.items()) + f" of {found[ROWS]} rows", bad)
-        return staged
+        return written
+
+    def staged(self, batch: DataFrame, staging: Staging, name: str) -> DataFrame:
+        """The batch as staged, if it passes."""
+        watched, seen = self.watched(batch)
+        return self.require(seen, staging.write(watched, name))
 
     def counted(self, batch: DataFrame, staging: Staging, name: str) -> tuple[DataFrame, dict[str, int]]:
-        """The batch as staged, and per test the rows, or values, that fail; under ``rows`` the number of rows."""
-        seen = Observation(f"faresettle_{name}")
-        tests = [F.count(F.when(condition, 1)).alias(test) for test, condition in self.failing.items()]
-        staged = staging.write(batch.observe(seen, F.count(F.lit(1)).alias(ROWS), *tests), name)
-        found = dict(seen.get)
-        for column in self.unique:
-            found[f"unique {column}"] = not_unique(staged.select(column), column).count()
-        return staged, found
+        """The batch as staged, whether it passes or not, and what was found."""
+        watched, seen = self.watched(batch)
+        staged = staging.write(watched, name)
+        return staged, self.found(seen, staged)
 
 
 # The name under which a gate counts all rows.

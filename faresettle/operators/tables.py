@@ -176,18 +176,24 @@ def window_replace(df: DataFrame, table: str, window: DateWindow, gate: Gate | N
     the new batch lacks are dropped last; ``publish="switch"`` writes all days first and then only switches their folders.
     After a crash a rerun converges.
     """
-    layout(df.sparkSession, table)
+    way = publishing(df.sparkSession, table, publish)
     with Staging(df.sparkSession) as staging:
         batch = staging.write(df, "batch") if gate is None else gate.staged(df, staging, "batch")
-        replace_from_files(batch, table, window, publish)
+        replace_from_files(batch, table, window, publish, way)
 
 
-def replace_from_files(batch: DataFrame, table: str, window: DateWindow, publish: str = OVERWRITE) -> None:
-    """``window_replace`` for a batch that only reads files already written."""
-    spark = batch.sparkSession
+def publishing(spark: SparkSession, table: str, publish: str) -> str:
+    """The table's layout, if its windows can be published so; else ``ValueError``."""
     way = layout(spark, table)
     if publish not in (OVERWRITE, SWITCH) or (publish == SWITCH and way != BY_DAY):
         raise ValueError(f"{table} can't be published by {publish}")
+    return way
+
+
+def replace_from_files(batch: DataFrame, table: str, window: DateWindow, publish: str = OVERWRITE, way: str | None = None) -> None:
+    """``window_replace`` for a batch that only reads files already written; ``way`` is the table's layout, if known."""
+    spark = batch.sparkSession
+    way = way or publishing(spark, table, publish)
     day = F.col(PARTITION_COLUMN).cast("string")
     inside = F.coalesce(is_iso_day(day) & window.contains_text(day), F.lit(False))
     if not batch.filter(~inside).isEmpty():

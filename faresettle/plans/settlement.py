@@ -63,10 +63,10 @@ def sales(sources: SettlementSources, window: DateWindow, staging: Staging | Non
     issues = issues_by_ticket(sources.emis, window)
     if not staging:
         return sale_fact(details.add_to(payments_in_window(sources.payt, sources.emis, window), "sqnu"), issues)
-    issues = staging.write(keyed(issues, window), "issues")
-    with runtime_filter_for(staging.spark, issues.count()):
-        payments = staged_headers(payments_of(sources.payt, of_window(issues, window)), details, window, staging, "payments")
-    return sale_fact(staged_details(payments, details, window, staging, "payments"), of_window(issues, window))
+    issues, count = staging.write_counted(keyed(issues, window), "issues")
+    with runtime_filter_for(staging.spark, count):
+        payments, count = staged_headers(payments_of(sources.payt, of_window(issues, window)), details, window, staging, "payments")
+    return sale_fact(staged_details(payments, count, details, window, staging, "payments"), of_window(issues, window))
 
 
 def refunds(sources: SettlementSources, window: DateWindow, staging: Staging | None = None) -> DataFrame:
@@ -74,8 +74,8 @@ def refunds(sources: SettlementSources, window: DateWindow, staging: Staging | N
     details = sources.refund_details()
     if not staging:
         return refund_fact(details.add_to(headers, "sqnu"))
-    headers = staged_headers(headers, details, window, staging, "refunds")
-    return refund_fact(staged_details(headers, details, window, staging, "refunds"))
+    headers, count = staged_headers(headers, details, window, staging, "refunds")
+    return refund_fact(staged_details(headers, count, details, window, staging, "refunds"))
 
 
 def keyed(headers: DataFrame, window: DateWindow) -> DataFrame:
@@ -88,14 +88,16 @@ def of_window(headers: DataFrame, window: DateWindow) -> DataFrame:
     return headers.filter(F.col("window_key") == window.key).drop("window_key")
 
 
-def staged_headers(headers: DataFrame, details: Details | LandedDetails, window: DateWindow, staging: Staging, name: str) -> DataFrame:
-    """Headers as staged; in the buckets of landed details, if there are such."""
+def staged_headers(
+    headers: DataFrame, details: Details | LandedDetails, window: DateWindow, staging: Staging, name: str
+) -> tuple[DataFrame, int]:
+    """Headers as staged, in the buckets of landed details if there are such, and how many they are."""
     buckets = (details.buckets, "sqnu") if isinstance(details, LandedDetails) else None
-    return staging.write(keyed(headers, window), name, buckets)
+    return staging.write_counted(keyed(headers, window), name, buckets)
 
 
 def staged_details(
-    headers: DataFrame, details: Details | LandedDetails, window: DateWindow, staging: Staging, name: str
+    headers: DataFrame, count: int, details: Details | LandedDetails, window: DateWindow, staging: Staging, name: str
 ) -> DataFrame:
     """Staged headers with their detail sums, staged too.
 
@@ -104,7 +106,7 @@ def staged_details(
     """
     if isinstance(details, LandedDetails):
         return staging.write(with_details(headers, details, window), f"{name}_with_details")
-    with runtime_filter_for(staging.spark, headers.count()):
+    with runtime_filter_for(staging.spark, count):
         return staging.write(with_details(headers, details, window), f"{name}_with_details")
 
 

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # Settings of sessions made here; they are for speed, no result depends on them.
 SETTINGS = {
@@ -143,6 +143,12 @@ class Staging:
             df.repartition(number, key).write.bucketBy(number, key).sortBy(key).saveAsTable(table)
         return self.spark.table(table)
 
+    def write_counted(self, df: DataFrame, name: str, buckets: tuple[int, str] | None = None) -> tuple[DataFrame, int]:
+        """``write``, and the number of rows, counted by the job that writes them."""
+        seen = Observation(f"faresettle_{name}")
+        staged = self.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, buckets)
+        return staged, seen.get["rows"]
+
     def read(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.database}.{name}")
 

@@ -105,7 +105,8 @@ def test_landed_sums_equal_plain_ones(spark, lake, landed):  # noqa: F811
 
 def test_landed_details_and_bucketed_headers_meet_without_exchange(spark, lake, landed, without_broadcast, capsys):  # noqa: F811
     with Staging(spark) as staging:
-        headers = settlement.staged_headers(lake[0].payt.select("sqnu"), landed[0], queries.MONTH_WINDOW, staging, "headers")
+        headers, count = settlement.staged_headers(lake[0].payt.select("sqnu"), landed[0], queries.MONTH_WINDOW, staging, "headers")
+        assert count == lake[0].payt.count()
         plan = explained(settlement.with_details(headers, landed[0], queries.MONTH_WINDOW), capsys, "simple")
     assert plan.count("SortMergeJoin") == 2
     assert "Exchange" not in plan and "might_contain" not in plan

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from faresettle.catalog.queries import scratch_table
 from faresettle.operators import quality, rows, tables
+from faresettle.operators.classify import ExpressionRule
+from faresettle.plans import jobs
 from faresettle.plans.contract import REPORT_SCHEMA
 from faresettle.session import scratch_path
+from tests.test_settlement import ONE, frames, issue, payment, refund
 from tests.test_tables import AUGUST, OUTSIDE, content, rows_of
 
 DAYS = ("2025-07-31", "2025-08-01", "2025-08-15", "2025-08-31", "2025-09-01", None)
@@ -157,3 +160,45 @@ def test_gate_counts_in_the_job_that_stages(spark):
         assert staged.count() == 2
     assert found.pop("rows") == 2 and set(found.values()) == {0} and len(found) == 11
     assert reads.value == 2
+
+
+# The monthly job
+
+
+def test_monthly_job_with_gate_and_switch(spark, loaded):
+    final, root = scratch_table(spark, REPORT_SCHEMA), scratch_path(spark, "lake")
+    sources = frames(spark, {"payt": [payment(1, "A1")], "emis": [issue("A1")], "rmbt": [refund(1, "A1")], "para": ONE})
+    rule = ExpressionRule(lambda ticket, isoc: F.lit("I"))
+    before = content(spark, loaded)
+    impossible = quality.Gate({"no refunds": F.col("Type") == "Refund"})
+    with pytest.raises(quality.DataTestFailed, match="no refunds: 1 of 2 rows"):
+        jobs.monthly_settlement(sources, AUGUST, rule, root, final, loaded, gate=impossible)
+    assert content(spark, final) == {} and content(spark, loaded) == before
+    for _ in range(2):
+        jobs.monthly_settlement(sources, AUGUST, rule, root, final, loaded, gate=quality.report_gate(), publish=tables.SWITCH)
+        assert content(spark, final) == {("2025-08-05", 10): 1, ("2025-08-06", -4): 1}
+        assert content(spark, loaded) == OUTSIDE
+
+
+def test_monthly_job_refuses_tables_without_windows_first(spark, loaded):
+    nothing = scratch_table(spark)
+    spark.range(3).write.saveAsTable(nothing)
+    root = scratch_path(spark, "lake")
+    sources = frames(spark, {"payt": [payment(1, "A1")], "emis": [issue("A1")], "para": ONE})
+    rule = ExpressionRule(lambda ticket, isoc: F.lit("I"))
+    for final, recent in ((nothing, loaded), (loaded, nothing)):
+        with pytest.raises(ValueError, match="no windows"):
+            jobs.monthly_settlement(sources, AUGUST, rule, root, final, recent)
+    assert rows._listed(spark, f"{root}/*") == []
+    assert spark.table(nothing).count() == 3
+
+
+def test_backfill_job_writes_a_folder_per_window(spark):
+    sources = frames(spark, {"payt": [payment(1, "A1")], "emis": [issue("A1")], "rmbt": [refund(1, "A1")], "para": ONE})
+    rule = ExpressionRule(lambda ticket, isoc: F.lit("I"))
+    windows = spark.sql("SELECT date'2025-08-01' AS window_start, date'2025-08-31' AS window_end UNION ALL SELECT date'2025-08-06', date'2025-08-12'")
+    root = scratch_path(spark, "backfill")
+    for _ in range(2):
+        path = jobs.backfill_reports(sources, windows, rule, root)
+        found = Counter((r.window_key, r.TrxDate, int(r.Fare)) for r in spark.read.parquet(path).collect())
+        assert found == {("20250801_20250831", "2025-08-05", 10): 1, ("20250801_20250831", "2025-08-06", -4): 1, ("20250806_20250812", "2025-08-06", -4): 1}
