@@ -22,7 +22,9 @@ from faresettle.functions.windows import DateWindow
 from faresettle.operators import details, tables
 from faresettle.operators.classify import TicketCountryRule
 from faresettle.operators.facts import amount_columns
+from faresettle.operators.landing import LandedDetails
 from faresettle.plans import models, settlement
+from faresettle.plans.backfill import settlement_backfill
 from faresettle.plans.contract import IDENTITIES, REPORT_SCHEMA
 from faresettle.session import Staging, local_session
 
@@ -87,6 +89,26 @@ def headline(spark: SparkSession, sf_dir: str, lake: Staging) -> dict[str, Calla
     tables.create_table(spark, table, REPORT_SCHEMA)
     tables.append(report(all_days), table)
     month = lake.write(report(MONTH), "month")
+    unpartitioned = f"{lake.database}.sales_rows"
+    tables.create_table(spark, unpartitioned, REPORT_SCHEMA, ())
+    tables.append(report(all_days), unpartitioned)
+    details_of = (("payt_sqnu", sources.payt_vatc, sources.payt_txca), ("rmbt_id", sources.rmbt_vatc, sources.rmbt_txca))
+    both = [LandedDetails(spark, f"{lake.database}.{parent}_vat", f"{lake.database}.{parent}_tax", parent, 8) for parent, _, _ in details_of]
+    for kept, (parent, vat, tax) in zip(both, details_of):
+        kept.land(details.Details(vat, tax, parent), "all")
+    in_buckets = settlement.LandedSources(*sources.__dict__.values(), *both)
+    months = spark.sql(
+        "SELECT add_months(date'1996-08-01', CAST(id AS INT)) AS window_start, last_day(add_months(date'1996-08-01', CAST(id AS INT))) AS window_end FROM range(24)"
+    )
+
+    def landed_report() -> None:
+        with Staging(spark) as staging:
+            run_all(settlement.settlement_report(in_buckets, MONTH, rule, staging=staging))
+
+    def backfilled() -> None:
+        with Staging(spark) as staging:
+            run_all(settlement_backfill(sources, months, rule, staging))
+
     return {
         "plain_sql_month": lambda: run_all(spark.sql(plain_sql(sources, rule.tickets, MONTH))),
         "plain_sql_all_years": lambda: run_all(spark.sql(plain_sql(sources, rule.tickets, all_days))),
@@ -99,6 +121,10 @@ def headline(spark: SparkSession, sf_dir: str, lake: Staging) -> dict[str, Calla
         "yr_tax_by_parent": lambda: run_all(details.yr_tax_by_parent(sources.payt_txca, "payt_sqnu")),
         "recent_sale": lambda: run_all(models.recent_sale(sales)),
         "window_replace_month": lambda: tables.window_replace(month, table, MONTH),
+        "window_replace_month_switched": lambda: tables.window_replace(month, table, MONTH, publish=tables.SWITCH),
+        "window_replace_month_rows": lambda: tables.window_replace(month, unpartitioned, MONTH),
+        "settlement_report_month_landed": landed_report,
+        "settlement_backfill_24_months": backfilled,
     }
 
 
