@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from faresettle.session import scratch_path
@@ -21,6 +23,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_for(df: DataFrame, label: str) -> tuple[DataFrame, Callable[[], None]]:
+    """`stage`, and what deletes the table once nothing is to read it any more."""
+    staged = stage(df, label)
+    held = _STAGED[df.sparkSession.sparkContext.applicationId]
+    path = held[-1]
+
+    def drop() -> None:
+        _delete(df.sparkSession, path)
+        if path in held:
+            held.remove(path)
+
+    return staged, drop
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Delete what this application has staged, once its results are read; returns the number of folders."""
     paths = _STAGED.pop(spark.sparkContext.applicationId, [])
@@ -44,15 +60,11 @@ class Rounds:
 
     def __init__(self, label: str) -> None:
         self.label = label
-        self.paths: list[str] = []
+        self.drops: list[Callable[[], None]] = []
 
     def stage(self, df: DataFrame) -> DataFrame:
-        spark = df.sparkSession
-        staged = stage(df, self.label)
-        held = _STAGED[spark.sparkContext.applicationId]
-        self.paths.append(held[-1])
-        if len(self.paths) > 2:
-            old = self.paths.pop(0)
-            _delete(spark, old)
-            held.remove(old)
+        staged, drop = stage_for(df, self.label)
+        self.drops.append(drop)
+        if len(self.drops) > 2:
+            self.drops.pop(0)()
         return staged
