@@ -52,3 +52,8 @@ def checked_iso_text(text: Column) -> Column:
 
 def is_iso_day(text: Column) -> Column:
     return text.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(text, ISO_DATE).isNotNull()
+
+
+def sql_text(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from faresettle.functions.values import sql_text
 from faresettle.operators.details import VAT_BUCKETS, Details, add_details, vat_by_parent, yr_tax_by_parent
 
 BATCH = "batch"
@@ -32,7 +33,7 @@ class LandedDetails:
         lines = details.lines()
         for table, sums in ((self.vat, vat_by_parent(lines.vat, details.parent)), (self.tax, yr_tax_by_parent(lines.tax, details.parent))):
             if self.spark.catalog.tableExists(table):
-                self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BATCH} = '{batch}')")
+                self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BATCH} = {sql_text(batch)})")
             named = sums.withColumnRenamed(details.parent, self.parent).withColumn(BATCH, F.lit(batch))
             dealt = named.repartition(self.buckets, self.parent)
             dealt.write.mode("append").partitionBy(BATCH).bucketBy(self.buckets, self.parent).sortBy(self.parent).saveAsTable(table)

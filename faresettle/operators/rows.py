@@ -76,11 +76,11 @@ def written(spark: SparkSession, table: str, files: list[str], condition: Column
     drop_rewrites(spark, table)
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     stay = remaining(spark, table, files, condition).drop(*parts)
-    folder = f"{_location(spark, table)}/{_REWRITES}{uuid.uuid4().hex}"
+    folder = f"{location(spark, table)}/{_REWRITES}{uuid.uuid4().hex}"
     named = stay.withColumn(_FILE, F.sha2(_FILE, 256))
     named.repartition(_FILE).write.option("maxRecordsPerFile", 0).partitionBy(_FILE).parquet(folder)
     found: dict[str, str] = {}
-    for path in _listed(spark, f"{folder}/{_FILE}=*/*.parquet"):
+    for path in listed(spark, f"{folder}/{_FILE}=*/*.parquet"):
         name = path.getParent().getName().split("=", 1)[1]
         if name in found:
             raise RuntimeError(f"rows of one file were written to two: {path}")
@@ -90,16 +90,16 @@ def written(spark: SparkSession, table: str, files: list[str], condition: Column
 
 def drop_rewrites(spark: SparkSession, table: str) -> None:
     """Delete the folders of new files, those of a crashed run too."""
-    for path in _listed(spark, f"{_location(spark, table)}/{_REWRITES}*"):
+    for path in listed(spark, f"{location(spark, table)}/{_REWRITES}*"):
         delete_path(spark, path.toString())
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def location(spark: SparkSession, table: str) -> str:
     facts = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
     return path_of(spark, facts["Location"]).rstrip("/")
 
 
-def _listed(spark: SparkSession, pattern: str) -> list[JavaObject]:
+def listed(spark: SparkSession, pattern: str) -> list[JavaObject]:
     path = hadoop_path(spark, pattern)
     found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
     return [status.getPath() for status in found or []]

@@ -12,7 +12,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from faresettle.functions.values import is_iso_day
+from faresettle.functions.values import is_iso_day, sql_text
 from faresettle.functions.windows import DateWindow
 from faresettle.operators import rows
 from faresettle.operators.quality import Gate
@@ -102,14 +102,10 @@ def drop_partitions(spark: SparkSession, table: str, specs: list[dict[str, str |
 
 
 def partition_clause(spec: dict[str, str | None]) -> str:
-    values = (f"`{name}` = {'null' if value is None else literal(value)}" for name, value in spec.items())
+    values = (f"`{name}` = {'null' if value is None else sql_text(value)}" for name, value in spec.items())
     return f"PARTITION ({', '.join(values)})"
 
 
-def literal(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 # Catalogs whose tables delete rows and replace them in one commit.
 LAKE_PROVIDERS = ("iceberg", "delta", "hudi", "paimon")
 LAKE, BY_DAY, BY_ROW = "lake", "day", "row"
@@ -143,7 +139,7 @@ def layout(spark: SparkSession, table: str) -> str:
 
 def range_condition(window: DateWindow) -> str:
     start, end = window.iso
-    return f"`{PARTITION_COLUMN}` BETWEEN {literal(start)} AND {literal(end)}"
+    return f"`{PARTITION_COLUMN}` BETWEEN {sql_text(start)} AND {sql_text(end)}"
 
 
 def delete_statement(table: str, window: DateWindow) -> str:
@@ -222,7 +218,7 @@ def _switch_window(batch: DataFrame, table: str, window: DateWindow) -> None:
     """
     spark = batch.sparkSession
     fill = partition_columns(spark, table)
-    root = rows.path_of(spark, table_facts(spark, table)["Location"]).rstrip("/")
+    root = rows.location(spark, table)
     written = f"{root}/{VERSIONS}/{uuid.uuid4().hex}"
     aligned(batch, table).write.partitionBy(*fill).parquet(written)
     schema = spark.table(table).schema
@@ -232,20 +228,35 @@ def _switch_window(batch: DataFrame, table: str, window: DateWindow) -> None:
     new = {tuple(row)[:-1]: rows.path_of(spark, row["_folder"]) for row in folders.distinct().collect()}
     old = {tuple(spec[c] for c in fill): _folder(spark, table, spec) for spec in partitions_in(spark, table, window)}
     switch_partitions(spark, table, fill, new, old)
-    kept = set(new.values())
-    for folder in set(old.values()) - kept:
+    for folder in set(old.values()) - set(new.values()):
         rows.delete_path(spark, folder)
+        version = folder.removeprefix(f"{root}/{VERSIONS}/").split("/")[0]
+        if folder.startswith(f"{root}/{VERSIONS}/") and not rows.listed(spark, f"{root}/{VERSIONS}/{version}/*=*"):
+            rows.delete_path(spark, f"{root}/{VERSIONS}/{version}")
     spark.catalog.refreshTable(table)
 
 
+def drop_unused_versions(spark: SparkSession, table: str) -> int:
+    """Delete folders of versions that no partition names, as a job killed before its switch leaves them; returns how many.
+
+    It asks the catalog for every partition's folder, so it is for maintenance, not for each load.
+    """
+    used = [_folder(spark, table, _spec(row["partition"])) for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    versions = [path.toString() for path in rows.listed(spark, f"{rows.location(spark, table)}/{VERSIONS}/*")]
+    unused = [version for version in versions if not any(folder.startswith(f"{version}/") for folder in used)]
+    for version in unused:
+        rows.delete_path(spark, version)
+    return len(unused)
+
+
 def switch_partitions(
     spark: SparkSession, table: str, fill: list[str], new: dict[tuple, str], old: dict[tuple, str]
 ) -> None:
     """The statements of a switch: partitions that stay, then those that come, then those that go."""
     clause = {key: partition_clause(dict(zip(fill, key))) for key in {*new, *old}}
     for key in sorted(new.keys() & old.keys(), key=str):
-        spark.sql(f"ALTER TABLE {table} {clause[key]} SET LOCATION {literal(new[key])}")
-    added = [f"{clause[key]} LOCATION {literal(new[key])}" for key in sorted(new.keys() - old.keys(), key=str)]
+        spark.sql(f"ALTER TABLE {table} {clause[key]} SET LOCATION {sql_text(new[key])}")
+    added = [f"{clause[key]} LOCATION {sql_text(new[key])}" for key in sorted(new.keys() - old.keys(), key=str)]
     if added:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
     gone = [clause[key] for key in sorted(old.keys() - new.keys(), key=str)]

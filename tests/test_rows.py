@@ -86,7 +86,7 @@ def test_crash_before_the_first_swap_changes_nothing(spark, loaded, monkeypatch)
     assert files(spark, loaded) == before and sum(content(spark, loaded).values()) == 6
     tables.delete_range(spark, [loaded], AUGUST)
     assert content(spark, loaded) == OUTSIDE
-    assert rows._listed(spark, f"{rows._location(spark, loaded)}/{rows._REWRITES}*") == []
+    assert rows.listed(spark, f"{rows.location(spark, loaded)}/{rows._REWRITES}*") == []
 
 
 def test_rerun_converges_after_a_crash_between_swaps(spark, loaded, monkeypatch):

@@ -37,9 +37,10 @@ def test_window_equals_batch_and_old_folders_go(spark, loaded):
     for _ in range(3):
         tables.window_replace(rows_of(spark, *BATCH, amount=5), loaded, AUGUST, publish=tables.SWITCH)
         assert content(spark, loaded) == AFTER
-        root = Path(rows._location(spark, loaded).removeprefix("file:"))
+        root = Path(rows.location(spark, loaded).removeprefix("file:"))
         files = [p for p in root.rglob("*.parquet")]
         assert len(files) == 5
+        assert len(list((root / tables.VERSIONS).iterdir())) == 1
     assert {s["TrxDate"] for s in tables.partitions_in(spark, loaded, AUGUST)} == set(BATCH)
 
 
@@ -65,6 +66,9 @@ def test_crash_between_write_and_switch_leaves_the_old_window(spark, loaded, mon
     assert content(spark, loaded) == before
     tables.window_replace(rows_of(spark, *BATCH, amount=5), loaded, AUGUST, publish=tables.SWITCH)
     assert content(spark, loaded) == AFTER
+    # What the killed job wrote lies there until it is cleared; what is in use stays.
+    assert [tables.drop_unused_versions(spark, loaded) for _ in range(2)] == [1, 0]
+    assert content(spark, loaded) == AFTER
 
 
 def test_crash_while_switching_shows_whole_days_and_a_rerun_converges(spark, loaded, monkeypatch):
@@ -189,7 +193,7 @@ def test_monthly_job_refuses_tables_without_windows_first(spark, loaded):
     for final, recent in ((nothing, loaded), (loaded, nothing)):
         with pytest.raises(ValueError, match="no windows"):
             jobs.monthly_settlement(sources, AUGUST, rule, root, final, recent)
-    assert rows._listed(spark, f"{root}/*") == []
+    assert rows.listed(spark, f"{root}/*") == []
     assert spark.table(nothing).count() == 3
 
 
