@@ -11,6 +11,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from faresettle.operators.sums import fits, part_names, split, whole_amounts
+
 # Codes of the detail lines that the report counts.
 FARE_VAT = "FA"
 TAX_VAT = "TA"
@@ -51,21 +53,45 @@ class Details:
         with_vat = add_details(headers, vat_by_parent(self.vat, self.parent), key, self.parent)
         return add_details(with_vat, yr_tax_by_parent(self.tax, self.parent), key, self.parent)
 
+    def add_parts_to(self, headers: DataFrame, key: str) -> DataFrame:
+        """``add_to`` with sums in whole numbers (``sums``), if the lines' amounts fit."""
+        with_vat = add_details(headers, vat_parts(self.vat, self.parent), key, self.parent)
+        return add_details(with_vat, yr_tax_parts(self.tax, self.parent), key, self.parent)
+
+
+# Digits of a sum of amounts.
+SUM_PRECISION = 28
+
 
 def vat_by_parent(vat: DataFrame, parent: str) -> DataFrame:
     """Fare VAT and YR VAT per parent, in both currencies."""
-    return vat.groupBy(parent).agg(
-        *[F.expr(f"sum(CASE WHEN {test} THEN {amount} ELSE 0 END) AS {name}") for name, (test, amount) in VAT_BUCKETS.items()]
-    )
+    return whole_amounts(vat_parts(vat, parent), tuple(VAT_BUCKETS), SUM_PRECISION)
+
+
+def vat_parts(vat: DataFrame, parent: str) -> DataFrame:
+    """``vat_by_parent`` in whole numbers, if the amounts fit."""
+    sums = {}
+    for name, (test, amount) in VAT_BUCKETS.items():
+        whole = fits(vat, amount)
+        columns = zip(part_names((name,)), split(amount)) if whole else [(name, amount)]
+        sums |= {column: f"sum(CASE WHEN {test} THEN {value} ELSE 0 END) AS {column}" for column, value in columns}
+    return vat.groupBy(parent).agg(*map(F.expr, sums.values()))
+
+
+YR_SUMS = {"yr_tmfa": "tmfa", "yr_tmff": "tmff"}
 
 
 def yr_tax_by_parent(tax: DataFrame, parent: str) -> DataFrame:
     """YR tax per parent, in both currencies."""
-    return (
-        tax.filter(f"tmft = '{YR_TAX}'")
-        .groupBy(parent)
-        .agg(*null_safe_sums({"yr_tmfa": "tmfa", "yr_tmff": "tmff"}))
-    )
+    return whole_amounts(yr_tax_parts(tax, parent), tuple(YR_SUMS), SUM_PRECISION)
+
+
+def yr_tax_parts(tax: DataFrame, parent: str) -> DataFrame:
+    """``yr_tax_by_parent`` in whole numbers, if the amounts fit."""
+    parts = {}
+    for name, amount in YR_SUMS.items():
+        parts |= dict(zip(part_names((name,)), split(amount))) if fits(tax, amount) else {name: amount}
+    return tax.filter(f"tmft = '{YR_TAX}'").groupBy(parent).agg(*null_safe_sums(parts))
 
 
 def add_details(headers: DataFrame, details: DataFrame, key: str, parent: str) -> DataFrame:

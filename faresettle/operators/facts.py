@@ -1,4 +1,4 @@
-"""Sales and refunds brought to one shape: keys, ticket, 16 amounts, copies."""
+"""Sales and refunds brought to one shape: keys, ticket, 16 amounts in whole numbers, copies."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from faresettle.functions.windows import DateWindow
 from faresettle.operators.details import null_safe_sums
+from faresettle.operators.sums import in_parts
 from faresettle.plans.contract import AMOUNTS, BASE_MEASURES
 
 
@@ -21,6 +22,12 @@ def header_columns(branch: str) -> list[str]:
     return sorted({column for m in BASE_MEASURES if not m.from_details for column in getattr(m, branch)})
 
 
+def amount_parts(rows: DataFrame, branch: str) -> dict[str, str]:
+    """The branch's amounts in whole numbers, column -> expression over ``rows``; plain amounts where they are too wide."""
+    from_details = frozenset(column for m in BASE_MEASURES if m.from_details for column in getattr(m, branch))
+    return in_parts(rows, amount_columns(branch), from_details)
+
+
 def issued_in_window(emis: DataFrame, window: DateWindow) -> DataFrame:
     return emis.filter(window.contains(F.col("dais"))).select("tdnr")
 
@@ -59,8 +66,10 @@ def sale_fact(payments: DataFrame, issues: DataFrame) -> DataFrame:
 
     Both sides are first summed to the columns the report groups by, so a ticket
     with very many payments and issues yields no more rows than report groups.
+    Amounts are in whole numbers (``sums``), as are those of refunds.
     """
-    payments = payments.groupBy("tdnr", "peri", "fptp", "cuop").agg(*null_safe_sums(amount_columns("sale")))
+    parts = amount_parts(payments, "sale")
+    payments = payments.groupBy("tdnr", "peri", "fptp", "cuop").agg(*null_safe_sums(parts))
     return payments.join(issues, "tdnr").selectExpr(
         "'Sale' AS Type",
         "srci AS Source",
@@ -69,7 +78,7 @@ def sale_fact(payments: DataFrame, issues: DataFrame) -> DataFrame:
         "fptp AS FOP",
         "cuop AS CCY",
         "tdnr AS ticket",
-        *AMOUNTS,
+        *parts,
         "copies",
     )
 
@@ -84,7 +93,7 @@ def refund_fact(refunds: DataFrame) -> DataFrame:
         "fptp AS FOP",
         "cutp AS CCY",
         "utnr AS ticket",
-        *[f"{column} AS {name}" for name, column in amount_columns("refund").items()],
+        *[f"{part} AS {name}" for name, part in amount_parts(refunds, "refund").items()],
         "1L AS copies",
     )
 

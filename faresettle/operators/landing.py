@@ -46,3 +46,7 @@ class LandedDetails:
         """Left joins: headers without details stay, with null sums. Headers in as many buckets of ``key`` do not move either."""
         with_vat = add_details(headers, self.sums(self.vat, VAT_SUMS), key, self.parent)
         return add_details(with_vat, self.sums(self.tax, YR_SUMS), key, self.parent)
+
+    def add_parts_to(self, headers: DataFrame, key: str) -> DataFrame:
+        """``add_to``: landed sums are amounts."""
+        return self.add_to(headers, key)

@@ -21,6 +21,7 @@ from faresettle.operators.facts import (
 from faresettle.operators.landing import LandedDetails
 from faresettle.operators.parameters import attach_parameters
 from faresettle.operators.setops import union_all
+from faresettle.operators.sums import are_parts, part_names, whole_amounts
 from faresettle.plans.contract import AMOUNTS, IDENTITIES, KEYS, MONEY_SUM, REPORT_COLUMNS
 from faresettle.session import Staging, runtime_filter_for
 
@@ -62,7 +63,7 @@ def sales(sources: SettlementSources, window: DateWindow, staging: Staging | Non
     details = sources.payment_details()
     issues = issues_by_ticket(sources.emis, window)
     if not staging:
-        return sale_fact(details.add_to(payments_in_window(sources.payt, sources.emis, window), "sqnu"), issues)
+        return sale_fact(details.add_parts_to(payments_in_window(sources.payt, sources.emis, window), "sqnu"), issues)
     issues, count = staging.write_counted(keyed(issues, window), "issues")
     with runtime_filter_for(staging.spark, count):
         payments, count = staged_headers(payments_of(sources.payt, of_window(issues, window)), details, window, staging, "payments")
@@ -73,7 +74,7 @@ def refunds(sources: SettlementSources, window: DateWindow, staging: Staging | N
     headers = refunds_in_window(sources.rmbt, window)
     details = sources.refund_details()
     if not staging:
-        return refund_fact(details.add_to(headers, "sqnu"))
+        return refund_fact(details.add_parts_to(headers, "sqnu"))
     headers, count = staged_headers(headers, details, window, staging, "refunds")
     return refund_fact(staged_details(headers, count, details, window, staging, "refunds"))
 
@@ -111,7 +112,7 @@ def staged_details(
 
 
 def with_details(headers: DataFrame, details: Details | LandedDetails, window: DateWindow) -> DataFrame:
-    return details.add_to(of_window(headers, window), "sqnu")
+    return details.add_parts_to(of_window(headers, window), "sqnu")
 
 
 def window_tickets(staging: Staging) -> DataFrame:
@@ -124,14 +125,17 @@ def settle(facts: list[DataFrame], para: DataFrame, dom_int: DomIntRule) -> Data
     """Sum facts of one or both types to report groups: keys and base sums.
 
     Facts are summed to all that a report row and its label depend on before the parameter rows are
-    attached, so these meet sums and not facts. The result has ``isoc`` and the day itself, which
+    attached, so these meet sums and not facts. Amounts are summed in whole numbers and unweighted, by the number of equal issues,
+    which then weights the sums. The result has ``isoc`` and the day itself, which
     the report groups by but does not show.
     """
-    rows = dom_int.prepare(union_all(facts))
+    parts = all(are_parts(fact, AMOUNTS) for fact in facts)
+    names = part_names(AMOUNTS) if parts else AMOUNTS
+    rows = dom_int.prepare(union_all(facts if parts else [whole_amounts(fact, AMOUNTS) for fact in facts]))
     keys = ("Type", "Source", "RptPeriod", "trx_day", "FOP", "CCY")
-    sums = rows.groupBy(*keys, *dom_int.inputs).agg(*[F.expr(f"{_weighted_sum(name, 'copies')} AS {name}") for name in AMOUNTS])
+    sums = whole_amounts(rows.groupBy(*keys, *dom_int.inputs, "copies").agg(*[F.sum(name).alias(name) for name in names]), AMOUNTS)
     labelled = attach_parameters(sums, para).withColumn("DomInt", dom_int.label(F.col("ticket"), F.col("isoc")))
-    copies = "coalesce(para_copies, 1)"
+    copies = "(copies * coalesce(para_copies, 1))"
     return labelled.groupBy(*keys, "DomInt", "isoc", "cutp").agg(
         *[F.expr(f"{_weighted_sum(name, copies)} AS {name}") for name in AMOUNTS]
     )

@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter, defaultdict
+from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -313,3 +314,37 @@ def test_identities_and_net_total(spark):
     assert quality.broken_identities(spoiled).count() == report.count()
     summary = {row.identity: row.broken for row in quality.identity_summary(spoiled).collect()}
     assert summary["Net"] == report.count() and summary["Net_COA"] == 0
+
+
+LARGEST = Decimal("9999999999999999.99")
+
+
+def test_largest_amounts_are_summed_exactly(spark):
+    tables = {
+        "payt": [payment(k, f"A{k % 3}", str(LARGEST if k % 3 else -LARGEST), fpaf=-LARGEST, vatc=LARGEST, vatf=Decimal("-0.01")) for k in range(1, 30)],
+        "emis": [issue(f"A{k}") for k in range(3) for _ in range(1 + 700 * k)],
+        "payt_vatc": [{"payt_sqnu": 1 + k % 7, "vat_type": "FA", "vatc": LARGEST, "vatf": -LARGEST} for k in range(40)],
+        "rmbt": [refund(k, f"B{k}", str(-LARGEST)) for k in range(20)],
+        "rmbt_txca": [{"rmbt_id": k % 4, "tmft": "YR", "tmfa": LARGEST, "tmff": Decimal("-1.01")} for k in range(30)],
+        "para": ONE,
+    }
+    check(spark, tables)
+
+
+def test_amounts_are_summed_in_whole_numbers(spark, capsys):
+    """Sums of decimals, at some microseconds a row and column, took most of the report's time."""
+    report = settlement_report(frames(spark, {"para": ONE}), WINDOW, RULE)
+    report.explain("formatted")
+    plan = capsys.readouterr().out
+    first = [line for line in plan.splitlines() if "partial_sum(" in line]
+    whole = [line for line in first if "shiftright" in line or "_high" in line]
+    # Details of payments and refunds, payments by ticket, facts; last the weighted sums of the groups.
+    assert len(whole) == 6 and len(first) == 7
+
+
+def test_wider_amounts_are_summed_as_they_are(spark):
+    tables = {"payt": [payment(1, "A1", "1.25"), payment(2, "A1", "2.50")], "emis": [issue("A1"), issue("A1")], "para": ONE}
+    sources = frames(spark, tables)
+    wide = {c: F.col(c).cast("decimal(30,4)") for c in ("fpam", "fpaf")}
+    rows = settlement_report(replace(sources, payt=sources.payt.withColumns(wide)), WINDOW, RULE).collect()
+    assert Counter(map(tuple, rows)) == Counter(brute_force(tables))
