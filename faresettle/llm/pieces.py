@@ -397,23 +397,17 @@ class Segmenter:
             ways = [(more + old, (*way, (k, j)) if j else way) for old, way in combined for j, more in lost]
             combined = sorted(ways, key=lambda x: x[0])[:n]
         total = float(score[:, 0].sum())
-        ids, decoded = [], decode(best.tolist()) == text
+        ids = []
         for _, way in combined:
             at, parts = 0, []
             for k, j in sorted(way):
-                other = self.known.path(segments[k], j)
-                # The rest is the best path's, so the text is the same if this segment is.
-                decoded &= self._spelled(other) == self._spelled(best[begin[k] : begin[k + 1]])
-                parts += [best[at : begin[k]], other]
+                parts += [best[at : begin[k]], self.known.path(segments[k], j)]
                 at = begin[k + 1]
             ids.append(np.concatenate([*parts, best[at:]]) if way else best)
-        return Paths(ids, [total - lost for lost, _ in combined]), decoded
+        return Paths(ids, [total - lost for lost, _ in combined]), all(decode(path.tolist()) == text for path in ids)
 
-    def _spelled(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids.tolist()))
 
-
-ENCODED = "doc_id long, ids array<int>, n_pieces long, score double, scores array<double>, digests array<long>, decoded boolean"
+ENCODED = "doc_id long, ids array<int>, n_pieces long, score double, scores array<double>, digests array<long>, decoded boolean, segmentations array<array<int>>"
 _SEGMENTERS: dict[tuple[str, int], Segmenter] = {}
 
 
@@ -424,9 +418,17 @@ def _segmenter(held, key: tuple[str, int]) -> Segmenter:
     return _SEGMENTERS[key]
 
 
+def _nested(sizes: list[int], values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), values)
+
+
+def _lists(paths: list[np.ndarray]) -> pa.ListArray:
+    return _nested([len(path) for path in paths], pa.array(np.concatenate(paths), pa.int32()))
+
+
 def encode_documents(documents: DataFrame, model: str = MODEL, n_best: int = N_BEST) -> DataFrame:
     """`ENCODED` per row of `documents`: the best ids, how many, all n scores and checksums (CRC-32 of the ids as
-    little-endian int32), and whether each of the n segmentations decodes to the text.
+    little-endian int32), whether each of the n segmentations decodes to the text, and the ids of all n, best first.
 
     A null or empty text has one segmentation, without pieces, of score 0. Null ids stay null, repeated rows come out
     repeated, other columns are ignored, an empty table gives no rows. No shuffle; a task holds a few MB of text or one row, and some bytes a character of
@@ -441,19 +443,18 @@ def encode_documents(documents: DataFrame, model: str = MODEL, n_best: int = N_B
             for part in slices(batch, "text", SLICE_BYTES):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 rows = [
-                    (paths.ids[0], paths.scores, [zlib.crc32(i.astype("<i4").tobytes()) for i in paths.ids], decoded)
+                    (paths.ids, paths.scores, [zlib.crc32(i.astype("<i4").tobytes()) for i in paths.ids], decoded)
                     for paths, decoded in segmenter.encode(texts)
                 ]
-                sizes = np.array([len(r[0]) for r in rows], np.int64)
-                ids = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.concatenate([r[0] for r in rows]), pa.int32())
-                )
+                sizes = np.array([len(r[0][0]) for r in rows], np.int64)
+                ids = _lists([r[0][0] for r in rows])
+                segmentations = _nested([len(r[0]) for r in rows], _lists([path for r in rows for path in r[0]]))
                 columns = [
                     part.column(0), ids, pa.array(sizes), pa.array([r[1][0] for r in rows], pa.float64()),
                     pa.array([r[1] for r in rows], pa.list_(pa.float64())), pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-                    pa.array([r[3] for r in rows], pa.bool_()),
+                    pa.array([r[3] for r in rows], pa.bool_()), segmentations,
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_pieces", "score", "scores", "digests", "decoded"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_pieces", "score", "scores", "digests", "decoded", "segmentations"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, ENCODED)

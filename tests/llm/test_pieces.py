@@ -146,3 +146,22 @@ def test_unbroken_text_needs_some_bytes_a_character(vocabulary):
     tracemalloc.stop()
     assert decoded and len(paths.ids) == 3
     assert peak < 25 << 20
+
+
+def test_all_segmentations_are_returned_and_decode(documents, vocabulary):
+    """The ids of each of the n best paths, not the first one's and checksums of the others."""
+    rows = [(1, "hello world"), (2, None), (3, "therefore the é\nend"), (4, "a")]
+    for row in pieces.encode_documents(documents(rows)).collect():
+        text = dict(rows)[row["doc_id"]] or ""
+        assert row["segmentations"][0] == row["ids"] and len(row["segmentations"]) == len(row["scores"])
+        assert [zlib.crc32(np.array(p, "<i4").tobytes()) for p in row["segmentations"]] == row["digests"]
+        assert all(vocabulary.decode(p) == text for p in row["segmentations"])
+        assert len({tuple(p) for p in row["segmentations"]}) == len(row["segmentations"]) == (3 if text else 1)
+
+
+def test_a_segmentation_that_does_not_decode_is_told():
+    """Also one that is not the best: each is decoded."""
+    wrong = small(["ab", "a", "b", " "])
+    wrong.bytes_of[wrong.pieces["a"]] = b"x"
+    (paths, decoded), = pieces.Segmenter(wrong, 2).encode(["ab"])
+    assert wrong.decode(paths.ids[0].tolist()) == "ab" and not decoded
