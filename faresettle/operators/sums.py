@@ -45,7 +45,7 @@ def split(column: str) -> tuple[str, str]:
 def in_parts(rows: DataFrame, amounts: dict[str, str], sums: frozenset[str] = frozenset()) -> dict[str, str]:
     """Column -> expression: both parts of each of ``amounts`` (name -> column), of which ``sums`` are sums already, or come in parts.
 
-    If any is no decimal of such size, as where a source has wider ones, the columns come back as they are.
+    If any is no decimal of such size, as where a source has wider ones, all come back as amounts.
     """
     parts: dict[str, str] = {}
     for name, column in amounts.items():
@@ -56,7 +56,7 @@ def in_parts(rows: DataFrame, amounts: dict[str, str], sums: frozenset[str] = fr
         elif column in sums and fits(rows, column, SUM_DIGITS):
             parts |= {high(name): f"({column} div {_UNIT})", low(name): f"CAST(({column} % {_UNIT}) * 100 AS BIGINT)"}
         else:
-            return dict(amounts)
+            return {name: put_together(column) if are_parts(rows, (column,)) else column for name, column in amounts.items()}
     return parts
 
 
