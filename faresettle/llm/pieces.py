@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -22,7 +20,7 @@ N_BEST = 3
 SPACE = "▁"
 # A character without a piece costs this much more than the worst piece, and is written as its bytes.
 UNKNOWN_PENALTY = 10.0
-# Texts that are taken apart together, segments whose paths a worker remembers, segments solved together.
+# Texts that are taken apart together, segments whose paths a worker remembers (half of them are forgotten beyond), segments solved together.
 SLICE_BYTES = 2 << 20
 REMEMBERED = 350_000
 SOLVED_CELLS = 1 << 20
@@ -79,32 +77,68 @@ class Paths:
 
 
 class _Known:
-    """The best paths of the segments met so far, by the segment's number: where their ids lie, and their scores."""
+    """The best paths of the segments met so far, by the segment's number: where their ids lie, and their scores.
+
+    Segments are named by their UTF-8. The ids of a segment's paths lie one path after the other. `met` counts the slices of text
+    that hold a segment, `last` is the last of them.
+    """
 
     def __init__(self, n_best: int) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 16, np.int32)
-        self.used = 0
-        self.begin = np.zeros((1 << 12, n_best), np.int64)
-        self.size = np.zeros((1 << 12, n_best), np.int64)
-        self.score = np.full((1 << 12, n_best), -np.inf)
+        self.used = self.slice = 0
+        self.begin = np.zeros(1 << 12, np.int64)
+        self.size = np.zeros((1 << 12, n_best), np.int32)
+        self.score = np.zeros((1 << 12, n_best))
+        self.met = np.zeros(1 << 12, np.int32)
+        self.last = np.zeros(1 << 12, np.int32)
 
     def reserve(self, segments: int) -> None:
-        while len(self.begin) < segments:
-            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-            self.score = np.concatenate([self.score, np.full_like(self.score, -np.inf)])
+        if len(self.begin) >= segments:
+            return
+        for name in ("begin", "size", "score", "met", "last"):
+            old = getattr(self, name)
+            new = np.zeros((segments * 3 // 2, *old.shape[1:]), old.dtype)
+            new[: len(old)] = old
+            setattr(self, name, new)
 
     def keep(self, rows: np.ndarray, ids: np.ndarray, sizes: np.ndarray, scores: np.ndarray) -> None:
         """Paths of the segments in `rows`, all ids one after the other."""
-        while len(self.ids) < self.used + len(ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        if len(self.ids) < self.used + len(ids):
+            more = np.zeros((self.used + len(ids)) * 3 // 2, np.int32)
+            more[: self.used] = self.ids[: self.used]
+            self.ids = more
         self.ids[self.used : self.used + len(ids)] = ids
-        self.begin[rows] = self.used + (np.cumsum(sizes) - sizes.ravel()).reshape(sizes.shape)
+        whole = sizes.sum(1)
+        self.begin[rows] = self.used + np.cumsum(whole) - whole
         self.size[rows], self.score[rows] = sizes, scores
+        self.met[rows] = 0
         self.used += len(ids)
 
+    def meet(self, rows: np.ndarray) -> None:
+        """The segments that a slice of text holds."""
+        self.slice += 1
+        self.met[rows] += 1
+        self.last[rows] = self.slice
+
+    def forget(self, most: int) -> None:
+        """All but `most` segments: those met in most slices stay, of these those met last; earlier meetings count half."""
+        count = len(self.number)
+        most = min(most, count)
+        worth = self.met[:count].astype(np.int64) << 32 | self.last[:count]
+        rows = np.sort(np.argpartition(worth, count - most)[count - most :]) if most else np.zeros(0, np.int64)
+        stays = np.zeros(count, bool)
+        stays[rows] = True
+        # Numbers follow the order in which the segments were learnt.
+        self.number = {name: k for k, name in enumerate(name for name, stay in zip(self.number, stays.tolist()) if stay)}
+        whole, begin = self.size[rows].sum(1), self.begin[rows]
+        ends = np.cumsum(whole)
+        self.used = int(ends[-1]) if most else 0
+        self.ids = self.ids[np.repeat(begin - ends + whole, whole) + np.arange(self.used)]
+        self.begin, self.size, self.score, self.met, self.last = ends - whole, self.size[rows], self.score[rows], self.met[rows] // 2, self.last[rows]
+
     def path(self, segment: int, rank: int) -> np.ndarray:
-        begin = self.begin[segment, rank]
+        begin = self.begin[segment] + self.size[segment, :rank].sum()
         return self.ids[begin : begin + self.size[segment, rank]]
 
 
@@ -124,18 +158,20 @@ class Segmenter:
         self.known = _Known(self.n_best)
         names = list(self.vocabulary.pieces)
         self.longest = max(map(len, names), default=1)
-        whole = any(" " in p.lstrip(" ") or "\n" in p for p in names)
-        self.cut = re.compile(r"(?s).+" if whole else r" *[^ \n]+| +|\n")
+        self.whole = any(" " in p.lstrip(" ") or "\n" in p for p in names)
+        self.spelled = pa.array(self.vocabulary.bytes_of, pa.large_binary())
         top = max(4096, self.longest + 1)
         self.power = self._powers(_MULTIPLIER, top)
         self.inverse = self._powers(pow(_MULTIPLIER, -1, 1 << 64), top)
-        hashes = np.array([self._hash(p) for p in names], np.uint64)
+        starts = list(dict.fromkeys(p[:k] for p in names for k in range(1, len(p) + 1)))
+        hashes = np.array([self._hash(p) for p in starts], np.uint64)
         self.hashes = hashes
         if len(np.unique(hashes)) < len(hashes):
-            raise ValueError("two pieces share a hash")
-        self.ids = np.array([self.vocabulary.pieces[p] for p in names], np.int64)
-        self.scores = np.array([self.vocabulary.scores[p] for p in names], np.float64)
-        # Where a hash's leading bits point to; pieces that find their place taken are few and searched apart.
+            raise ValueError("two beginnings of pieces share a hash")
+        # Of the beginnings that are no pieces, the ids are -1.
+        self.ids = np.array([self.vocabulary.pieces.get(p, -1) for p in starts], np.int32)
+        self.scores = np.array([self.vocabulary.scores.get(p, -np.inf) for p in starts], np.float64)
+        # Where a hash's leading bits point to; beginnings that find their place taken are few and searched apart.
         self.table = np.full(1 << 20, -1, np.int32)
         lead = (hashes >> np.uint64(44)).astype(np.int64)
         self.table[lead[::-1]] = np.arange(len(hashes), dtype=np.int32)[::-1]
@@ -143,8 +179,9 @@ class Segmenter:
         self.shared = np.zeros(1 << 20, bool)
         self.shared[lead[self.crowded]] = True
         self.crowded = self.crowded[np.argsort(hashes[self.crowded])]
-        self.unknown = float(self.scores.min(initial=0.0)) - UNKNOWN_PENALTY
-        ordinary = self.scores[self.scores > -1e8]
+        scores = np.array([self.vocabulary.scores[p] for p in names], np.float64)
+        self.unknown = float(scores.min(initial=0.0)) - UNKNOWN_PENALTY
+        ordinary = scores[scores > -1e8]
         if len(ordinary):
             self.unknown = float(ordinary.min()) - UNKNOWN_PENALTY
         self.first_unknown = len(self.vocabulary.bytes_of)
@@ -159,7 +196,7 @@ class Segmenter:
         return sum((ord(c) + 1) * pow(_MULTIPLIER, k, 1 << 64) for k, c in enumerate(piece)) * _MULTIPLIER % (1 << 64)
 
     def _lookup(self, hashes: np.ndarray) -> np.ndarray:
-        """The place of each hash among the pieces, or -1."""
+        """The place of each hash among the beginnings of pieces, or -1."""
         lead = (hashes >> np.uint64(44)).astype(np.int64)
         out = self.table[lead]
         if not len(self.hashes):
@@ -173,12 +210,13 @@ class Segmenter:
             out[again] = np.where(held[at] == hashes[again], self.crowded[at], -1)
         return out
 
-    def solve(self, segments: list[str]) -> None:
+    def solve(self, names: list[bytes]) -> None:
         """Learn the n best paths of new segments; those of like length are searched side by side."""
         known = self.known
         first = len(known.number)
-        known.reserve(first + len(segments))
-        known.number.update(zip(segments, range(first, first + len(segments))))
+        known.reserve(first + len(names))
+        known.number.update(zip(names, range(first, first + len(names))))
+        segments = [name.decode("utf-8", "surrogatepass") for name in names]
         lengths = np.fromiter(map(len, segments), np.int64, len(segments))
         widths = np.where(lengths <= 16, lengths, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
         for k in np.flatnonzero(lengths > LONG).tolist():
@@ -202,23 +240,35 @@ class Segmenter:
             self.power, self.inverse = (self._powers(b, width + 1) for b in (_MULTIPLIER, pow(_MULTIPLIER, -1, 1 << 64)))
         rolled = np.zeros((len(segments), width + 1), np.uint64)
         np.cumsum((codes + np.uint64(1)) * self.power[:width], axis=1, dtype=np.uint64, out=rolled[:, 1:])
-        reach = min(width, self.longest)
-        score = np.full((len(segments), width + 1, reach + 1), -np.inf)
-        piece = np.full((len(segments), width + 1, reach + 1), -1, np.int64)
-        used = 1
-        for length in range(1, reach + 1):
-            parts = (rolled[:, length:] - rolled[:, :-length]) * self.inverse[: width + 1 - length] * np.uint64(_MULTIPLIER)
-            at = self._lookup(parts)
-            hit = at >= 0
-            if hit.any():
-                used = length
-                score[:, length:, length][hit] = self.scores[at[hit]]
-                piece[:, length:, length][hit] = self.ids[at[hit]]
-        alone = (piece[:, 1:, 1] < 0) & (np.arange(width) < sizes[:, None])
-        score[:, 1:, 1][alone] = self.unknown
-        piece[:, 1:, 1][alone] = self.first_unknown + codes[alone].astype(np.int64)
+        rolled = rolled.ravel()
+        # Where pieces may still begin: only what begins as a piece does is looked up with a character more.
+        inside = np.arange(width) < sizes[:, None]
+        row, start = np.nonzero(inside)
+        cell, left, back = row * (width + 1) + start, sizes[row] - start, self.inverse[start] * np.uint64(_MULTIPLIER)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for length in range(1, min(width, self.longest) + 1):
+            if length > 1:
+                more = left >= length
+                cell, left, back = cell[more], left[more], back[more]
+            at = self._lookup((rolled[cell + length] - rolled[cell]) * back)
+            begins = at >= 0
+            cell, left, back, at = cell[begins], left[begins], back[begins], at[begins]
+            if not len(cell):
+                break
+            hit = self.ids[at] >= 0
+            found.append((cell[hit] + length, at[hit]))
         # Lengths that no segment here has a piece of are left out.
-        return score[:, :, : used + 1], piece[:, :, : used + 1], sizes
+        used = max([1, *(length for length, (cell, _) in enumerate(found, 1) if len(cell))])
+        score = np.full((len(segments) * (width + 1), used + 1), -np.inf)
+        piece = np.full(score.shape, -1, np.int32)
+        for length, (cell, at) in enumerate(found[:used], 1):
+            score[cell, length] = self.scores[at]
+            piece[cell, length] = self.ids[at]
+        score, piece = (x.reshape(len(segments), width + 1, used + 1) for x in (score, piece))
+        alone = (piece[:, 1:, 1] < 0) & inside
+        score[:, 1:, 1][alone] = self.unknown
+        piece[:, 1:, 1][alone] = self.first_unknown + codes[alone].astype(np.int32)
+        return score, piece, sizes
 
     def _search(self, segments: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Forward Viterbi scores, then A* from each segment's end to its beginning.
@@ -239,6 +289,9 @@ class Segmenter:
             back = min(position, reach)
             via[:, position, 1 : back + 1] = ahead[:, position - back : position][:, ::-1] + score[:, position, 1 : back + 1]
             ahead[:, position] = via[:, position].max(1)
+        # By row of a segment and a position in it. An entry at the beginning stays there and gains nothing.
+        rows, via, gain, piece = np.arange(count) * (width + 1), via.reshape(-1, reach + 1), score.ravel(), piece.ravel()
+        gain[:: reach + 1] = 0
         place = np.zeros((count, n), np.int64)
         place[:, 0] = sizes
         gained = np.full((count, n), -np.inf)
@@ -247,23 +300,28 @@ class Segmenter:
         active = np.flatnonzero(sizes > 0)
         while len(active):
             at, got = place[active], gained[active]
-            total = (got[:, :, None] + via[active[:, None], at]).reshape(len(active), -1)
+            spot = at + rows[active, None]
+            total = via.take(spot.ravel(), 0).reshape(len(active), n, reach + 1)
+            total += got[:, :, None]
+            total = total.reshape(len(active), -1)
+            first = np.arange(len(active)) * total.shape[1]
             chosen = np.empty((len(active), n), np.int64)
-            local = np.arange(len(active))
             worth = np.empty((len(active), n))
             for k in range(n):
                 chosen[:, k] = total.argmax(1)
-                worth[:, k] = total[local, chosen[:, k]]
-                total[local, chosen[:, k]] = -np.inf
-            parent, length = chosen // (reach + 1), chosen % (reach + 1)
+                here = first + chosen[:, k]
+                worth[:, k] = total.ravel().take(here)
+                total.ravel()[here] = -np.inf
+            # Where no entry is left, `chosen` is 0.
+            parent, length = np.divmod(chosen, reach + 1)
             none = worth == -np.inf
-            parent[none], length[none] = 0, 0
-            old = np.take_along_axis(at, parent, 1)
-            taken = np.where(length > 0, piece[active[:, None], old, length], -1)
-            gained[active] = np.where(none, -np.inf, np.take_along_axis(got, parent, 1) + np.where(length > 0, score[active[:, None], old, length], 0.0))
-            place[active] = np.where(none, 0, old - length)
-            steps.append((active, parent, taken))
-            active = active[(place[active] > 0).any(1)]
+            came = parent + (np.arange(len(active)) * n)[:, None]
+            edge = spot.ravel().take(came) * (reach + 1) + length
+            now, gains = at.ravel().take(came) - length, got.ravel().take(came) + gain.take(edge)
+            now[none], gains[none] = 0, -np.inf
+            place[active], gained[active] = now, gains
+            steps.append((active, parent, piece.take(edge)))
+            active = active[(now > 0).any(1)]
         ids, path_sizes = self._paths(count, steps)
         return ids, path_sizes, gained
 
@@ -358,34 +416,74 @@ class Segmenter:
     def _bytes(self, code: int) -> list[int]:
         return [self.vocabulary.byte_ids[b] for b in chr(code - self.first_unknown).encode("utf-8", "surrogatepass")]
 
+    def _cut(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The distinct segments of texts, which of them each segment is, and where each text's segments begin and the last one's end."""
+        joined = b"".join(texts)
+        data = np.frombuffer(joined, np.uint8)
+        bounds = np.concatenate(([0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))))
+        first = np.zeros(len(data) + 1, bool)
+        first[bounds] = True
+        if not self.whole and len(data):
+            space, line = data == 0x20, data == 0x0A
+            first[:-1] |= line
+            first[1:] |= line
+            first[1:-1] |= space[1:] & ~space[:-1]
+        begin = np.flatnonzero(first)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(begin) - 1, [None, pa.py_buffer(begin), pa.py_buffer(joined)]).dictionary_encode()
+        _, offsets, held = parts.dictionary.buffers()
+        ends = np.frombuffer(offsets, np.int64)[: len(parts.dictionary) + 1].tolist()
+        held = held.to_pybytes() if held is not None else b""
+        return [held[low:high] for low, high in zip(ends, ends[1:])], parts.indices.to_numpy(), np.searchsorted(begin, bounds)
+
     def encode(self, texts: list[str]) -> Iterator[tuple[Paths, bool]]:
         """The n best segmentations of each text, best first, and whether all decode to it; the empty text has one, without pieces."""
-        cut = [self.cut.findall(f" {text}") if text else [] for text in texts]
+        spaced = [f" {text}".encode("utf-8", "surrogatepass") if text else b"" for text in texts]
         if len(self.known.number) > REMEMBERED:
-            self.known = _Known(self.n_best)
+            self.known.forget(REMEMBERED // 2)
         known = self.known
-        flat = list(chain.from_iterable(cut))
-        self.solve(list(set(flat).difference(known.number)))
-        segment = np.fromiter(map(known.number.__getitem__, flat), np.int64, len(flat))
-        size, begin = known.size[segment, 0], known.begin[segment, 0]
+        names, which, bounds = self._cut(spaced)
+        self.solve([name for name in names if name not in known.number])
+        numbers = np.fromiter(map(known.number.__getitem__, names), np.int64, len(names))
+        known.meet(numbers)
+        segment = numbers[which]
+        size, begin = known.size[segment, 0].astype(np.int64), known.begin[segment]
         ends = np.cumsum(size)
         best = known.ids[np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
         starts = np.concatenate(([0], ends))
         score = known.score[segment]
-        at = 0
-        for text, segments in zip(texts, cut):
-            low, at = at, at + len(segments)
-            yield self._combine(text, segment[low:at], score[low:at], best[starts[low] : starts[at]], starts[low : at + 1] - starts[low])
+        every = [
+            self._combine(segment[low:high], score[low:high], best[starts[low] : starts[high]], starts[low : high + 1] - starts[low])
+            for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist())
+        ]
+        return zip(every, self._decoded(texts, every))
+
+    def _decoded(self, texts: list[str], every: list[Paths]) -> list[bool]:
+        """Whether all paths of each text decode to it, as by `Vocabulary.decode`; the bytes of all paths are written at once."""
+        ids = [path for paths in every for path in paths.ids]
+        if not ids:
+            return []
+        written = self.spelled.take(pa.array(np.concatenate(ids)))
+        _, offsets, data = written.buffers()
+        data = memoryview(data if data is not None else b"")
+        ends = np.frombuffer(offsets, np.int64)[np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))].tolist()
+        out, low, k = [], 0, 0
+        for text, paths in zip(texts, every):
+            same = True
+            for _ in paths.ids:
+                same &= str(data[low : ends[k]], "utf-8", "replace").removeprefix(" ") == text
+                low, k = ends[k], k + 1
+            out.append(same)
+        return out
 
-    def _combine(self, text: str, segments: np.ndarray, score: np.ndarray, best: np.ndarray, begin: np.ndarray) -> tuple[Paths, bool]:
+    def _combine(self, segments: np.ndarray, score: np.ndarray, best: np.ndarray, begin: np.ndarray) -> Paths:
         """The best combinations of segments' paths.
 
         One of the n best differs from the best in n - 1 segments at most, and these are among the n - 1 segments
         whose second paths lose least; earlier segments go first among equal ones.
         """
-        n, decode = self.n_best, self.vocabulary.decode
+        n = self.n_best
         if not len(segments):
-            return Paths([best], [0.0]), not text
+            return Paths([best], [0.0])
         combined: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
         loss = score[:, 0] - score[:, 1] if n > 1 else np.zeros(0)
         for _ in range(min(n - 1, len(loss))):
@@ -404,7 +502,7 @@ class Segmenter:
                 parts += [best[at : begin[k]], self.known.path(segments[k], j)]
                 at = begin[k + 1]
             ids.append(np.concatenate([*parts, best[at:]]) if way else best)
-        return Paths(ids, [total - lost for lost, _ in combined]), all(decode(path.tolist()) == text for path in ids)
+        return Paths(ids, [total - lost for lost, _ in combined])
 
 
 ENCODED = "doc_id long, ids array<int>, n_pieces long, score double, scores array<double>, digests array<long>, decoded boolean, segmentations array<array<int>>"
@@ -443,7 +541,7 @@ def encode_documents(documents: DataFrame, model: str = MODEL, n_best: int = N_B
             for part in slices(batch, "text", SLICE_BYTES):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 rows = [
-                    (paths.ids, paths.scores, [zlib.crc32(i.astype("<i4").tobytes()) for i in paths.ids], decoded)
+                    (paths.ids, paths.scores, [zlib.crc32(i.astype("<i4", copy=False)) for i in paths.ids], decoded)
                     for paths, decoded in segmenter.encode(texts)
                 ]
                 sizes = np.array([len(r[0][0]) for r in rows], np.int64)

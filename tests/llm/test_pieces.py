@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -165,3 +166,31 @@ def test_a_segmentation_that_does_not_decode_is_told():
     wrong.bytes_of[wrong.pieces["a"]] = b"x"
     (paths, decoded), = pieces.Segmenter(wrong, 2).encode(["ab"])
     assert wrong.decode(paths.ids[0].tolist()) == "ab" and not decoded
+
+
+def test_frequent_segments_are_searched_once(vocabulary, monkeypatch):
+    """What many slices hold stays known when a worker has met more segments than it remembers; results are those of a new worker."""
+    monkeypatch.setattr(pieces, "REMEMBERED", 40)
+    searched, solve = [], pieces.Segmenter.solve
+    segmenter = pieces.Segmenter(vocabulary)
+    texts = [f"therefore the end {' '.join(f'w{k}x{j}' for j in range(30))}" for k in range(12)]
+    for text in texts:
+        with monkeypatch.context() as watched:
+            watched.setattr(pieces.Segmenter, "solve", lambda self, names: searched.extend(names) or solve(self, names))
+            (paths, decoded), = segmenter.encode([text])
+        (again, _), = pieces.Segmenter(vocabulary).encode([text])
+        assert decoded and paths.scores == again.scores and [p.tolist() for p in paths.ids] == [p.tolist() for p in again.ids]
+    assert len(segmenter.known.number) < 100
+    assert [sum(name in (word, word.encode()) for name in searched) for word in (" therefore", " the", " end")] == [1, 1, 1]
+
+
+def test_segments_are_cut_before_spaces_and_around_line_ends(vocabulary):
+    texts = ["", "a  b ", "\n\n  b", " ", "x\n", "é\tü  \n 漢字", "\ud800 b", ""]
+    names, which, bounds = pieces.Segmenter(vocabulary)._cut([f" {t}".encode("utf-8", "surrogatepass") if t else b"" for t in texts])
+    got = [[names[k].decode("utf-8", "surrogatepass") for k in which[low:high]] for low, high in zip(bounds, bounds[1:])]
+    assert got == [re.findall(r" *[^ \n]+| +|\n", f" {t}") if t else [] for t in texts]
+
+
+def test_pieces_without_a_shorter_one_are_found():
+    """The beginnings of a piece need not be pieces, and a piece may end where another goes on."""
+    check(small(["abab", " ab", "bab", "c"]), 3, ["abab", "ababab", "cababc", "abba"])
